@@ -70,7 +70,8 @@ def _typed(raw: DataFrame, kinds: dict[str, str], null_tokens: tuple[str, ...],
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One CSV part file per task, each with a header; missing values are empty fields."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    writer = df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()) -> None:
