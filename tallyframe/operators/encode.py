@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.text import ONEHOT_PREFIX, ONEHOT_SEPARATOR, onehot_name
 from tallyframe.operators.counts import as_label, value_totals
 from tallyframe.operators.profile import comparable_each
+from tallyframe.session import rows_up_to
 
 FEATURES = "features"
 SCALED = "scaled_features"
@@ -58,6 +59,22 @@ def encoded_width(df: DataFrame, cats: Sequence[str], nums: Sequence[str]) -> in
     return len(nums) + value_totals(df, cats).where("value is not null").count()
 
 
+def _levels(train: DataFrame, cats: Sequence[str]) -> list[list[str]]:
+    """Sorted category values per column, missing as a level; one grouped scan for all columns."""
+    if not cats:
+        return []
+    filled = train.select(*[F.coalesce(F.col(c), F.lit("missing")).alias(c) for c in cats])
+    found = rows_up_to(value_totals(filled, cats).select("column", "value"), WIDTH_LIMIT)
+    if found is None:
+        raise ValueError(
+            f"more than {WIDTH_LIMIT} encoded columns; reduce cardinality first (see operators.cardinality)"
+        )
+    by_column: dict[str, list[str]] = {c: [] for c in cats}
+    for row in found:
+        by_column[row["column"]].append(row["value"])
+    return [sorted(by_column[c]) for c in cats]
+
+
 @dataclass(frozen=True)
 class Encoder:
     """Fitted encoding: adds ``features`` (sparse) and, if asked, ``scaled_features``."""
@@ -100,24 +117,24 @@ def fit_encoder(train: DataFrame, cats: Sequence[str], nums: Sequence[str], scal
     model with an unpenalised intercept unchanged.
     """
     cats, nums = list(cats), list(nums)
-    width = encoded_width(train, cats, nums)
-    if width > WIDTH_LIMIT:
-        raise ValueError(f"{width} encoded columns; reduce cardinality first (see operators.cardinality)")
+    levels = _levels(train, cats)
     inputs = train.select(
         *[F.coalesce(F.col(c), F.lit("missing")).alias(_text(c)) for c in cats],
         *[F.col(c).cast("double").alias(_num(c)) for c in nums],
     )
     stages = []
     if cats:
-        indexer = StringIndexer(
-            inputCols=[_text(c) for c in cats], outputCols=[_index(c) for c in cats],
-            handleInvalid="keep", stringOrderType="alphabetAsc",
-        ).fit(inputs)
+        # "keep" puts unseen values in one extra slot, which dropLast then leaves out: all zeros.
+        indexed = inputs
+        for c, labels in zip(cats, levels):
+            indexer = StringIndexerModel.from_labels(labels, inputCol=_text(c), outputCol=_index(c), handleInvalid="keep")
+            indexed = indexer.transform(indexed)
+            stages.append(indexer)
         hot = OneHotEncoder(
             inputCols=[_index(c) for c in cats], outputCols=[_hot(c) for c in cats],
             dropLast=True, handleInvalid="error",
-        ).fit(indexer.transform(inputs))
-        stages += [indexer, hot]
+        ).fit(indexed)
+        stages.append(hot)
     assembler = VectorAssembler(
         inputCols=[_num(c) for c in nums] + [_hot(c) for c in cats], outputCol=FEATURES, handleInvalid="error"
     )
@@ -133,6 +150,5 @@ def fit_encoder(train: DataFrame, cats: Sequence[str], nums: Sequence[str], scal
                 assembled.select(FEATURES)
             )
         )
-    levels = [list(labels) for labels in indexer.labelsArray] if cats else []
     names = (*nums, *(onehot_name(c, v) for c, vs in zip(cats, levels) for v in vs))
     return Encoder(PipelineModel(stages), names, tuple(cats), tuple(nums), rows)

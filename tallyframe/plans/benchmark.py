@@ -76,13 +76,14 @@ def _score_table(df: DataFrame, scores: Mapping[str, float | None]) -> DataFrame
 def _benchmark(train, valid, id, target, models=None):
     models = models or default_models()
     checkpoint_dir(train.sparkSession)  # tree boosting cuts its lineage there
-    encoder, a, b = encode_pair(train, valid, id, target, scale=any(m.scale for m in models.values()))
     scores, fitted = {}, {}
-    with cached(a, b) as (a, b):
-        rows = encoder.rows or a.count()
-        for name, choice in models.items():
-            fitted[name] = choice.classifier(rows).fit(a)
-            scores[name] = auc_value(positive_probability(fitted[name].transform(b), id, LABEL), PROBABILITY, LABEL)
+    with cached(train, valid) as (train, valid):  # read by the encoder fit and by the encoding
+        encoder, a, b = encode_pair(train, valid, id, target, scale=any(m.scale for m in models.values()))
+        with cached(a, b) as (a, b):
+            rows = encoder.rows or a.count()
+            for name, choice in models.items():
+                fitted[name] = choice.classifier(rows).fit(a)
+                scores[name] = auc_value(positive_probability(fitted[name].transform(b), id, LABEL), PROBABILITY, LABEL)
     return scores, (encoder, fitted)
 
 

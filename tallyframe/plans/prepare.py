@@ -12,10 +12,11 @@ from tallyframe.functions.dates import month_of, parse_date, weekday_of
 from tallyframe.functions.missing import fill, is_missing, is_present
 from tallyframe.functions.numeric import matches
 from tallyframe.functions.text import id_to_text, normalize_label, recode, trim_lower
-from tallyframe.operators.cardinality import KeptValues, fit_kept
+from tallyframe.operators.cardinality import LITERAL_LIMIT, KeptValues, fit_kept
 from tallyframe.operators.counts import value_totals
 from tallyframe.operators.order import quantiles
 from tallyframe.operators.outliers import clip_fixed
+from tallyframe.session import rows_up_to
 from tallyframe.spec import TableSpec
 
 MISSING = "missing"
@@ -65,22 +66,33 @@ def fit_prepare(train: DataFrame, spec: TableSpec, rules: PrepareRules, exact: b
     nums = [c for c in spec.nums if c in train.columns]
     medians = {c: v[0] for c, v in quantiles(train, {c: F.col(c) for c in nums}, [0.5], exact=exact).items()}
     reduced = [c for c in rules.min_counts if c in train.columns]
-    kept = []
-    if reduced:
-        totals = value_totals(train, reduced)
-        for c in reduced:
-            label = id_to_text(F.col("value"), MISSING) if c in spec.id_like else fill(normalize_label(F.col("value")), MISSING)
-            frequent = (
-                totals.where(F.col("column") == c)
-                .select(recode(label, rules.aliases.get(c, {})).alias("value"), "n")
-                .groupBy("value")
-                .agg(F.sum("n").alias("count"))
-                .where(F.col("count") >= rules.min_counts[c])
-            )
-            kept.append(fit_kept(frequent, c, always=(MISSING,)))
+    kept = _fit_kept(train, spec, rules, reduced) if reduced else []
     return Prepared(spec, rules, medians, tuple(kept))
 
 
+def _fit_kept(train: DataFrame, spec: TableSpec, rules: PrepareRules, reduced: Sequence[str]) -> list[KeptValues]:
+    label, least = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    for c in reduced:
+        # value_totals already gives identifiers as plain digits.
+        clean = fill(F.col("value") if c in spec.id_like else normalize_label(F.col("value")), MISSING)
+        here = F.col("column") == c
+        label = F.when(here, recode(clean, rules.aliases.get(c, {}))).otherwise(label)
+        least = F.when(here, F.lit(rules.min_counts[c])).otherwise(least)
+    frequent = (
+        value_totals(train, reduced)
+        .groupBy("column", label.alias("value"))
+        .agg(F.sum("n").alias("count"))
+        .where(F.col("count") >= least)
+        .select("column", "value")
+    )
+    few = rows_up_to(frequent, LITERAL_LIMIT * len(reduced))
+    if few is None:  # too many for literals: each column gets a written table
+        return [fit_kept(frequent.where(F.col("column") == c), c, always=(MISSING,)) for c in reduced]
+    return [
+        KeptValues(c, tuple(sorted(r["value"] for r in few if r["column"] == c)), always=(MISSING,)) for c in reduced
+    ]
+
+
 def complete_missing(df: DataFrame, fitted: Prepared) -> DataFrame:
     """Flags first (so placeholders are not flagged), then medians, cleaned labels, ids as text."""
     spec, rules = fitted.spec, fitted.rules
