@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.text import ONEHOT_PREFIX, ONEHOT_SEPARATOR, onehot_name
 from tallyframe.operators.counts import as_label, value_totals
 from tallyframe.operators.profile import comparable_each
-from tallyframe.session import rows_up_to
+from tallyframe.session import broadcast_if_few, rows_up_to
 
 FEATURES = "features"
 SCALED = "scaled_features"
@@ -40,14 +40,14 @@ def onehot_long(df: DataFrame, id: str, columns: Sequence[str], reference: DataF
     """One-hot features as (id, feature, value) rows holding only the ones.
 
     Categories come from ``reference``; a value unseen there gives no row, that is, all zeros.
-    The category table is joined without a hint, so Spark broadcasts it only when it is small.
+    The category table is broadcast when it is counted to be small, else joined by shuffle.
     """
     flat = df.select(F.col(id), *[as_label(df, c).alias(c) for c in columns]).unpivot(
         id, list(columns), "column", "level"
     )
     known = value_totals(reference, columns).where("value is not null").select("column", F.col("value").alias("level"))
     name = F.concat_ws(ONEHOT_SEPARATOR, F.lit(ONEHOT_PREFIX), "column", "level")
-    return flat.join(known, ["column", "level"], "left_semi").select(
+    return flat.join(broadcast_if_few(known), ["column", "level"], "left_semi").select(
         id, name.alias("feature"), F.lit(1.0).alias("value")
     )
 

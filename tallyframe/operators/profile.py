@@ -98,7 +98,7 @@ def cat_summary(df: DataFrame, columns: Sequence[str], top: int = 8, normalize:
         "%s (%.1f%%)", F.coalesce(s["value"], F.lit("nan")), F.round(s["n"] * 100 / F.col("rows"), 1)
     )
     return (
-        totals.join(leaders, "column")
+        totals.join(F.broadcast(leaders), "column")  # one row per reported column
         .select(
             "column",
             F.round(F.col("missing_count") * 100 / F.col("rows"), 1).alias("missing_pct"),
@@ -111,14 +111,14 @@ def cat_summary(df: DataFrame, columns: Sequence[str], top: int = 8, normalize:
 
 
 def top_counts_by_target(df: DataFrame, column: str, target: str, k: int = 20) -> DataFrame:
-    """Counts of the ``k`` most frequent values, split by target (one scan)."""
+    """Counts of the ``k`` most frequent values, split by target (one scan; k rows are broadcast)."""
     split = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("value"), F.col(target).alias("target"))
         .agg(F.count("*").alias("count"))
     )
     leaders = split.groupBy("value").agg(F.sum("count").alias("total")).orderBy(F.desc("total"), "value").limit(k)
-    return split.join(leaders, "value").orderBy(F.desc("total"), "value", "target")
+    return split.join(F.broadcast(leaders), "value").orderBy(F.desc("total"), "value", "target")
 
 
 # ---- numerics -------------------------------------------------------------------------------

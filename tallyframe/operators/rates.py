@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.dates import parse_date, period_start
@@ -17,7 +17,6 @@ from tallyframe.functions.numeric import edge_bin, ratio
 from tallyframe.functions.text import normalize_label
 from tallyframe.operators.counts import as_label, most_frequent, rate, value_totals
 from tallyframe.operators.order import comparable, quantiles
-from tallyframe.operators.tables import one_pass
 
 
 def overall_rate(df: DataFrame, target: str) -> DataFrame:
@@ -150,11 +149,7 @@ def presence_rate(df: DataFrame, column: str, target: str) -> DataFrame:
 
 
 def presence_describe(df: DataFrame, column: str, target: str) -> DataFrame:
-    """Full description of a 0/1 target by key absence: (is_missing, count, mean, std, min, q25, q50, q75, max).
-
-    A 0/1 target has few distinct values, so quartiles come from its value counts per group
-    and one scan is enough; any other target goes through ``order.quantiles`` per group.
-    """
+    """Full description of the target by key absence: (is_missing, count, mean, std, min, q25, q50, q75, max)."""
     y = comparable(df, {target: F.col(target)})[target].cast("double")
     keys = {"yes": F.when(F.col(column).isNull(), y), "no": F.when(F.col(column).isNotNull(), y)}
     quarts = quantiles(df, keys, (0.25, 0.5, 0.75))
@@ -219,11 +214,3 @@ def normalized(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The table with its label columns normalised (see ``functions.text.normalize_label``)."""
     return df.withColumns({c: normalize_label(as_label(df, c)) for c in columns})
 
-
-def rate_bounds(df: DataFrame, target: str) -> DataFrame:
-    """Lowest and highest target value; a quick check that a target is 0/1."""
-    return one_pass(df, [{"lo": F.min(target), "hi": F.max(target)}])
-
-
-def safe_rate(hits: Column, rows: Column) -> Column:
-    return ratio(hits, rows)

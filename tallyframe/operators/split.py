@@ -10,8 +10,6 @@ scikit-learn's and pandas' random streams cannot be reproduced; sizes and propor
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,8 +17,11 @@ from pyspark.sql import functions as F
 from tallyframe.operators.order import order_statistics, spans
 from tallyframe.session import rows_up_to, small_table
 
-# Hash prefix that groups rows when looking for the k-th one: 16**5, about a million groups.
-_PREFIX_DIGITS = 5
+# Digest digits per narrowing step: 16**3 = 4,096 groups per class, so map-side counts stay small.
+_STEP = 3
+_STEPS = 3
+# A class is ranked directly once the group with its k-th row has at most this many rows.
+_RANK_ROWS = 100_000
 _CLASS_LIMIT = 1_000
 _LAST = 2**63 - 1
 
@@ -31,25 +32,30 @@ def shuffle_key(id: Column, seed: int | str) -> Column:
 
 
 def _first_k(df: DataFrame, by: Column, id: str, seed: int | str, sizes: DataFrame) -> DataFrame:
-    """Per class the (digest, id) of its k-th row: (class, last). ``sizes`` is (class, k), k >= 1.
+    """Per class the (digest, id) of its k-th row: (class, last). ``sizes`` is (at_class, rest), rest >= 1.
 
-    Rows per (class, digest prefix) find the prefix that holds rank k; only rows with that
-    prefix, about a millionth of a class, are ranked.
+    Each step counts rows per (class, digest prefix) and keeps the prefix that holds the rank;
+    after at most three steps one part in 4,096**3 of a class is left to rank. Only counts
+    shuffle. Digests are uniform, so a hot value or a sorted table makes no difference.
     """
     keyed = df.select(by.alias("class"), shuffle_key(F.col(id), seed).alias("digest"), F.col(id).alias("id"))
-    prefix = F.substring("digest", 1, _PREFIX_DIGITS)
-    slots = keyed.groupBy("class", prefix.alias("prefix")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(W.partitionBy("class").orderBy("prefix").rowsBetween(W.unboundedPreceding, 0))
-    holder = (
-        slots.withColumn("before", upto - F.col("n"))
-        .join(sizes, F.col("class").eqNullSafe(sizes["size_class"]))
-        .where((F.col("before") < F.col("k")) & (F.col("k") <= F.col("before") + F.col("n")))
-        .select(F.col("class").alias("size_class"), F.col("prefix").alias("at"), (F.col("k") - F.col("before")).alias("rest"))
-    )
-    holder, small = _frozen(holder)  # one row per class; broadcast only when counted to be few
-    holder = F.broadcast(holder) if small else holder
-    near = keyed.join(holder, F.col("class").eqNullSafe(F.col("size_class")) & (prefix == F.col("at")))
+    holder, small, digits = sizes, False, 0
+    for step in range(1, _STEPS + 1):
+        pool, digits = _at(keyed, holder, digits), step * _STEP
+        slots = pool.groupBy("class", F.substring("digest", 1, digits).alias("prefix")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(W.partitionBy("class").orderBy("prefix").rowsBetween(W.unboundedPreceding, 0))
+        wanted = F.broadcast(holder) if small else holder
+        holder = (
+            slots.withColumn("before", upto - F.col("n"))
+            .join(wanted.select("at_class", "rest"), F.col("class").eqNullSafe(F.col("at_class")))
+            .where((F.col("before") < F.col("rest")) & (F.col("rest") <= F.col("before") + F.col("n")))
+            .select("at_class", (F.col("rest") - F.col("before")).alias("rest"), F.col("prefix").alias("at"), "n")
+        )
+        holder, small = _frozen(holder)
+        if small and all(r["n"] <= _RANK_ROWS for r in holder.collect()):
+            break
     place = F.row_number().over(W.partitionBy("class").orderBy("digest", "id"))
+    near = _at(keyed, F.broadcast(holder) if small else holder, digits, "rest")
     return (
         near.withColumn("place", place)
         .where(F.col("place") == F.col("rest"))
@@ -57,6 +63,14 @@ def _first_k(df: DataFrame, by: Column, id: str, seed: int | str, sizes: DataFra
     )
 
 
+def _at(keyed: DataFrame, holder: DataFrame, digits: int, *keep: str) -> DataFrame:
+    """Rows whose digest starts with their class's found prefix (all rows before the first step)."""
+    if digits == 0:
+        return keyed
+    here = F.col("class").eqNullSafe(F.col("at_class")) & (F.substring("digest", 1, digits) == F.col("at"))
+    return keyed.join(holder.select("at_class", "at", *keep), here).select(*keyed.columns, *keep)
+
+
 def _frozen(df: DataFrame) -> tuple[DataFrame, bool]:
     """Fitted class table as literal rows if it is proven small, else the lazy table."""
     rows = rows_up_to(df, _CLASS_LIMIT)
@@ -74,7 +88,7 @@ def mark_stratified(
     per class.
     """
     size = F.ceil(F.count("*") * F.lit(share)).cast("bigint")
-    sizes = df.groupBy(F.col(target).alias("size_class")).agg(size.alias("k")).where("k > 0")
+    sizes = df.groupBy(F.col(target).alias("at_class")).agg(size.alias("rest")).where("rest > 0")
     limits, small = _frozen(_first_k(df, F.col(target), id, seed, sizes))
     limits = limits.select(F.col("class").alias("_class"), F.col("last").alias("_last"))
     limits = F.broadcast(limits) if small else limits
@@ -101,10 +115,11 @@ def sample_n(df: DataFrame, id: str, n: int = 1000, seed: int | str = 42) -> Dat
     """Exactly ``n`` reproducible rows (all rows if there are fewer); the table never shuffles."""
     if n <= 0:
         return df.where(F.lit(False))
-    sizes = df.agg(F.count("*").alias("rows")).select(
-        F.lit(1).alias("size_class"), F.least(F.col("rows"), F.lit(n)).cast("bigint").alias("k")
-    ).where("k > 0")
-    found = _first_k(df, F.lit(1), id, seed, sizes).first()
+    # One class, "the id is not missing": rows without an id cannot be sampled.
+    sizes = df.agg(F.count(id).alias("rows")).select(
+        F.lit(False).alias("at_class"), F.least(F.col("rows"), F.lit(n)).cast("bigint").alias("rest")
+    ).where("rest > 0")
+    found = _first_k(df, F.col(id).isNull(), id, seed, sizes).first()
     if found is None:
         return df.where(F.lit(False))
     digest, last_id = found["last"]
@@ -154,6 +169,3 @@ def make_split(
         return chronological_split(df, date, id, share)
     raise ValueError(f"unknown split kind: {kind}")
 
-
-def expected_valid_rows(class_sizes: list[int], share: float) -> int:
-    return sum(math.ceil(n * share) for n in class_sizes)

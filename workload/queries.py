@@ -44,6 +44,14 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("y", (F.col("event_type") == "purchase").cast("int"))
 
 
+def staged(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The joined input written once, for operators that read it several times: a rescan of a few
+    columns is cheap, repeating the join is not.
+    """
+    rows = dirty(spark, sf)
+    return stage(rows.select(*columns) if columns else rows, "labelled-rows")
+
+
 def early(df: DataFrame) -> DataFrame:
     return df.where(F.col("d") < F.lit(SPLIT_DAY))
 
@@ -88,7 +96,7 @@ def top_category_rates(spark, sf):
 
 @register
 def rate_by_bins(spark, sf):
-    return rounded(rates.rate_by_bins(base(spark, sf), "bal", "y", bins=8))
+    return rounded(rates.rate_by_bins(stage(base(spark, sf).select("bal", "y"), "labelled-rows"), "bal", "y", bins=8))
 
 
 @register
@@ -133,7 +141,7 @@ def presence_rate(spark, sf):
 
 @register
 def presence_describe(spark, sf):
-    return rounded(rates.presence_describe(dirty(spark, sf), "company_id", "y"))
+    return rounded(rates.presence_describe(staged(spark, sf, "company_id", "y"), "company_id", "y"))
 
 
 @register
@@ -232,7 +240,7 @@ def describe(spark, sf):
 
 @register
 def num_summary(spark, sf):
-    return rounded(profile.num_summary(dirty(spark, sf), DIRTY_NUMS, "y"))
+    return rounded(profile.num_summary(staged(spark, sf, *DIRTY_NUMS, "y"), DIRTY_NUMS, "y"))
 
 
 @register
@@ -242,7 +250,7 @@ def num_summary_lineitem(spark, sf):
 
 @register
 def quantile_ladder(spark, sf):
-    return rounded(profile.quantile_ladder(dirty(spark, sf), DIRTY_NUMS))
+    return rounded(profile.quantile_ladder(staged(spark, sf, *DIRTY_NUMS), DIRTY_NUMS))
 
 
 @register
@@ -262,7 +270,7 @@ def histogram_by_target(spark, sf):
 
 @register
 def box_stats(spark, sf):
-    return rounded(profile.box_stats(base(spark, sf), "price", "y"))
+    return rounded(profile.box_stats(staged(spark, sf, "price", "y"), "price", "y"))
 
 
 @register
@@ -284,7 +292,7 @@ def corr_matrix(spark, sf):
 
 @register
 def corr_pairs(spark, sf):
-    capped, _ = outliers.capped_copy(dirty(spark, sf), ["hours", "cost"])
+    capped, _ = outliers.capped_copy(staged(spark, sf, *DIRTY_NUMS, "agent_id", "company_id", "y"), ["hours", "cost"])
     return rounded(assoc.corr_pairs(capped, [*DIRTY_NUMS, "agent_id", "company_id", "y"], threshold=0.005))
 
 
@@ -308,7 +316,7 @@ def clip_fixed(spark, sf):
 
 @register
 def sus_columns(spark, sf):
-    return rounded(outliers.sus_columns(dirty(spark, sf), DIRTY_NUMS))
+    return rounded(outliers.sus_columns(staged(spark, sf, *DIRTY_NUMS), DIRTY_NUMS))
 
 
 @register
@@ -387,17 +395,17 @@ def reduce_cardinality(spark, sf):
 
 @register
 def stratified_split(spark, sf):
-    return split.mark_stratified(base(spark, sf), "id", "y").select("id", "is_valid")
+    return split.mark_stratified(staged(spark, sf, "id", "y"), "id", "y").select("id", "is_valid")
 
 
 @register
 def stratified_split_classes(spark, sf):
-    return split.mark_stratified(base(spark, sf), "id", "nation", share=0.25).select("id", "is_valid")
+    return split.mark_stratified(staged(spark, sf, "id", "nation"), "id", "nation", share=0.25).select("id", "is_valid")
 
 
 @register
 def chronological_split(spark, sf):
-    return split.mark_chronological(base(spark, sf), "d", "id").select("id", "is_valid")
+    return split.mark_chronological(staged(spark, sf, "id", "d"), "d", "id").select("id", "is_valid")
 
 
 @register
@@ -425,7 +433,7 @@ DIRTY_RULES = prepare.PrepareRules(
 
 @register
 def prepare_full(spark, sf):
-    rows = dirty(spark, sf).drop("d")
+    rows = staged(spark, sf).drop("d")
     train, _ = split.stratified_split(rows, "id", "y")
     return rounded(prepare.prepare_from(rows, train, dirty_spec(rows), DIRTY_RULES))
 
@@ -438,7 +446,7 @@ def prepare_calendar(spark, sf):
 
 @register
 def fitted_medians(spark, sf):
-    rows = dirty(spark, sf).drop("d")
+    rows = staged(spark, sf).drop("d")
     train, _ = split.stratified_split(rows, "id", "y")
     fitted = prepare.fit_prepare(train, dirty_spec(rows), DIRTY_RULES)
     return rounded(tables.one_pass(train, [
@@ -546,11 +554,6 @@ SMALL = {
 }
 
 
-def staged(spark, sf) -> DataFrame:
-    """The joined input written once: fitting reads its rows many times and must not redo the join."""
-    return stage(dirty(spark, sf), "labelled-rows")
-
-
 @register
 def model_benchmark(spark, sf):
     rows = staged(spark, sf).drop("d")
