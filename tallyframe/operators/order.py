@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tallyframe.spec import INTEGRAL
 
 SLOTS = 8192
-FINISH_ROWS = 100_000
+FINISH_ROWS = 250_000
 _FAR = 8.0e307  # beyond this, a difference of two doubles could overflow
 
 

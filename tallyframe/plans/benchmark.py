@@ -41,12 +41,22 @@ def roles(df: DataFrame, id: str, target: str | None) -> tuple[list[str], list[s
     return list(spec.cats), list(spec.nums)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table with fewer input splits than cores is cut finer, so that fitting uses every core.
+
+    That only concerns tables of less than one split per core; larger ones are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def encode_pair(
     train: DataFrame, other: DataFrame, id: str, target: str, scale: bool
 ) -> tuple[Encoder, DataFrame, DataFrame]:
     """Encoder fitted on ``train``, and both tables reduced to what a model reads."""
     cats, nums = roles(train, id, target)
     encoder = fit_encoder(train, cats, nums, scale=scale)
+    train, other = spread(train), spread(other)
 
     def slim(df: DataFrame) -> DataFrame:
         out = encoder.transform(df)

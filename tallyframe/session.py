@@ -48,12 +48,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, balance: bool = False) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and return a scan of the written table.
 
     Used where a costly plan is read many times (model fitting): lineage is cut, lost executors
     only re-read files, and later readers still get column pruning and pushed filters.
+    ``balance`` evens out the files by one shuffle first: worth it where a hot join key leaves a
+    huge partition, or a small table only one, and many passes follow.
     """
+    df = df.hint("rebalance") if balance else df
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -44,12 +44,12 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").withColumn("y", (F.col("event_type") == "purchase").cast("int"))
 
 
-def staged(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+def staged(spark: SparkSession, sf: str, *columns: str, balance: bool = False) -> DataFrame:
     """The joined input written once, for operators that read it several times: a rescan of a few
     columns is cheap, repeating the join is not.
     """
     rows = dirty(spark, sf)
-    return stage(rows.select(*columns) if columns else rows, "labelled-rows")
+    return stage(rows.select(*columns) if columns else rows, "labelled-rows", balance)
 
 
 def early(df: DataFrame) -> DataFrame:
@@ -433,7 +433,7 @@ DIRTY_RULES = prepare.PrepareRules(
 
 @register
 def prepare_full(spark, sf):
-    rows = staged(spark, sf).drop("d")
+    rows = staged(spark, sf, balance=True).drop("d")
     train, _ = split.stratified_split(rows, "id", "y")
     return rounded(prepare.prepare_from(rows, train, dirty_spec(rows), DIRTY_RULES))
 
@@ -446,7 +446,7 @@ def prepare_calendar(spark, sf):
 
 @register
 def fitted_medians(spark, sf):
-    rows = staged(spark, sf).drop("d")
+    rows = staged(spark, sf, balance=True).drop("d")
     train, _ = split.stratified_split(rows, "id", "y")
     fitted = prepare.fit_prepare(train, dirty_spec(rows), DIRTY_RULES)
     return rounded(tables.one_pass(train, [
@@ -556,13 +556,13 @@ SMALL = {
 
 @register
 def model_benchmark(spark, sf):
-    rows = staged(spark, sf).drop("d")
+    rows = staged(spark, sf, balance=True).drop("d")
     return benchmark.run_benchmark(rows, dirty_spec(rows), DIRTY_RULES, models=default_models(**SMALL))
 
 
 @register
 def model_split_compare(spark, sf):
-    rows = staged(spark, sf).drop("date_raw")
+    rows = staged(spark, sf, balance=True).drop("date_raw")
     spec = dirty_spec(rows).with_roles(date="d")
     models = {LOGISTIC: default_models(**SMALL)[LOGISTIC]}
     return tables.stack_tables(
@@ -572,7 +572,7 @@ def model_split_compare(spark, sf):
 
 @register
 def model_ablation(spark, sf):
-    rows = staged(spark, sf).drop("d", "date_raw")
+    rows = staged(spark, sf, balance=True).drop("d", "date_raw")
     train, valid = split.stratified_split(rows, "id", "y")
     fitted = prepare.fit_prepare(train, dirty_spec(rows), DIRTY_RULES)
     models = {LOGISTIC: default_models(**SMALL)[LOGISTIC], FOREST: default_models(**SMALL)[FOREST]}
@@ -583,14 +583,14 @@ def model_ablation(spark, sf):
 
 @register
 def model_importance(spark, sf):
-    rows = staged(spark, sf).drop("d")
+    rows = staged(spark, sf, balance=True).drop("d")
     fitted = prepare.fit_prepare(rows, dirty_spec(rows), DIRTY_RULES)
     return benchmark.feature_importance(prepare.prepare(rows, fitted), "id", "y", default_models(**SMALL)[FOREST])
 
 
 @register
 def model_raw_vs_clean(spark, sf):
-    rows = staged(spark, sf).drop("date_raw")
+    rows = staged(spark, sf, balance=True).drop("date_raw")
     clean = prepare.prepare_calendar(rows, "d", ["agent_id", "cost"], {"company_id": "has_company_id"})
     versions = {"raw": rows.drop("d"), "clean": clean}
     halves = {name: split.stratified_split(df, "id", "y") for name, df in versions.items()}
@@ -599,7 +599,7 @@ def model_raw_vs_clean(spark, sf):
 
 @register
 def predict_best(spark, sf):
-    rows = staged(spark, sf).drop("date_raw")
+    rows = staged(spark, sf, balance=True).drop("date_raw")
     spec = dirty_spec(rows).with_roles(date="d")
     models = {k: m for k, m in default_models(**SMALL).items() if k in (LOGISTIC, FOREST)}
     best = scoring.predict_best(early(rows), late(rows), spec, DIRTY_RULES, models)
@@ -607,7 +607,7 @@ def predict_best(spark, sf):
 
 
 def _sources(spark, sf):
-    rows = staged(spark, sf)
+    rows = staged(spark, sf, balance=True)
     tagged = drift.tag_sources(early(rows), late(rows))
     prepared = adversarial.prepare_sources(tagged, "id", leaks=["y", "d", "date_raw"])
     return tagged, adversarial.fit_source_models(
