@@ -26,10 +26,12 @@ def _number(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def corr_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """(column, corr) of each column with the target, strongest first."""
+def corr_target(df: DataFrame, columns: Sequence[str], target: str, threshold: float | None = None) -> DataFrame:
+    """(column, corr) of each column with the target, strongest first, optionally only |corr| >= threshold."""
     y = _number(df, target)
     report = one_pass(df, [{"column": F.lit(c), "corr": pearson(_number(df, c), y)} for c in columns])
+    if threshold is not None:
+        report = report.where(F.abs("corr") >= threshold)
     return report.orderBy(by_magnitude("corr"), "column")
 
 

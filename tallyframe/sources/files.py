@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.missing import CSV_NULL_TOKENS, nan_to_null, tokens_to_null
+from tallyframe.operators.split import sample_n
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -77,3 +78,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()) -> None:
     writer = df.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def sample_csv(spark: SparkSession, source: str, target: str, id: str, n: int = 1000, seed: int | str = 42) -> None:
+    """Write an exact-size reproducible sample of a CSV table as CSV."""
+    write_csv(sample_n(read_csv(spark, source), id, n, seed), target)

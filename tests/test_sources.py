@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.missing import CSV_NULL_TOKENS
 from tallyframe.operators.drift import tag_sources
 from tallyframe.session import broadcast_if_few, rows_up_to, small_table, stage
-from tallyframe.sources.files import read_csv, read_parquet, write_csv, write_parquet
+from tallyframe.sources.files import read_csv, read_parquet, sample_csv, write_csv, write_parquet
 
 
 def write_text(path, text):
@@ -73,3 +73,10 @@ def test_staged_tables_are_files(spark):
 def test_staged_scan_reads_only_needed_columns(spark, column):
     df = stage(spark.range(3).withColumn("s", F.lit("x")), "unit").select(column)
     assert "ReadSchema: struct<s:string>" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sampled_file_has_exactly_n_rows(spark, tmp_path):
+    source, target = str(tmp_path / "all"), str(tmp_path / "some")
+    write_csv(spark.range(50).withColumn("s", F.lit("x y")), source)
+    sample_csv(spark, source, target, "id", n=7)
+    assert read_csv(spark, target).count() == 7
