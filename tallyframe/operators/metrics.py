@@ -8,25 +8,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Score ranges: _SIDE * _SIDE of them, looked up in two steps of _SIDE comparisons.
-_SIDE = 40
+# Number of score ranges is _CELLS + 1; a power of two, so that the search has whole steps.
+_CELLS = 2**11 - 1
 _SKETCH_ACCURACY = 10_000
 
 
-def _doubles(values: list[float]) -> str:
-    """Array literal as SQL text: one parse instead of one call per element."""
-    return "array(" + ", ".join(f"{v!r}D" for v in values) + ")"
+def _doubles(values: list[float]) -> Column:
+    """Array literal from SQL text: one parse instead of one call per element."""
+    return F.expr("array(" + ", ".join(f"{v!r}D" for v in values) + ")")
 
 
-def _range_of(x: Column, edges: list[float]) -> Column:
-    """Index of the score range of x; never decreases as x grows."""
-    blocks = [edges[i : i + _SIDE] for i in range(0, len(edges), _SIDE)]
-    if not blocks:
-        return F.lit(0)
-    below = lambda cuts: F.size(F.filter(cuts, lambda e: e < x))
-    block = F.least(below(F.expr(_doubles([b[-1] for b in blocks]))), F.lit(len(blocks) - 1))
-    inner = F.expr("array(" + ", ".join(map(_doubles, blocks)) + ")")
-    return block * _SIDE + below(F.get(inner, block))
+def _with_cell(df: DataFrame, x: str, edges: list[float]) -> DataFrame:
+    """Add ``cell``, the number of edges below x, by binary search in compiled code.
+
+    Each halving is a projection of its own, because it needs the previous result twice. The
+    list is filled up with its last edge, which keeps the result in the order of x.
+    """
+    out = df.withColumn("cell", F.lit(0))
+    if not edges:
+        return out
+    cuts = _doubles(edges + [edges[-1]] * (_CELLS - len(edges)))
+    step = (_CELLS + 1) // 2
+    while step:
+        beyond = F.get(cuts, F.col("cell") + (step - 1)) < F.col(x)
+        out = out.withColumn("cell", F.col("cell") + F.when(beyond, step).otherwise(0))
+        step //= 2
+    return out
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -34,26 +41,25 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
 
     AUC = sum over scores of pos * (negatives below + half the negatives at the score) / (P * N).
     Rows are counted per score first, so ties collapse on the map side. The running count of
-    negatives is taken inside about 1,600 score ranges cut at sketch quantiles (a first pass over
+    negatives is taken inside about 2,000 score ranges cut at sketch quantiles (a first pass over
     the score column alone) - parallel and balanced - and then lifted by the totals of the lower
     ranges. NULL when a class is absent.
     """
     x = F.col(score).cast("double")
     rows = df.select(F.when(~F.isnan(x), x).alias("x"), F.col(label).cast("int").alias("y"))
     rows = rows.where("x is not null and y is not null")
-    cells = _SIDE * _SIDE
-    shares = F.expr(_doubles([i / cells for i in range(1, cells)]))
+    shares = _doubles([i / (_CELLS + 1) for i in range(1, _CELLS + 1)])
     cuts = rows.agg(F.percentile_approx("x", shares, _SKETCH_ACCURACY)).first()[0]
     edges = sorted({e for e in cuts or [] if math.isfinite(e)})
     counted = rows.groupBy("x").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
-    ranged = counted.withColumn("cell", _range_of(F.col("x"), edges))
+    ranged = _with_cell(counted, "x", edges)
     before = F.sum("neg").over(W.partitionBy("cell").orderBy("x").rowsBetween(W.unboundedPreceding, 0)) - F.col("neg")
     per_cell = (
         ranged.withColumn("won", F.col("pos") * (before + F.col("neg") / 2.0))
         .groupBy("cell")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won"))
     )
-    # At most 1,600 rows from here on.
+    # At most _CELLS + 1 rows from here on.
     lower = F.sum("neg").over(W.partitionBy(F.lit(0)).orderBy("cell").rowsBetween(W.unboundedPreceding, 0)) - F.col("neg")
     total = per_cell.withColumn("won", F.col("won") + F.col("pos").cast("double") * lower).agg(
         F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),
