@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.functions.missing import member_of
 from tallyframe.functions.numeric import ratio
 from tallyframe.functions.text import keep_or_other, recode
 from tallyframe.operators.tables import one_pass
@@ -52,10 +53,10 @@ def describe_keep(df: DataFrame, column: str, keep: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class KeptValues:
-    """Kept values of one column: literals while few, a written table otherwise."""
+    """Kept values of one column: all as literals while few, else the rest in a written table."""
 
     column: str
-    literals: tuple[str, ...] | None
+    literals: tuple[str, ...]
     table: DataFrame | None = None
     always: tuple[str, ...] = ()
     other: str = "other"
@@ -63,25 +64,33 @@ class KeptValues:
     def apply(self, df: DataFrame) -> DataFrame:
         """Collapse everything outside the kept set; a missing value also becomes ``other``."""
         c = F.col(self.column)
-        if self.literals is not None:
-            return df.withColumn(self.column, keep_or_other(c, (*self.literals, *self.always), self.other))
-        # No broadcast hint: Spark checks the real size and otherwise joins by shuffle, where
-        # adaptive execution splits a hot value.
-        flags = self.table.select(F.col("value").alias("_kept_value"))
-        joined = df.join(flags, c == F.col("_kept_value"), "left")
-        kept = F.col("_kept_value").isNotNull() | F.coalesce(c.isin(list(self.always)), F.lit(False))
-        return joined.withColumn(self.column, F.when(kept, c).otherwise(F.lit(self.other))).drop("_kept_value")
+        known = (*self.literals, *self.always)
+        if self.table is None:
+            return df.withColumn(self.column, keep_or_other(c, known, self.other))
+        # Frequent and missing values are settled without the table. Their rows get a salt that
+        # matches nothing, so the shuffle spreads them instead of sending each value to one task.
+        settled = c.isNull() | c.isin(list(known))
+        salt = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+        joined = df.withColumn("_key", F.when(settled, salt).otherwise(c)).join(
+            self.table.select(F.col("value").alias("_key"), F.lit(True).alias("_kept")), "_key", "left"
+        )
+        kept = F.col("_kept").isNotNull() | member_of(c, known)
+        return joined.withColumn(self.column, F.when(kept, c).otherwise(F.lit(self.other))).drop("_key", "_kept")
 
 
 def fit_kept(
     keep: DataFrame, column: str, always: Sequence[str] = ("missing",), other: str = "other",
-    literal_limit: int = LITERAL_LIMIT,
+    literal_limit: int | None = None,
 ) -> KeptValues:
-    """Freeze a kept-value table for use on other rows."""
-    few = rows_up_to(keep.select("value").orderBy("value"), literal_limit)
+    """Freeze a kept-value table (value, count) for use on other rows."""
+    limit = LITERAL_LIMIT if literal_limit is None else literal_limit
+    few = rows_up_to(keep.select("value"), limit)
     if few is not None:
-        return KeptValues(column, tuple(r[0] for r in few), None, tuple(always), other)
-    return KeptValues(column, None, stage(keep.select("value"), f"kept-{column}"), tuple(always), other)
+        return KeptValues(column, tuple(sorted(r[0] for r in few)), None, tuple(always), other)
+    frequent = keep.orderBy(F.desc("count"), "value").limit(limit).collect()
+    return KeptValues(
+        column, tuple(r["value"] for r in frequent), stage(keep.select("value"), f"kept-{column}"), tuple(always), other
+    )
 
 
 def reduce_cardinality(

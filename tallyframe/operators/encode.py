@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from tallyframe.functions.text import ONEHOT_PREFIX, ONEHOT_SEPARATOR, onehot_name
 from tallyframe.operators.counts import as_label, value_totals
 from tallyframe.operators.profile import comparable_each
-from tallyframe.session import broadcast_if_few, rows_up_to
+from tallyframe.session import rows_up_to, small_table
 
 FEATURES = "features"
 SCALED = "scaled_features"
 # MLlib models keep one coefficient or category per encoded column on the driver, so an encoding
 # wider than this is refused with advice instead of failing later; nothing is cut.
 WIDTH_LIMIT = 1_000_000
+CATEGORY_LIMIT = 100_000
 
 
 def scale_standard(df: DataFrame, columns: Sequence[str], reference: DataFrame | None = None) -> DataFrame:
@@ -40,16 +41,24 @@ def onehot_long(df: DataFrame, id: str, columns: Sequence[str], reference: DataF
     """One-hot features as (id, feature, value) rows holding only the ones.
 
     Categories come from ``reference``; a value unseen there gives no row, that is, all zeros.
-    The category table is broadcast when it is counted to be small, else joined by shuffle.
+    Up to ``CATEGORY_LIMIT`` categories are broadcast. Beyond, the most frequent ones are, and
+    only rows outside them take the shuffle join, so a hot category meets no single task.
     """
     flat = df.select(F.col(id), *[as_label(df, c).alias(c) for c in columns]).unpivot(
         id, list(columns), "column", "level"
     )
-    known = value_totals(reference, columns).where("value is not null").select("column", F.col("value").alias("level"))
-    name = F.concat_ws(ONEHOT_SEPARATOR, F.lit(ONEHOT_PREFIX), "column", "level")
-    return flat.join(broadcast_if_few(known), ["column", "level"], "left_semi").select(
-        id, name.alias("feature"), F.lit(1.0).alias("value")
-    )
+    known = value_totals(reference, columns).where("value is not null").withColumnRenamed("value", "level")
+    on = ["column", "level"]
+    name = F.concat_ws(ONEHOT_SEPARATOR, F.lit(ONEHOT_PREFIX), *on)
+    few = rows_up_to(known, CATEGORY_LIMIT)
+    if few is not None:
+        table = small_table(df.sparkSession, [tuple(r) for r in few], known.schema)
+        ones = flat.join(F.broadcast(table), on, "left_semi")
+    else:
+        hot = F.broadcast(known.orderBy(F.desc("n"), *on).limit(CATEGORY_LIMIT).select(*on))
+        rest = flat.join(hot, on, "left_anti").join(known, on, "left_semi")
+        ones = flat.join(hot, on, "left_semi").unionByName(rest)
+    return ones.select(id, name.alias("feature"), F.lit(1.0).alias("value"))
 
 
 def encoded_width(df: DataFrame, cats: Sequence[str], nums: Sequence[str]) -> int:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Number of score ranges is _CELLS + 1; a power of two, so that the search has whole steps.
-_CELLS = 2**11 - 1
+# At most _CELLS + 1 score ranges of about _CELL_ROWS rows or more.
+_CELLS = 2**12 - 1
+_CELL_ROWS = 20_000
 _SKETCH_ACCURACY = 10_000
 
 
@@ -27,8 +28,9 @@ def _with_cell(df: DataFrame, x: str, edges: list[float]) -> DataFrame:
     out = df.withColumn("cell", F.lit(0))
     if not edges:
         return out
-    cuts = _doubles(edges + [edges[-1]] * (_CELLS - len(edges)))
-    step = (_CELLS + 1) // 2
+    size = 1 << len(edges).bit_length()
+    cuts = _doubles(edges + [edges[-1]] * (size - 1 - len(edges)))
+    step = size // 2
     while step:
         beyond = F.get(cuts, F.col("cell") + (step - 1)) < F.col(x)
         out = out.withColumn("cell", F.col("cell") + F.when(beyond, step).otherwise(0))
@@ -41,7 +43,7 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
 
     AUC = sum over scores of pos * (negatives below + half the negatives at the score) / (P * N).
     Rows are counted per score first, so ties collapse on the map side. The running count of
-    negatives is taken inside about 2,000 score ranges cut at sketch quantiles (a first pass over
+    negatives is taken inside up to 4,096 score ranges cut at sketch quantiles (a first pass over
     the score column alone) - parallel and balanced - and then lifted by the totals of the lower
     ranges. NULL when a class is absent.
     """
@@ -49,8 +51,10 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     rows = df.select(F.when(~F.isnan(x), x).alias("x"), F.col(label).cast("int").alias("y"))
     rows = rows.where("x is not null and y is not null")
     shares = _doubles([i / (_CELLS + 1) for i in range(1, _CELLS + 1)])
-    cuts = rows.agg(F.percentile_approx("x", shares, _SKETCH_ACCURACY)).first()[0]
-    edges = sorted({e for e in cuts or [] if math.isfinite(e)})
+    fit = rows.agg(F.percentile_approx("x", shares, _SKETCH_ACCURACY).alias("cuts"), F.count("*").alias("n")).first()
+    wanted = min(_CELLS, fit["n"] // _CELL_ROWS)
+    spaced = [fit["cuts"][(i + 1) * (_CELLS + 1) // (wanted + 1) - 1] for i in range(wanted)]
+    edges = sorted({e for e in spaced if math.isfinite(e)})
     counted = rows.groupBy("x").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
     ranged = _with_cell(counted, "x", edges)
     before = F.sum("neg").over(W.partitionBy("cell").orderBy("x").rowsBetween(W.unboundedPreceding, 0)) - F.col("neg")

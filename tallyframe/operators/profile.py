@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import equal_width_bin, ratio
 from tallyframe.operators.assoc import pearson
-from tallyframe.operators.counts import as_label, most_frequent, value_totals
+from tallyframe.operators.counts import most_frequent, value_totals
 from tallyframe.operators.order import Span, comparable, quantiles
 from tallyframe.operators.tables import by_magnitude, one_pass, stack_tables
 from tallyframe.session import small_table
@@ -308,9 +308,3 @@ def box_stats(df: DataFrame, column: str, by: str, levels: Sequence[float] = (),
         "whisker_lo double, whisker_hi double" + (", letter_values array<double>" if levels else ""),
     )
 
-
-__all__ = [
-    "adjusted_skewness", "as_label", "box_stats", "cat_summary", "column_stats", "comparable_each", "describe",
-    "distinct_counts", "histogram", "largest_values", "missing_compare", "null_summary", "num_summary",
-    "quantile_ladder", "target_balance", "top_counts_by_target", "value_counts",
-]

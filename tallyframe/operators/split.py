@@ -22,7 +22,7 @@ _STEP = 3
 _STEPS = 3
 # A class is ranked directly once the group with its k-th row has at most this many rows.
 _RANK_ROWS = 100_000
-_CLASS_LIMIT = 1_000
+_CLASS_LIMIT = 100_000
 _LAST = 2**63 - 1
 
 

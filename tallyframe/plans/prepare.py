@@ -83,7 +83,6 @@ def _fit_kept(train: DataFrame, spec: TableSpec, rules: PrepareRules, reduced: S
         .groupBy("column", label.alias("value"))
         .agg(F.sum("n").alias("count"))
         .where(F.col("count") >= least)
-        .select("column", "value")
     )
     few = rows_up_to(frequent, LITERAL_LIMIT * len(reduced))
     if few is None:  # too many for literals: each column gets a written table

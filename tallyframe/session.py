@@ -8,7 +8,6 @@ from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -76,12 +75,3 @@ def rows_up_to(df: DataFrame, limit: int) -> list | None:
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
 
-
-def broadcast_if_few(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """``df`` as a broadcast table once it is counted to have at most ``limit`` rows, else as it is.
-
-    Without this check Spark plans a shuffle of the large side of a join before it can know how
-    small an aggregated side turns out.
-    """
-    rows = rows_up_to(df, limit)
-    return df if rows is None else F.broadcast(small_table(df.sparkSession, [tuple(r) for r in rows], df.schema))

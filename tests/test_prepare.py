@@ -59,7 +59,7 @@ def test_other_rows_do_not_move_fitted_values(train, spec, spark):
 def test_many_kept_values_use_a_table(train, spec, monkeypatch):
     want = sorted(map(tuple, prepare.prepare_from(train, train, spec, RULES).collect()))
     monkeypatch.setattr(prepare, "LITERAL_LIMIT", 0)
-    monkeypatch.setattr("tallyframe.operators.cardinality.fit_kept.__defaults__", (("missing",), "other", 0))
+    monkeypatch.setattr("tallyframe.operators.cardinality.LITERAL_LIMIT", 0)
     fitted = prepare.fit_prepare(train, spec, RULES)
     assert fitted.kept[0].table is not None
     assert sorted(map(tuple, prepare.prepare(train, fitted).collect())) == want
@@ -78,6 +78,15 @@ def test_calendar_preparation(train, spark):
                             "d_month": 7, "d_weekday": 2}
 
 
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_one_hot_with_broadcast_and_with_shuffled_categories(spark, monkeypatch, limit):
+    monkeypatch.setattr(encode, "CATEGORY_LIMIT", limit)
+    a = spark.createDataFrame([(i, "hot" if i % 3 else f"v{i % 7}") for i in range(50)], "id bigint, k string")
+    got = {tuple(r) for r in encode.onehot_long(a.where("id > 5"), "id", ["k"], a.where("id < 15")).collect()}
+    seen = {r["k"] for r in a.where("id < 15").collect()}
+    assert got == {(r["id"], f"ohe__k__{r['k']}", 1.0) for r in a.where("id > 5").collect() if r["k"] in seen}
+
+
 def test_one_hot_ignores_unseen_values(spark):
     a = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id bigint, k string")
     b = spark.createDataFrame([(7, "z"), (8, "a")], "id bigint, k string")

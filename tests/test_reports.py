@@ -171,17 +171,18 @@ def test_coverage_and_kept_sets(spark):
     assert tuple(cardinality.describe_keep(df, "k", keep).first()) == (2, 3, 0.75)
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
+@pytest.mark.parametrize("limit", [1000, 1, 0])
 def test_collapse_is_the_same_with_literals_and_with_a_table(spark, limit):
-    df = spark.createDataFrame([("a",)] * 6 + [("b",), (None,), ("missing",)], "k string")
+    df = spark.createDataFrame([("a",)] * 6 + [("c",)] * 4 + [("b",), (None,), ("missing",)], "k string")
     kept = cardinality.fit_kept(cardinality.keep_by_min_count(df, "k", 3), "k", literal_limit=limit)
-    assert (kept.table is None) == (limit > 0)
+    assert (kept.table is None) == (limit > 1) and len(kept.literals) == min(limit, 2)
     out = kept.apply(df).groupBy("k").count()
-    assert {tuple(r) for r in out.collect()} == {("a", 6), ("other", 2), ("missing", 1)}
+    assert {tuple(r) for r in out.collect()} == {("a", 6), ("c", 4), ("other", 2), ("missing", 1)}
 
 
-@pytest.mark.parametrize("n, distinct", [(300, 5), (2000, 1500)])
-def test_auc_matches_rank_formula(spark, n, distinct):
+@pytest.mark.parametrize("n, distinct, cell_rows", [(300, 5, 20_000), (300, 5, 1), (2000, 1500, 1), (2000, 1500, 37)])
+def test_auc_matches_rank_formula(spark, monkeypatch, n, distinct, cell_rows):
+    monkeypatch.setattr(metrics, "_CELL_ROWS", cell_rows)
     rng = np.random.default_rng(n)
     score, label = rng.integers(distinct, size=n).astype(float), rng.integers(2, size=n)
     df = spark.createDataFrame(pd.DataFrame({"s": score, "y": label}))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.missing import CSV_NULL_TOKENS
 from tallyframe.operators.drift import tag_sources
-from tallyframe.session import broadcast_if_few, rows_up_to, small_table, stage
+from tallyframe.session import rows_up_to, small_table, stage
 from tallyframe.sources.files import read_csv, read_parquet, sample_csv, write_csv, write_parquet
 
 
@@ -60,8 +60,6 @@ def test_small_tables_and_limits(spark):
     assert [tuple(r) for r in df.collect()] == [("a", 1, None), ("b", 2, [1.0])]
     assert small_table(spark, [], "k string").count() == 0
     assert rows_up_to(df, 1) is None and len(rows_up_to(df, 2)) == 2
-    plan = spark.range(10).join(broadcast_if_few(df.select(F.col("n").alias("id"))), "id")
-    assert plan.count() == 2
 
 
 def test_staged_tables_are_files(spark):

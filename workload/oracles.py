@@ -338,6 +338,10 @@ add("fitted_medians", f"with {DIRTY_CTE}, {SPLIT}, m as (" + " union all ".join(
     + """) select m."column", round(median, 6) as median, count(*) filter (case m."column" """
     + " ".join(f"when '{c}' then {c} < median" for c in NUMS) + """ end) as rows_below
 from m, split where not is_valid group by 1, 2""")
+add("impute_plain", f"with {DIRTY_CTE}, m as (select " + ", ".join(f"{q(c, 0.5)} as m_{c}" for c in NUMS)
+    + f" from dirty where {EARLY}) select id, y, " + ", ".join(
+        f"round(coalesce(cast({c} as double), m_{c}), 6) as {c}" for c in NUMS) + ", " + ", ".join(
+        f"coalesce({c}, 'unknown') as {c}" for c in CATS) + f" from dirty, m where {LATE}")
 add("scale_standard", f"with {DIRTY_CTE}, s as (select " + ", ".join(
     f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in NUMS) + f" from dirty where {EARLY}) select id, " + ", ".join(
     f"round(({c} - m_{c}) / s_{c}, 6) as {c}" for c in NUMS) + " from dirty, s")
@@ -371,6 +375,11 @@ s as (select value, count(*) filter ({EARLY}) / any_value(a) as train_pct, count
 select 'segment_raw' as feature, 'categorical' as type, value, round(train_pct, 6) as train_pct,
 round(test_pct, 6) as test_pct, round(test_pct - train_pct, 6) as diff_pct from s
 order by abs(test_pct - train_pct) desc, value limit 8""")
+_SOURCE_NUMS = (*NUMS, "agent_id", "company_id")
+add("prepare_sources", f"with {DIRTY_CTE}, m as (select " + ", ".join(f"{q(c, 0.5)} as m_{c}" for c in _SOURCE_NUMS)
+    + f" from dirty) select id, cast({LATE} as integer) as is_test, " + ", ".join(
+        f"round(coalesce(cast({c} as double), m_{c}), 6) as {c}" for c in _SOURCE_NUMS) + ", " + ", ".join(
+        f"coalesce({norm(c)}, 'missing') as {c}" for c in CATS) + " from dirty, m")
 add("importance_by_column", """with w as (select p_type as model, p_brand as feature, sum(p_retailprice) as importance
 from part group by 1, 2), r as (select *, row_number() over (partition by model order by importance desc, feature) as rk from w)
 select model, feature, round(importance, 6) as importance from r where rk <= 5""")

@@ -455,6 +455,13 @@ def fitted_medians(spark, sf):
     ]))
 
 
+@register
+def impute_plain(spark, sf):
+    rows = dirty(spark, sf).select("id", "y", "d", *DIRTY_NUMS, *DIRTY_CATS)
+    halves = (half.drop("d") for half in (early(rows), late(rows)))
+    return rounded(benchmark.impute_plain(*halves, id="id", target="y")[1])
+
+
 @register
 def scale_standard(spark, sf):
     rows = dirty(spark, sf).select("id", "d", *DIRTY_NUMS)
@@ -506,6 +513,11 @@ def categorical_shift(spark, sf):
     return rounded(drift.categorical_shift(tagged_halves(spark, sf), "segment_raw"))
 
 
+@register
+def prepare_sources(spark, sf):
+    return rounded(adversarial.prepare_sources(tagged_halves(spark, sf), "id", leaks=["y", "d", "date_raw"]))
+
+
 @register
 def importance_by_column(spark, sf):
     part = table(spark, sf, "part")
