@@ -142,9 +142,10 @@ def feature_importance(
 ) -> DataFrame:
     """Most important encoded features of a forest fitted on ``train``."""
     choice = choice or default_models()[FOREST]
-    encoder, a, _ = encode_pair(train, train.limit(0), id, target, scale=choice.scale)
-    with cached(a) as (a,):
-        model = choice.classifier(a.count()).fit(a)
+    with cached(train) as (train,):
+        encoder, a, _ = encode_pair(train, train.limit(0), id, target, scale=choice.scale)
+        with cached(a) as (a,):
+            model = choice.classifier(a.count()).fit(a)
     table = importance_table(train.sparkSession, model, encoder.names).orderBy(F.desc("importance"), "feature")
     return table if top_n is None else table.limit(top_n)
 

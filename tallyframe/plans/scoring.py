@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators.models import ModelChoice, default_models
 from tallyframe.operators.split import stratified_split
-from tallyframe.plans.benchmark import PROBABILITY, _benchmark, _score_table, encode_pair, positive_probability
+from tallyframe.plans.benchmark import (
+    PROBABILITY, _benchmark, _score_table, cached, encode_pair, positive_probability,
+)
 from tallyframe.plans.prepare import PrepareRules, fit_prepare, prepare
 from tallyframe.session import checkpoint_dir
 from tallyframe.sources.files import write_csv
@@ -30,8 +32,10 @@ class BestPrediction:
 def fit_predict(train: DataFrame, rows: DataFrame, id: str, target: str, choice: ModelChoice) -> DataFrame:
     """(id, probability) for ``rows``; the id travels with its row."""
     checkpoint_dir(train.sparkSession)
-    encoder, a, b = encode_pair(train, rows, id, target, scale=choice.scale)
-    model = choice.classifier(encoder.rows or train.count()).fit(a)
+    with cached(train) as (train,):
+        encoder, a, b = encode_pair(train, rows, id, target, scale=choice.scale)
+        with cached(a) as (a,):
+            model = choice.classifier(encoder.rows or a.count()).fit(a)
     return positive_probability(model.transform(b), id)
 
 
