@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -102,9 +102,15 @@ class _Scanner:
                         done = m.end()
         if not found:
             return []
-        # A place of one notice overlapped by a better place of the same label and phrase has been left out above.
+        found.sort(key=lambda f: f[1])
+        longest = max(f[2] - f[1] for f in found)
         places = set()
         for i, start, stop, edits in found:
+            if edits:  # gives way to an overlapping place of fewer edits, as of another version of a license
+                low = bisect_left(found, start - longest, key=lambda f: f[1])
+                high = bisect_left(found, stop, key=lambda f: f[1])
+                if any(f[3] < edits and f[2] > start for f in found[low:high]):
+                    continue
             first = text.count(" ", 0, start)
             places.add((self.notices[i].phrase, self.notices[i].label, first, text.count(" ", start, stop) + 1, edits))
         return sorted(places, key=lambda p: (p[2], p[0], p[4]))
@@ -120,7 +126,7 @@ def scan(df: DataFrame, text: str = "text", notices: Sequence[Notice] = NOTICES,
 
     A place is where a notice stands in the words of the text, with up to its number of edits (inserted, lost or changed
     characters of the words joined by single spaces) between word borders; ``word`` counts from 0. Exact places
-    are all reported, also overlapping ones; places with edits do not overlap an exact place of the same phrase.
+    are all reported, also overlapping ones; a place with edits gives way to an overlapping one with fewer.
     A null or empty text has 0 words and no places. Repeated rows are scanned each on its own. A text of any length is
     scanned whole. Columns named ``n_words`` or ``places`` are replaced.
     """

@@ -67,8 +67,8 @@ def splitters(sized: DataFrame, total: int, ranges: int) -> list[int]:
 def shard(df: DataFrame, shards: int, size: Column, group: Column, row: Column, rows_in_range: int = 50_000) -> DataFrame:
     """Add ``shard int`` (0 to ``shards`` - 1) and ``slot long`` (from 0 in each shard, without gaps).
 
-    Law: a row goes to the shard in which its first byte falls when all rows stand in order of
-    :func:`spread_key` and every shard has the same number of bytes; so the bytes of two shards differ by less than two of the
+    Law: a row goes to the shard in which its middle falls when all rows stand in order of
+    :func:`spread_key` and every shard has the same number of bytes; so the bytes of a shard are off by less than one of the
     largest rows. The order is global, but nothing is sorted globally: splitters from a size-weighted
     sample cut the keys into ranges of a bounded number of rows, each range is numbered by itself, and the bytes and
     rows of the ranges before it are added. Equal keys (repeated rows) are ordered by size and may take any order among
@@ -97,7 +97,7 @@ def shard(df: DataFrame, shards: int, size: Column, group: Column, row: Column,
         .select(
             "row",
             (F.col("n") - 1 + F.col("rows_before")).alias("at"),
-            F.expr(f"cast(least({shards - 1}, (b + bytes_before) * {shards} div {max(total, 1)}) as int)").alias("shard"),
+            F.expr(f"cast(least({shards - 1}, (2 * (b + bytes_before) + size) * {shards} div {max(2 * total, 1)}) as int)").alias("shard"),
         )
     )
     starts = placed.groupBy("shard").agg(F.min("at").alias("start"))  # one row for each shard
