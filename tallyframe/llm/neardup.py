@@ -94,7 +94,11 @@ def signatures(sets: list[np.ndarray], rule: Rule) -> np.ndarray:
 
 
 def describe(df: DataFrame, rule: Rule, text: str, keep: list[str]) -> DataFrame:
-    """Add ``words_hash binary, n_shingles long, signature binary`` (null for a text without words)."""
+    """Add ``words_hash, n_shingles, signature, brief`` (null for a text without words).
+
+    ``brief`` holds the lower byte of each position. Equal positions have equal bytes, so that its distance is never
+    larger than the signature's; it takes half the room where signatures are compared one by one.
+    """
 
     def make(texts):
         names, sets = [], []
@@ -104,9 +108,13 @@ def describe(df: DataFrame, rule: Rule, text: str, keep: list[str]) -> DataFrame
             sets.append(shingles(words, rule.shingle))
         full = [s for s in sets if len(s)]
         rows = iter(signatures(full, rule)) if full else iter(())
-        return [names, list(map(len, sets)), [next(rows).tobytes() if len(s) else None for s in sets]]
+        found = [next(rows) if len(s) else None for s in sets]
+        return [
+            names, list(map(len, sets)), [None if f is None else f.tobytes() for f in found],
+            [None if f is None else f.astype(np.uint8).tobytes() for f in found],
+        ]
 
-    return append_columns(df, [text], "words_hash binary, n_shingles long, signature binary", make, keep)
+    return append_columns(df, [text], "words_hash binary, n_shingles long, signature binary, brief binary", make, keep)
 
 
 def bucket_keys(classes: DataFrame, rule: Rule) -> DataFrame:
@@ -149,7 +157,7 @@ def _forest(n: int, linked) -> Iterator[tuple[int, int]]:
 
 def _similar_signatures(columns: list[pa.Array], rule: Rule) -> Iterator[tuple[int, int]]:
     nodes = columns[-2].to_numpy()
-    found = np.frombuffer(b"".join(columns[-1].to_pylist()), np.uint16).reshape(len(nodes), rule.hashes)
+    found = np.frombuffer(b"".join(columns[-1].to_pylist()), np.uint8).reshape(len(nodes), rule.hashes)
     for x, y in _forest(len(nodes), lambda x, rest: (found[rest] != found[x]).sum(1) <= rule.radius):
         yield nodes[x], nodes[y]
 
@@ -229,16 +237,17 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id",
     """
     rows = stage(describe(df.select(df[doc_id].cast("long").alias("doc_id"), df[text].alias("__text")), rule, "__text", ["doc_id"]), "neardup-rows")
     full = rows.where("doc_id is not null and n_shingles > 0")
-    classes = stage(full.groupBy("words_hash").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "neardup-classes")
+    classes = stage(full.groupBy("words_hash").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("brief").alias("brief")), "neardup-classes")
 
     keys = bucket_keys(classes, rule)
     buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.sum(F.shiftright(F.xxhash64("node"), 20)).alias("print")).where("n > 1")
     buckets = stage(buckets.groupBy("n", "low", "high", "print").agg(F.min("key").alias("key")), "neardup-buckets")
     couples = buckets.where("n = 2").select("key", "n", F.explode(F.array("low", "high")).alias("node"))
-    larger = buckets.where("n > 2").select("key", "n").join(keys, "key")
+    # Buckets and classes grow with the input, so these joins are by shuffle at every size.
+    larger = keys.join(buckets.where("n > 2").select("key", "n").hint("merge"), "key").select("key", "n", "node")
     members = couples.unionByName(larger).withColumn("blocks", F.ceil(F.col("n") / BUCKET_ROWS))
-    members = _block_pairs(members, "blocks").join(classes.select("node", "signature"), "node")
-    candidates = _links(members.select("key", "i", "j", "node", "signature"), ["key", "i", "j"], _similar_signatures, rule)
+    members = _block_pairs(members, "blocks").join(classes.select("node", "brief").hint("merge"), "node")
+    candidates = _links(members.select("key", "i", "j", "node", "brief"), ["key", "i", "j"], _similar_signatures, rule)
 
     clusters = stage(components(candidates, "neardup-candidates"), "neardup-clusters")
     texts = df.select(df[doc_id].cast("long").alias("node"), df[text].alias("__text")).join(clusters, "node").where("__text is not null")
