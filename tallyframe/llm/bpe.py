@@ -17,25 +17,25 @@ from pyspark.sql import DataFrame
 
 from tallyframe.llm.common import append_columns
 
-#: Pieces and token pairs a worker remembers; beyond that it forgets all and starts again.
-PIECES, PAIRS = 400_000, 1_000_000
+#: Pieces, words and token pairs a worker remembers; beyond that it forgets all and starts again.
+PIECES, WORDS, PAIRS = 150_000, 200_000, 250_000
 #: Matches handled at a time in a very long text.
 RUN = 1 << 18
 
 
-class _Pieces(dict):
-    """Token ids of a piece, found on the first look-up."""
+class _Known(dict):
+    """Token ids of a string, found on the first look-up."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= PIECES:
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        if len(self) >= self.most:
             self.clear()
-        ids = self.encode(piece.encode())
-        if len(piece) <= 64:
-            self[piece] = ids
+        ids = self.encode(text)
+        if len(text) <= 64:
+            self[text] = ids
         return ids
 
 
@@ -68,7 +68,10 @@ class ByteBPE:
         self.known.clear()
         automaton.make_automaton()
         self.find = automaton.iter
-        self.pieces = _Pieces(self._encode_piece)
+        self.pieces = _Known(lambda piece: self._encode_piece(piece.encode()), PIECES)
+        self.spaced = _Known(self._encode_spaced, WORDS)
+        # With the pattern of the rank files a space before another sign always starts a match.
+        self.space_starts = self.pattern.pattern.startswith("'s|'t|'re|'ve|'m|'ll|'d| ?")
 
     def _learn(self, rank: int, token: bytes) -> bool:
         """Find the two tokens whose merge makes this one. Ranks come in rising order, so both are known."""
@@ -144,10 +147,18 @@ class ByteBPE:
                 k = tried.pop() - 1
         return tuple(chosen)
 
+    def _encode_spaced(self, word: str) -> tuple[int, ...]:
+        """Ids of a space and a word without spaces."""
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(" " + word))))
+
     def runs(self, text: str) -> Iterator[list[int]]:
         """Ids of the text, a bounded number of pieces at a time."""
         look = self.pieces.__getitem__
         if len(text) <= RUN:
+            if self.space_starts and text and "  " not in text and text[0] != " " and text[-1] != " ":
+                first, *words = text.split(" ")
+                yield [*chain.from_iterable(map(look, self.pattern.findall(first))), *chain.from_iterable(map(self.spaced.__getitem__, words))]
+                return
             yield list(chain.from_iterable(map(look, self.pattern.findall(text))))
             return
         pieces = (m.group() for m in self.pattern.finditer(text))

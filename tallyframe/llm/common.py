@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tallyframe.session import stage
 
 #: Text handed to one call of a batch function, in bytes; bounds what a Python worker holds at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _AS_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
@@ -47,13 +47,14 @@ def _cuts(column: pa.Array, limit: int) -> list[int]:
 
 
 def append_columns(
-    df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[..., list], keep: Sequence[str] | None = None
+    df: DataFrame, inputs: Sequence[str], outputs: str, make: Callable[..., list], keep: Sequence[str] | None = None,
+    chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Add columns that ``make`` computes from whole batches of rows.
 
     ``make`` gets one Python list for each input column and returns one list for each column of the DDL text
     ``outputs``. Rows stay where they are: no shuffle. ``keep`` names the columns passed through (default: all);
-    one whose name clashes with an output is replaced by it.
+    one whose name clashes with an output is replaced by it. ``make`` gets about ``chunk`` bytes of the last input at a time.
     """
     fields = StructType.fromDDL(outputs)
     kept = without(df.select(*keep) if keep is not None else df, fields.names)
@@ -64,7 +65,7 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cuts = _cuts(batch.column(n_kept + len(inputs) - 1), CHUNK_BYTES)
+            cuts = _cuts(batch.column(n_kept + len(inputs) - 1), chunk)
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue

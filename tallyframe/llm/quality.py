@@ -256,4 +256,4 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | Non
     Uses the text alone, the whole of it. A null or empty text has no bad line and gets the score of a
     wholly good text. Repeated rows score alike. A column named ``score`` is replaced.
     """
-    return append_columns(df, [text], "score double", lambda texts: [model.score(texts).tolist()], keep)
+    return append_columns(df, [text], "score double", lambda texts: [model.score(texts).tolist()], keep, chunk=1 << 20)
