@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 
 from tallyframe.llm.common import append_columns
 
-#: Pieces, words and token pairs a worker remembers; beyond that it forgets all and starts again.
-PIECES, WORDS, PAIRS = 150_000, 200_000, 250_000
+#: Pieces and token pairs of a generation. A worker remembers two generations of pieces, the last one and what was
+#: used of it since; of pairs it forgets all beyond that.
+PIECES, PAIRS = 200_000, 250_000
 #: Matches handled at a time in a very long text.
 RUN = 1 << 18
 
@@ -28,12 +29,15 @@ class _Known(dict):
 
     def __init__(self, encode, most: int):
         super().__init__()
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.last = encode, most, {}
 
     def __missing__(self, text: str) -> tuple[int, ...]:
         if len(self) >= self.most:
+            self.last = dict(self)
             self.clear()
-        ids = self.encode(text)
+        ids = self.last.get(text)
+        if ids is None:
+            ids = self.encode(text)
         if len(text) <= 64:
             self[text] = ids
         return ids
@@ -61,17 +65,17 @@ class ByteBPE:
         self.merged: dict[tuple[int, int], int] = {}
         self.known: dict[tuple[int, int], bool] = {}
         automaton = ahocorasick.Automaton()
+        reached = {}
         for rank in sorted(self.ranks.values()):
             token = self.tokens[rank]
             if len(token) == 1 or self._learn(rank, token):
-                automaton.add_word(token.decode("latin-1"), rank)
-        self.known.clear()
+                automaton.add_word(token.decode("latin-1"), (len(token) - 1, rank))
+                reached[token] = rank
+        # The longest token that begins a token, -1 if there is none.
+        self.shorter = [next((reached[t[:cut]] for cut in range(len(t) - 1, 0, -1) if t[:cut] in reached), -1) for t in self.tokens]
         automaton.make_automaton()
         self.find = automaton.iter
-        self.pieces = _Known(lambda piece: self._encode_piece(piece.encode()), PIECES)
-        self.spaced = _Known(self._encode_spaced, WORDS)
-        # With the pattern of the rank files a space before another sign always starts a match.
-        self.space_starts = self.pattern.pattern.startswith("'s|'t|'re|'ve|'m|'ll|'d| ?")
+        self.pieces = _Known(self._encode_piece, PIECES)
 
     def _learn(self, rank: int, token: bytes) -> bool:
         """Find the two tokens whose merge makes this one. Ranks come in rising order, so both are known."""
@@ -117,48 +121,37 @@ class ByteBPE:
             found = known[left, right] = self._adjacent(left, right)
         return found
 
-    def _encode_piece(self, piece: bytes) -> tuple[int, ...]:
+    def _encode_piece(self, text: str) -> tuple[int, ...]:
+        piece = text.encode()
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        n, sizes, adjacent = len(piece), self.sizes, self.adjacent
-        starts: list[list[int]] = [[] for _ in range(n)]
-        for end, token in self.find(piece.decode("latin-1")):
-            starts[end - sizes[token] + 1].append(token)  # shorter ones first
+        n, sizes, shorter, adjacent = len(piece), self.sizes, self.shorter, self.adjacent
+        longest = [-1] * n
+        for end, (back, token) in self.find(piece.decode("latin-1")):
+            longest[end - back] = token  # longer ones come later
         failed = bytearray(n + 1)
         chosen: list[int] = []
-        tried: list[int] = []
-        at, k = 0, len(starts[0]) - 1
-        while at < n:
-            here = starts[at]
-            while k >= 0:
-                token = here[k]
-                if not failed[at + sizes[token]] and (not chosen or adjacent(chosen[-1], token)):
-                    break
-                k -= 1
-            if k >= 0:
+        at, token, last = 0, longest[0], -1
+        while True:
+            while token >= 0 and (failed[at + sizes[token]] or (last >= 0 and not adjacent(last, token))):
+                token = shorter[token]
+            if token >= 0:
                 chosen.append(token)
-                tried.append(k)
                 at += sizes[token]
-                k = len(starts[at]) - 1 if at < n else -1
+                if at == n:
+                    return tuple(chosen)
+                last, token = token, longest[at]
             else:
                 failed[at] = 1
-                at -= sizes[chosen.pop()]
-                k = tried.pop() - 1
-        return tuple(chosen)
-
-    def _encode_spaced(self, word: str) -> tuple[int, ...]:
-        """Ids of a space and a word without spaces."""
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(" " + word))))
+                back = chosen.pop()
+                at -= sizes[back]
+                last, token = chosen[-1] if chosen else -1, shorter[back]
 
     def runs(self, text: str) -> Iterator[list[int]]:
         """Ids of the text, a bounded number of pieces at a time."""
         look = self.pieces.__getitem__
         if len(text) <= RUN:
-            if self.space_starts and text and "  " not in text and text[0] != " " and text[-1] != " ":
-                first, *words = text.split(" ")
-                yield [*chain.from_iterable(map(look, self.pattern.findall(first))), *chain.from_iterable(map(self.spaced.__getitem__, words))]
-                return
             yield list(chain.from_iterable(map(look, self.pattern.findall(text))))
             return
         pieces = (m.group() for m in self.pattern.finditer(text))
