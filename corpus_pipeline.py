@@ -37,7 +37,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group stays, that of the smallest id; of its repeated rows, one. Null ids stay."""
     gone = neardup.near_duplicates(docs, SAME).where(~F.col("kept")).select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = kept.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
     once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
     return once.unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
 
@@ -49,8 +51,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents, ``token_ids``, ``n_tokens``, and ``exact``: the ids decode to the text's bytes."""
-    coded = bpe.decode(bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN), VOCABULARY, public_tokenizers.PATTERN)
-    return coded.withColumn("exact", F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).drop("decoded")
+    return bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -19,7 +19,7 @@ from tallyframe.llm.common import append_columns
 
 #: Pieces and token pairs of a generation. A worker remembers two generations of pieces, the last one and what was
 #: used of it since; of pairs it forgets all beyond that.
-PIECES, PAIRS = 200_000, 250_000
+PIECES, PAIRS = 120_000, 150_000
 #: Matches handled at a time in a very long text.
 RUN = 1 << 18
 
@@ -188,20 +188,25 @@ def codec(path: str, pattern: str) -> ByteBPE:
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """Add ``token_ids array<int>`` and ``n_tokens long``.
+    """Add ``token_ids array<int>``, ``n_tokens long`` and ``exact boolean``: the ids decode to the text's bytes.
 
     Each match of ``pattern`` is encoded separately; strings of special tokens are ordinary text. A null or empty
     text gives an empty array and 0. Rows, also repeated ones, stay as they are and nothing is shuffled; columns named
-    ``token_ids`` or ``n_tokens`` are replaced. A very long text is read a bounded number of pieces at a time.
+    like the new ones are replaced. A very long text is read a bounded number of pieces at a time.
     """
 
     def make(texts):
-        lists = [np.array(codec(path, pattern).encode(t), np.int32) for t in texts]
+        tool = codec(path, pattern)
+        lists, exact = [], []
+        for t in texts:
+            ids = tool.encode(t)
+            exact.append(tool.decode(ids) == (t or "").encode())
+            lists.append(np.array(ids, np.int32))
         ends = np.cumsum([0, *map(len, lists)])
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*lists, np.empty(0, np.int32)])))
-        return [ids, np.diff(ends).tolist()]
+        return [ids, np.diff(ends).tolist(), exact]
 
-    return append_columns(df, [text], "token_ids array<int>, n_tokens long", make)
+    return append_columns(df, [text], "token_ids array<int>, n_tokens long, exact boolean", make)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids") -> DataFrame:

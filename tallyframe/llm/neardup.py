@@ -57,7 +57,7 @@ class _WordHashes(dict):
     """64-bit hashes of words; forgotten when there are too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value

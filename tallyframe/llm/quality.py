@@ -78,6 +78,19 @@ def line_features(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray,
     return features.astype(np.float32), sizes, per_doc
 
 
+def features_of(texts: Sequence[str | None], chunk: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`line_features` of many texts, about ``chunk`` characters at a time."""
+    parts, held, size = [], [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text or "")
+        if size >= chunk:
+            parts.append(line_features(held))
+            held, size = [], 0
+    parts.append(line_features(held) if held else (np.empty((0, N_BASE), np.float32), np.empty(0, np.int64), np.empty(0, np.int64)))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
 def with_neighbours(features: np.ndarray, per_doc: np.ndarray) -> np.ndarray:
     """Each line's features, those of the line before and after in its document (zeros at the ends), and a constant."""
     n, width = features.shape
@@ -148,7 +161,7 @@ class Model:
 
     def good_share(self, texts: Sequence[str | None]) -> np.ndarray:
         """Length-weighted mean of the lines' chance to be good; 1 for texts without a line."""
-        features, sizes, per_doc = line_features(texts)
+        features, sizes, per_doc = features_of(texts)
         good, _, _ = marginals(with_neighbours(features, per_doc) @ self.weights, self.moves, per_doc)
         doc = np.repeat(np.arange(len(per_doc)), per_doc)
         weight = np.bincount(doc, weights=sizes, minlength=len(per_doc))
@@ -181,7 +194,7 @@ def fit_rows(texts: Sequence[str | None], labels: Sequence[int], steps: int = 20
     n_pad = 3 * N_BASE + 1
     if len(y) == 0 or len(set(y.tolist())) < 2:
         return Model(np.zeros(n_pad), np.zeros((2, 2)), 0.0, 0.0, (float(y.sum()) + 1) / (len(y) + 2))
-    features, _, per_doc = line_features(texts)
+    features, _, per_doc = features_of(texts)
     x = with_neighbours(features, per_doc).astype(np.float64)
     doc = np.repeat(np.arange(len(y)), per_doc)
     line = y[doc].astype(np.float64)
