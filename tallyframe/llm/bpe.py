@@ -19,7 +19,7 @@ from tallyframe.llm.common import append_columns
 
 #: Pieces and token pairs of a generation. A worker remembers two generations of pieces, the last one and what was
 #: used of it since; of pairs it forgets all beyond that.
-PIECES, PAIRS = 120_000, 150_000
+PIECES, PAIRS = 200_000, 150_000
 #: Matches handled at a time in a very long text.
 RUN = 1 << 18
 

@@ -16,9 +16,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tallyframe.llm.common import grouped, without
+from tallyframe.session import rows_up_to, small_table
 
 #: Pages and bytes of one template; a host with more is cut into blocks that deduce theirs separately.
 BLOCK_PAGES, BLOCK_BYTES = 256, 8 << 20
+#: Hosts of more than one block that are broadcast; more are joined by shuffle, with the same rows.
+LARGE_HOSTS = 100_000
 #: Distinct pages from which on a template is deduced, and tokens a class needs.
 LEAST_PAGES, LEAST_TOKENS = 3, 3
 
@@ -250,10 +253,13 @@ def extract(df: DataFrame, url: str = "url", html: str = "html", keep: list[str]
     """
     kept = without(df if keep is None else df.select(*keep), ["text"])
     rows = df.select(host_of(df[url]).alias("__host"), F.struct(*[df[c] for c in kept]).alias("__row"), F.coalesce(df[html], F.lit("")).alias("__html"))
-    sizes = rows.groupBy("__host").agg(F.count("*").alias("n"), F.sum(F.octet_length("__html")).alias("b"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK_PAGES), F.ceil(F.col("b") / BLOCK_BYTES))
-    dealt = rows.join(sizes.select("__host", blocks.alias("blocks")), "__host").select(
-        "__host", F.pmod(F.xxhash64("__html"), F.col("blocks")).cast("int").alias("__block"), "__row", "__html"
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_PAGES), F.ceil(F.sum(F.octet_length("__html")) / BLOCK_BYTES))
+    large = rows.groupBy("__host").agg(blocks.alias("blocks")).where("blocks > 1")
+    few = rows_up_to(large, LARGE_HOSTS)
+    if few is not None:  # counted just now, so the broadcast is bounded and pages are shuffled once only
+        large = F.broadcast(small_table(df.sparkSession, few, large.schema))
+    dealt = rows.join(large, "__host", "left").select(
+        "__host", F.coalesce(F.pmod(F.xxhash64("__html"), F.col("blocks")), F.lit(0)).cast("int").alias("__block"), "__row", "__html"
     )
     schema = StructType([dealt.schema["__row"], *StructType.fromDDL("text string")])
     arrow = to_arrow_schema(schema)

@@ -19,7 +19,7 @@ from tallyframe.session import stage
 
 #: Rows of one signature bucket, and rows and text bytes of one candidate cluster, that are compared in one task.
 #: Larger ones are cut into blocks, and every pair of blocks is compared.
-BUCKET_ROWS, CLUSTER_ROWS, CLUSTER_BYTES = 4096, 4096, 16 << 20
+BUCKET_ROWS, CLUSTER_ROWS, CLUSTER_BYTES = 4096, 4096, 8 << 20
 
 
 @dataclass(frozen=True)
