@@ -76,14 +76,14 @@ named as (select page_id, html,
   regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(before, '^([^/]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^(www|m)\\.', '')
   || regexp_replace(regexp_replace(before, '^[^/]*', ''), '/+$', '')
   || case when len(p) > 0 then '?' || array_to_string(p, '&') else '' end as url_key
-  from (select *, list_sort(list_filter(string_split(asked, '&'), x -> x <> '' and not regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) as p from parts)),
-full_ as (select page_id * 2 as record_id, url_key, page_id * 10 as at, md5(html) as etag, html from named),
-stale as (select page_id * 2 + 1 as record_id, url_key, page_id * 10 + 1005 as at, case when page_id % 7 = 0 then 'other' else md5(html) end as etag from named),
-joined as (select s.record_id, s.url_key, s.at, f.record_id as refers_to, s.etag, f.etag as theirs, f.html
-  from stale s asof left join full_ f on s.url_key = f.url_key and s.at > f.at)
-select record_id, url_key, at, refers_to,
+  from (select *, list_sort(list_filter(string_split(asked, '&'), lambda x: x <> '' and not regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) as p from parts)),
+full_ as (select page_id * 2 as record_id, url_key, page_id * 10 as "at", md5(html) as etag, html from named),
+stale as (select page_id * 2 + 1 as record_id, url_key, page_id * 10 + 1005 as "at", case when page_id % 7 = 0 then 'other' else md5(html) end as etag from named),
+joined as (select s.record_id, s.url_key, s."at", f.record_id as refers_to, s.etag, f.etag as theirs, f.html
+  from stale s asof left join full_ f on s.url_key = f.url_key and s."at" > f."at")
+select record_id, url_key, "at", refers_to,
   case when refers_to is null then 'missing' when etag = theirs then 'resolved' else 'mismatch' end as outcome,
-  etag, cast(at as varchar) as date,
+  etag, cast("at" as varchar) as date,
   case when etag = theirs then 'text/html' else 'text/plain' end as content_type,
   case when etag = theirs then cast(length(html) as bigint) end as n_chars,
   case when etag = theirs then md5(html) end as payload_md5
