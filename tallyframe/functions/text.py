@@ -40,9 +40,16 @@ def trim_lower(c: Column) -> Column:
     return F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
 
 
+def plain_text(c: Column) -> Column:
+    """A value as text. Whole numbers held as floating point become plain digits: no exponent, no trailing .0."""
+    number = c.try_cast("double")
+    digits = F.when(F.typeof(c).isin("double", "float") & (number == F.floor(number)), number.try_cast("bigint").cast("string"))
+    return F.coalesce(digits, c.cast("string"))
+
+
 def id_to_text(c: Column, missing: str = "missing") -> Column:
-    """A numeric identifier as plain digits (no exponent, no trailing .0); NULL becomes a level."""
-    return F.coalesce(c.cast("bigint").cast("string"), F.lit(missing))
+    """An identifier as text, as :func:`plain_text` gives it; NULL becomes a level."""
+    return F.coalesce(plain_text(c), F.lit(missing))
 
 
 def recode(c: Column, mapping: Mapping[str, str]) -> Column:

@@ -13,16 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyframe.functions.text import normalize_label
+from tallyframe.functions.text import normalize_label, plain_text
 
 
 def as_label(df: DataFrame, column: str) -> Column:
-    """Column as text; whole numbers held as floating point lose their trailing .0."""
-    kind = dict(df.dtypes)[column]
-    c = F.col(column)
-    if kind in ("double", "float"):
-        return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
-    return c.cast("string")
+    """Column as text, in the same form in counts and in transformed rows."""
+    return plain_text(df[column])
 
 
 def value_totals(

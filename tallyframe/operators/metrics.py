@@ -45,13 +45,14 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     Rows are counted per score first, so ties collapse on the map side. The running count of
     negatives is taken inside up to 4,096 score ranges cut at sketch quantiles (a first pass over
     the score column alone) - parallel and balanced - and then lifted by the totals of the lower
-    ranges. NULL when a class is absent.
+    ranges. NULL when a class is absent. A row without a score, or with a label other than 0 and 1, is an error.
     """
     x = F.col(score).cast("double")
     rows = df.select(F.when(~F.isnan(x), x).alias("x"), F.col(label).cast("int").alias("y"))
-    rows = rows.where("x is not null and y is not null")
     shares = _doubles([i / (_CELLS + 1) for i in range(1, _CELLS + 1)])
-    fit = rows.agg(F.percentile_approx("x", shares, _SKETCH_ACCURACY).alias("cuts"), F.count("*").alias("n")).first()
+    fit = rows.agg(F.percentile_approx("x", shares, _SKETCH_ACCURACY).alias("cuts"), F.count("*").alias("n"), F.count_if(F.expr("x is not null and y in (0, 1)")).alias("fine")).first()
+    if fit["fine"] < fit["n"]:
+        raise ValueError(f"{fit['n'] - fit['fine']} of {fit['n']} rows have no score, or a label other than 0 and 1")
     wanted = min(_CELLS, fit["n"] // _CELL_ROWS)
     spaced = [fit["cuts"][(i + 1) * (_CELLS + 1) // (wanted + 1) - 1] for i in range(wanted)]
     edges = sorted({e for e in spaced if math.isfinite(e)})

@@ -4,9 +4,10 @@ Spark's exact ``percentile`` keeps a value-to-count map of the whole column in o
 fails once a column has billions of distinct values. Here the search runs as a few aggregations:
 
 1. one pass takes count, minimum and maximum of every column;
-2. while the interval that holds a wanted rank has more than ``finish_rows`` rows, one pass
-   counts rows per equal-width slot of the interval (``slots`` groups per interval, combined on
-   the map side) and keeps only the slot with the rank, shrunk to the values that occur in it;
+2. while the interval that holds a wanted rank has more than ``finish_rows`` rows, one pass sketches the values a little
+   below and above each wanted rank, and one pass counts the rows between these values and at each of them. The part with
+   the rank then holds about 4 rows in ``accuracy``, whatever the values are: the search narrows by rank, not by
+   value, so that 10^9 rows take one such round and 10^13 rows two;
 3. a last pass counts rows per distinct value inside the remaining small intervals.
 
 Repeated values never hurt: they are counted, not listed, and an interval of one value is done.
@@ -26,9 +27,8 @@ from pyspark.sql import types as T
 
 from tallyframe.spec import INTEGRAL
 
-SLOTS = 8192
-FINISH_ROWS = 250_000
-_FAR = 8.0e307  # beyond this, a difference of two doubles could overflow
+ACCURACY = 10_000
+FINISH_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,7 @@ def order_statistics(
     keys: Mapping[str, Column],
     ranks: Mapping[str, Sequence[int]],
     known: Mapping[str, Span] | None = None,
-    slots: int = SLOTS,
+    accuracy: int = ACCURACY,
     finish_rows: int = FINISH_ROWS,
 ) -> dict[tuple[str, int], Ranked]:
     """Exact values at 0-based ``ranks`` of each key, missing values left out."""
@@ -106,29 +106,42 @@ def order_statistics(
         wide = [p for p in todo if p.rows > finish_rows and not p.stuck]
         if not wide:
             break
-        todo = [p for p in todo if p not in wide] + _narrow(df, keys, wide, slots)
+        todo = [p for p in todo if p not in wide] + _narrow(df, keys, wide, accuracy)
     for part in _single_values(df, keys, todo) if todo else []:
         found.update({(part.key, r): Ranked(part.lo, part.below, part.rows) for r in part.ranks})
     return found
 
 
-def _slot(x: Column, part: _Interval, slots: int) -> Column:
-    """Equal-width slot of x in the interval; never decreases as x grows."""
-    if isinstance(part.lo, int):
-        share = (x - F.lit(part.lo)).cast("double") / F.lit(float(part.hi - part.lo))
-        if part.hi - part.lo >= 2**62:  # the bigint difference could overflow
-            share = (x.cast("double") / 2 - part.lo / 2) / F.lit(part.hi / 2 - part.lo / 2)
-    else:
-        lo, hi = max(part.lo, -_FAR), min(part.hi, _FAR)
-        near = F.greatest(F.least(x, F.lit(hi)), F.lit(lo))
-        share = (near / 2 - lo / 2) / F.lit(hi / 2 - lo / 2)
-    return F.least(F.floor(share * slots), F.lit(slots - 1)).cast("bigint")
+def _edges(df: DataFrame, keys: Mapping[str, Column], parts: list[_Interval], accuracy: int) -> list[list[float | int]]:
+    """For each interval, values about ``2 / accuracy`` of its rows below and above each wanted rank; one pass."""
+    aggs = []
+    for i, part in enumerate(parts):
+        x = keys[part.key]
+        # Distances from the lower end keep every digit of whole numbers, once the interval is narrow enough.
+        seen = (x - F.lit(part.lo)).cast("double") if _exact_offset(part) else x.cast("double")
+        at = {min(max((r - part.below) / part.rows + side / accuracy, 0.0), 1.0) for r in part.ranks for side in (-2, 2)}
+        inside = F.when(x.between(F.lit(part.lo), F.lit(part.hi)), seen)
+        aggs.append(F.percentile_approx(inside, sorted(at), accuracy).alias(f"e{i}"))
+    row = df.agg(*aggs).first()
+    out = []
+    for i, part in enumerate(parts):
+        found = row[f"e{i}"] or []
+        if isinstance(part.lo, int):
+            found = [int(v) + (part.lo if _exact_offset(part) else 0) for v in found]
+        out.append(sorted({min(max(v, part.lo), part.hi) for v in found}))
+    return out
 
 
-def _splittable(part: _Interval) -> bool:
-    if isinstance(part.lo, int):
-        return True
-    return min(part.hi, _FAR) / 2 - max(part.lo, -_FAR) / 2 > 0
+def _exact_offset(part: _Interval) -> bool:
+    return isinstance(part.lo, int) and part.hi - part.lo < 2**62
+
+
+def _slot(x: Column, edges: Sequence[float | int]) -> Column:
+    """Twice the number of edges below x, plus one if x is an edge: every edge has a slot of its own."""
+    slot = F.lit(2 * len(edges))
+    for i, edge in reversed(list(enumerate(edges))):
+        slot = F.when(x < F.lit(edge), 2 * i).when(x == F.lit(edge), 2 * i + 1).otherwise(slot)
+    return slot.cast("bigint")
 
 
 def _tagged(df: DataFrame, keys: Mapping[str, Column], parts: list[_Interval], code) -> DataFrame:
@@ -169,10 +182,12 @@ def _next(parts: list[_Interval], rows: list[Row]) -> list[_Interval]:
     return out
 
 
-def _narrow(df: DataFrame, keys: Mapping[str, Column], parts: list[_Interval], slots: int) -> list[_Interval]:
+def _narrow(df: DataFrame, keys: Mapping[str, Column], parts: list[_Interval], accuracy: int) -> list[_Interval]:
+    edges = _edges(df, keys, parts, accuracy)
+    slots = 2 * max(map(len, edges)) + 1
+
     def code(i: int, part: _Interval, x: Column) -> Column:
-        slot = _slot(x, part, slots) if _splittable(part) else F.lit(0).cast("bigint")
-        return F.lit(i * slots).cast("bigint") + slot
+        return F.lit(i * slots).cast("bigint") + _slot(x, edges[i])
 
     counted = (
         _tagged(df, keys, parts, code)

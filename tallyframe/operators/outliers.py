@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import clip, null_above
-from tallyframe.operators.order import quantiles
+from tallyframe.operators.order import comparable, quantiles
 from tallyframe.operators.profile import _f, _known, column_stats
 from tallyframe.operators.tables import one_pass
 from tallyframe.session import small_table
@@ -25,12 +25,13 @@ def cap_to_null(df: DataFrame, caps: Mapping[str, float | None]) -> DataFrame:
 
 
 def cap_report(df: DataFrame, caps: Mapping[str, float | None]) -> DataFrame:
-    """(column, cap, values_set_missing) in one pass."""
+    """(column, cap, values_set_missing) in one pass; NaN is missing, not above a cap."""
+    numbers = comparable(df, {c: F.col(c) for c in caps})
     return one_pass(df, [
         {
             "column": F.lit(c),
             "cap": F.lit(cap).cast("double"),
-            "values_set_missing": F.count_if(F.col(c) > F.lit(cap).cast("double")),
+            "values_set_missing": F.count_if(numbers[c] > F.lit(cap).cast("double")),
         }
         for c, cap in caps.items()
     ])
@@ -65,14 +66,15 @@ def sus_columns(df: DataFrame, columns: Sequence[str], max_mult: float = 10, exa
     """
     stats = column_stats(df, columns)
     found = quantiles(df, {c: F.col(c) for c in columns}, (0.25, 0.75, 0.99), exact=exact, known=_known(stats))
-    rows = []
-    for c, s in stats.items():
-        q25, q75, q99 = found[c]
-        if q99 is None:
-            continue
-        reasons = ["negative"] if s["min"] < 0 else []
-        if s["max"] > max_mult * max(q99, q75 - q25, 1.0):
-            reasons.append(f"max={s['max']:g} vs q99={q99:g}")
-        if reasons:
-            rows.append((c, _f(s["min"]), _f(s["max"]), q99, ", ".join(reasons)))
-    return small_table(df.sparkSession, rows, "column string, min double, max double, q99 double, why string")
+    table = small_table(
+        df.sparkSession,
+        [
+            (i, c, _f(x["min"]), _f(x["max"]), *found[c], f"max={x['max']:g} vs q99={found[c][2]:g}" if x["max"] is not None else None)
+            for i, (c, x) in enumerate(stats.items())
+        ],
+        "place int, column string, min double, max double, q25 double, q75 double, q99 double, far string",
+    )
+    far = F.col("max") > F.greatest(F.col("q99"), F.col("q75") - F.col("q25"), F.lit(1.0)) * max_mult
+    why = F.concat_ws(", ", F.when(F.col("min") < 0, "negative"), F.when(far, F.col("far")))
+    report = table.where("q99 is not null").withColumn("why", why).where("why <> ''").orderBy("place")
+    return report.select("column", "min", "max", "q99", "why")

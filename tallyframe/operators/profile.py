@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import equal_width_bin, ratio
@@ -17,6 +18,7 @@ from tallyframe.session import small_table
 # Decimals the numeric summary is shown with.
 SUMMARY_DECIMALS = {"missing_pct": 1, "corr_target": 3}
 SUMMARY_DEFAULT_DECIMALS = 2
+# The quantiles of the upper-tail report.
 LADDER = (0.9999, 0.999, 0.995, 0.99, 0.95, 0.9)
 
 
@@ -240,13 +242,15 @@ def quantile_ladder(
 
 
 def largest_values(df: DataFrame, columns: Sequence[str], k: int = 20) -> DataFrame:
-    """Distinct values among the ``k`` largest rows of each column (not the k largest distinct)."""
-    parts = []
-    for c in columns:
-        leaders = df.select(F.col(c).cast("double").alias("value")).where("value is not null")
-        leaders = leaders.orderBy(F.desc("value")).limit(k).distinct()
-        parts.append(leaders.select(F.lit(c).alias("column"), "value"))
-    return stack_tables(parts).orderBy("column", F.desc("value"))
+    """Distinct values among the ``k`` largest rows of each column (not the k largest distinct); NaN is missing.
+
+    One scan: the rank filter works before the shuffle, so that at most ``k`` rows of a column leave a task.
+    """
+    numbers = {c: x.cast("double").alias(c) for c, x in comparable(df, {c: F.col(c) for c in columns}).items()}
+    flat = df.select(*numbers.values()).unpivot([], list(columns), "column", "value").where("value is not null")
+    rank = F.row_number().over(W.partitionBy("column").orderBy(F.desc("value")))
+    leaders = flat.withColumn("rank", rank).where(F.col("rank") <= k)
+    return leaders.select("column", "value").distinct().orderBy("column", F.desc("value"))
 
 
 # ---- distributions --------------------------------------------------------------------------

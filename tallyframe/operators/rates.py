@@ -173,7 +173,7 @@ def presence_describe(df: DataFrame, column: str, target: str) -> DataFrame:
 
 def segment_means(df: DataFrame, column: str, target: str, threshold: float) -> DataFrame:
     """(segment, count, rate) at or above a threshold, below it, and missing."""
-    x = F.col(column)
+    x = comparable(df, {column: F.col(column)})[column]
     segment = F.when(x.isNull(), "missing").when(x >= threshold, "at_or_above").otherwise("below")
     return (
         df.groupBy(segment.alias("segment"))

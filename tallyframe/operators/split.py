@@ -3,7 +3,8 @@
 A split ranks rows by a hash of their id (or by date) and takes the first k. Ranking itself
 would sort each class in one task, so only the k-th row is looked up; the split is then the
 plain comparison "not after the k-th row", which needs no shuffle of the table and gives the
-same rows however often, and on however many machines, it is evaluated. Ids must be unique.
+same rows however often, and on however many machines, it is evaluated. Ids must be unique: a repeated id that
+would change the size of a split raises an error.
 
 scikit-learn's and pandas' random streams cannot be reproduced; sizes and proportions are.
 """
@@ -56,9 +57,12 @@ def _first_k(df: DataFrame, by: Column, id: str, seed: int | str, sizes: DataFra
             break
     place = F.row_number().over(W.partitionBy("class").orderBy("digest", "id"))
     near = _at(keyed, F.broadcast(holder) if small else holder, digits, "rest")
+    alike = W.partitionBy("class", "digest", "id")
+    repeated = F.when(F.row_number().over(alike.orderBy("digest")) < F.count("*").over(alike), F.raise_error("ids are not unique: a repeated id lies at the border of the split"))
     return (
         near.withColumn("place", place)
-        .where(F.col("place") == F.col("rest"))
+        .withColumn("repeated", F.when(F.col("place") == F.col("rest"), repeated))
+        .where((F.col("place") == F.col("rest")) & F.col("repeated").isNull())
         .select("class", F.struct("digest", "id").alias("last"))
     )
 
@@ -138,6 +142,7 @@ def mark_chronological(df: DataFrame, date: str, id: str, share: float = 0.2, fl
     when = F.coalesce(F.unix_micros(F.col(date).cast("timestamp")), F.lit(_LAST))
     numeric_id = dict(df.dtypes)[id] in ("tinyint", "smallint", "int", "bigint")
     tie = F.col(id).cast("bigint") if numeric_id else F.conv(F.substring(F.md5(F.col(id)), 1, 15), 16, 10).cast("bigint")
+    tie = F.coalesce(tie, F.lit(_LAST))  # a missing id comes last, so that every row is in one half
     known = spans(df, {"when": when})
     k = int(known["when"].rows * (1 - share))
     if k <= 0 or known["when"].rows == 0:
@@ -157,15 +162,16 @@ def chronological_split(df: DataFrame, date: str, id: str, share: float = 0.2) -
     return _halves(mark_chronological(df, date, id, share, "_valid"), "_valid")
 
 
+SPLITS = {
+    "random": lambda df, id, target, date, share, seed: stratified_split(df, id, target, share, seed),
+    "chronological": lambda df, id, target, date, share, seed: chronological_split(df, date, id, share),
+}
+
+
 def make_split(
     df: DataFrame, kind: str, id: str, target: str, date: str | None = None, share: float = 0.2, seed: int | str = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """``random`` (stratified) or ``chronological``."""
-    if kind == "random":
-        return stratified_split(df, id, target, share, seed)
-    if kind == "chronological":
-        if date is None:
-            raise ValueError("a chronological split needs a date column")
-        return chronological_split(df, date, id, share)
-    raise ValueError(f"unknown split kind: {kind}")
-
+    """Two halves by one of ``SPLITS``: by class shares, or by date (which then must be given)."""
+    if kind not in SPLITS or (kind == "chronological" and not date):
+        raise ValueError(f"unknown split kind, or no date column for it: {kind!r}; kinds are {sorted(SPLITS)}")
+    return SPLITS[kind](df, id, target, date, share, seed)

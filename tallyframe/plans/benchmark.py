@@ -22,6 +22,8 @@ from tallyframe.spec import TableSpec
 
 SCORES = "model string, auc double"
 PROBABILITY = "probability"
+#: Parts of the rows that a model is fitted on.
+FIT_PARTS = 32
 
 
 @contextmanager
@@ -41,13 +43,12 @@ def roles(df: DataFrame, id: str, target: str | None) -> tuple[list[str], list[s
     return list(spec.cats), list(spec.nums)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table with fewer input splits than cores is cut finer, so that fitting uses every core.
+def dealt(df: DataFrame, id: str, parts: int = FIT_PARTS) -> DataFrame:
+    """Training rows in a fixed number of parts, in a fixed order, whatever the machine and the file layout.
 
-    That only concerns tables of less than one split per core; larger ones are left as they are.
+    Forest and boosting draw their samples per part, so this makes a fitted model repeatable.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(parts, id).sortWithinPartitions(id)
 
 
 def encode_pair(
@@ -56,7 +57,7 @@ def encode_pair(
     """Encoder fitted on ``train``, and both tables reduced to what a model reads."""
     cats, nums = roles(train, id, target)
     encoder = fit_encoder(train, cats, nums, scale=scale)
-    train, other = spread(train), spread(other)
+    train = dealt(train, id)
 
     def slim(df: DataFrame) -> DataFrame:
         out = encoder.transform(df)

@@ -14,7 +14,7 @@ from tallyframe.functions.numeric import matches
 from tallyframe.functions.text import id_to_text, normalize_label, recode, trim_lower
 from tallyframe.operators.cardinality import LITERAL_LIMIT, KeptValues, fit_kept
 from tallyframe.operators.counts import value_totals
-from tallyframe.operators.order import quantiles
+from tallyframe.operators.order import comparable, quantiles
 from tallyframe.operators.outliers import clip_fixed
 from tallyframe.session import rows_up_to
 from tallyframe.spec import TableSpec
@@ -98,13 +98,14 @@ def complete_missing(df: DataFrame, fitted: Prepared) -> DataFrame:
     out: dict[str, Column] = {}
     for c in df.columns:
         if c in spec.nums:
-            out[c] = fill(F.col(c).cast("double"), fitted.medians.get(c))
+            out[c] = fill(comparable(df, {c: F.col(c)})[c].cast("double"), fitted.medians.get(c))
         elif c in spec.cats or c in spec.id_like:
             out[c] = _clean_label(df, c, spec.id_like)
     flags = {name: is_present(F.col(c)) for c, name in rules.presence.items() if c in df.columns}
     flags.update({f"{c}_missing": is_missing(F.col(c)) for c in rules.missing_flags if c in df.columns})
     # All right-hand sides refer to the incoming columns, so flags see the raw values.
-    done = df.withColumns({**flags, **out})
+    # A number without any value in the training rows has nothing to be filled with and goes.
+    done = df.withColumns({**flags, **out}).drop(*[c for c in spec.nums if fitted.medians.get(c) is None])
     return done if rules.keep_id else done.drop(spec.id)
 
 

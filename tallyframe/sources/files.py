@@ -20,14 +20,18 @@ def read_csv(
     path: str,
     schema: T.StructType | str | None = None,
     null_tokens: tuple[str, ...] = CSV_NULL_TOKENS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header; whole fields equal to a null token are missing.
 
+    A quoted field may hold line breaks, so that each file is read by one task (``write_csv`` writes one file for each
+    task). ``multi_line=False`` cuts large files among tasks; it is for files whose fields hold no line break.
+
     With a schema the file is scanned once, when used. Without one, types are found by one
     aggregation over the text: a column is long, double or boolean if every present field reads
     as such, else string.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if wanted is not None:
         # Fields arrive as text so that tokens can be recognised before they are typed.
@@ -38,11 +42,15 @@ def read_csv(
     return _typed(raw, infer_types(raw, null_tokens), null_tokens, strict=False)
 
 
+_NUMBER = r"(?i)^\s*([+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?|[+-]?inf(inity)?|nan)\s*$"
+
+
 def infer_types(raw: DataFrame, null_tokens: tuple[str, ...] = CSV_NULL_TOKENS) -> dict[str, str]:
     """Narrowest of bigint, double, boolean, string that reads every present field; one pass."""
+    # A cast that fails costs an exception for each cell, so only texts that look like numbers are cast.
     fits = {
-        "bigint": lambda c: c.try_cast("bigint").isNotNull() & c.rlike(r"^\s*[+-]?\d+\s*$"),
-        "double": lambda c: c.try_cast("double").isNotNull() & ~c.rlike(r"[dDfF]\s*$"),
+        "bigint": lambda c: F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), c.try_cast("bigint").isNotNull()),
+        "double": lambda c: F.when(c.rlike(_NUMBER), c.try_cast("double").isNotNull()),
         "boolean": lambda c: c.isin("True", "False", "TRUE", "FALSE", "true", "false"),
     }
     aggs = []

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType)
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -48,7 +48,7 @@ class TableSpec:
         id_like: tuple[str, ...] = (),
         ignore: tuple[str, ...] = (),
     ) -> TableSpec:
-        """Strings become categories and numbers become numerics, minus the named roles."""
+        """Strings become categories, numbers and booleans (0 and 1) become numerics, minus the named roles."""
         taken = tuple(c for c in (id, target, date, *id_like, *ignore) if c)
         return cls(
             id=id,

@@ -7,6 +7,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracles import TABLES, canonical
+from workload.oracles import ORACLES
+from workload.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -22,7 +24,7 @@ def con():
 
 def test_every_oracle_belongs_to_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert {q for q in queries() if q not in oracle_sql()} == {
+    assert {q for q in REGISTRY if q not in oracle_sql()} == {
         "model_benchmark", "model_split_compare", "model_ablation", "model_importance", "model_raw_vs_clean",
         "predict_best", "adversarial_scores", "adversarial_drift",
     }
@@ -32,7 +34,7 @@ def test_entry(spark):
     assert entry(spark).columns == ["value", "rate", "count"]
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, name):
     df = queries()[name](spark, SF_DIR)
     want = con.sql(oracle_sql()[name])

@@ -121,6 +121,10 @@ round(z_score, 6) as z_score from z""")
 
 DIRTY_COLUMNS = ("id", "y", "d", "price", "nation", "segment_raw", "priority_raw", "priority_got", "agent_id",
                  "company_id", "cost", "hours", "date_raw")
+DIRTY_TYPES = dict.fromkeys(DIRTY_COLUMNS, "string") | {
+    "id": "bigint", "y": "int", "d": "timestamp_ntz", "price": "double", "agent_id": "double", "company_id": "double", "cost": "double",
+    "hours": "bigint",
+}
 
 add("table_shape", "select count(*) as rows, cast(11 as integer) as columns from lineitem")
 add("table_shapes", f"""with {DIRTY_CTE}
@@ -128,9 +132,9 @@ select 'train' as data, count(*) filter ({EARLY}) as rows, cast(13 as integer) a
 union all select 'test', count(*) filter ({LATE}), 12 from dirty
 union all select 'combined', count(*), 14 from dirty""")
 add("column_catalogue", f"with {DIRTY_CTE} " + " union all ".join(
-    f"select cast({i} as integer) as position, '{c}' as \"column\", count({c}) as non_null from dirty"
+    f"select cast({i} as integer) as position, '{c}' as \"column\", '{DIRTY_TYPES[c]}' as dtype, count({c}) as non_null from dirty"
     for i, c in enumerate(DIRTY_COLUMNS)))
-add("first_rows", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders
+add("first_rows", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as date) as o_orderdate, o_orderpriority from orders
 order by o_orderkey limit 20""")
 add("key_check", """select 'orders' as data, count(*) as rows, count(distinct o_orderkey) as distinct_keys,
 count(*) = count(distinct o_orderkey) as is_unique from orders
@@ -303,7 +307,7 @@ add("stratified_split", f"with {BASE_CTE} select id, {stratified('y', 0.2)} as i
 add("stratified_split_classes", f"with {BASE_CTE} select id, {stratified('nation', 0.25)} as is_valid from base")
 add("chronological_split", f"""with {BASE_CTE} select id, row_number() over (order by d, id)
 > floor(count(*) over () * (1 - cast(0.2 as double))) as is_valid from base""")
-add("sample_n", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders
+add("sample_n", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, cast(o_orderdate as date) as o_orderdate, o_orderpriority from orders
 order by md5(cast(o_orderkey as varchar) || '42'), o_orderkey limit 1000""")
 
 # ---- preparation and encoding ---------------------------------------------------------------
@@ -341,20 +345,20 @@ from m, split where not is_valid group by 1, 2""")
 add("impute_plain", f"with {DIRTY_CTE}, m as (select " + ", ".join(f"{q(c, 0.5)} as m_{c}" for c in NUMS)
     + f" from dirty where {EARLY}) select id, y, " + ", ".join(
         f"round(coalesce(cast({c} as double), m_{c}), 6) as {c}" for c in NUMS) + ", " + ", ".join(
-        f"coalesce({c}, 'unknown') as {c}" for c in CATS) + f" from dirty, m where {LATE}")
+        f"coalesce({c}, 'unknown') as {c}" for c in CATS) + " from dirty, m")
 add("scale_standard", f"with {DIRTY_CTE}, s as (select " + ", ".join(
     f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in NUMS) + f" from dirty where {EARLY}) select id, " + ", ".join(
     f"round(({c} - m_{c}) / s_{c}, 6) as {c}" for c in NUMS) + " from dirty, s")
 add("onehot_long", f"with {DIRTY_CTE} " + " union all ".join(
     f"select id, 'ohe__{c}__' || {_text(c)} as feature, cast(1 as double) as value from dirty where {c} in "
-    f"(select {c} from dirty where {EARLY} and id % 3 = 0)" for c in ("segment_raw", "priority_raw", "agent_id")))
+    f"(select {c} from dirty where {EARLY})" for c in ("segment_raw", "priority_raw", "agent_id")))
 add("csv_round_trip", f"""with {DIRTY_CTE} select id, segment_raw, agent_id, cost, date_raw,
 nullif(nation, 'nation7') as nation from dirty""")
 
 # ---- drift ----------------------------------------------------------------------------------
 
-add("date_audit", f"""with {BASE_CTE}, a as (select cast(d as date) as d from base where id % 2 = 0),
-b as (select cast(d as date) as d from base where id % 2 = 1 and {LATE} and id % 7 = 0),
+add("date_audit", f"""with {BASE_CTE}, a as (select cast(d as date) as d from base where y = 1),
+b as (select cast(d as date) as d from base where y = 0),
 s as (select avg(cast(d in (select d from a) as integer)) as share from b)
 select 'train' as data, count(*) as rows, min(d) as min_date, max(d) as max_date, count(distinct d) as unique_dates,
 cast(null as double) as test_rows_on_train_dates from a

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyframe.sources.files import read_parquet
+
 BASE = """
 select o.o_orderkey as id, case when o.o_orderstatus = 'F' then 1 else 0 end as y, o.o_orderdate as d,
        o.o_totalprice as price, c.c_acctbal as bal, c.c_mktsegment as segment,
@@ -32,7 +34,7 @@ SPLIT_DAY = "2000-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
