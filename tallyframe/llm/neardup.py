@@ -26,7 +26,7 @@ BUCKET_ROWS, CLUSTER_ROWS, CLUSTER_BYTES = 4096, 4096, 8 << 20
 class Rule:
     """Link two documents if 100 * |A and B| >= percent * |A or B| over sets of ``shingle``-word shingles.
 
-    ``hashes`` minimum hashes of 16 bits make a signature. ``missed`` bounds the chance that the signatures of a pair
+    ``hashes`` (an even number of) minimum hashes of 16 bits make a signature. ``missed`` bounds the chance that the signatures of a pair
     exactly at the threshold differ in more positions than ``radius``, the distance up to which all pairs are found.
     """
 
@@ -96,8 +96,8 @@ def signatures(sets: list[np.ndarray], rule: Rule) -> np.ndarray:
 def describe(df: DataFrame, rule: Rule, text: str, keep: list[str]) -> DataFrame:
     """Add ``words_hash, n_shingles, signature, brief`` (null for a text without words).
 
-    ``brief`` holds the lower byte of each position. Equal positions have equal bytes, so that its distance is never
-    larger than the signature's; it takes half the room where signatures are compared one by one.
+    ``brief`` holds the lower four bits of each position. Equal positions have equal bits, so that its distance is never
+    larger than the signature's; it takes a quarter of the room where signatures are compared one by one.
     """
 
     def make(texts):
@@ -111,7 +111,7 @@ def describe(df: DataFrame, rule: Rule, text: str, keep: list[str]) -> DataFrame
         found = [next(rows) if len(s) else None for s in sets]
         return [
             names, list(map(len, sets)), [None if f is None else f.tobytes() for f in found],
-            [None if f is None else f.astype(np.uint8).tobytes() for f in found],
+            [None if f is None else ((f[::2] & 15) << 4 | (f[1::2] & 15)).astype(np.uint8).tobytes() for f in found],
         ]
 
     return append_columns(df, [text], "words_hash binary, n_shingles long, signature binary, brief binary", make, keep)
@@ -157,8 +157,13 @@ def _forest(n: int, linked) -> Iterator[tuple[int, int]]:
 
 def _similar_signatures(columns: list[pa.Array], rule: Rule) -> Iterator[tuple[int, int]]:
     nodes = columns[-2].to_numpy()
-    found = np.frombuffer(b"".join(columns[-1].to_pylist()), np.uint8).reshape(len(nodes), rule.hashes)
-    for x, y in _forest(len(nodes), lambda x, rest: (found[rest] != found[x]).sum(1) <= rule.radius):
+    found = np.frombuffer(b"".join(columns[-1].to_pylist()), np.uint8).reshape(len(nodes), rule.hashes // 2)
+
+    def linked(x: int, rest: np.ndarray) -> np.ndarray:
+        off = found[rest] ^ found[x]
+        return ((off & 15) > 0).sum(1) + (off > 15).sum(1) <= rule.radius
+
+    for x, y in _forest(len(nodes), linked):
         yield nodes[x], nodes[y]
 
 
@@ -246,7 +251,7 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id",
     # Buckets and classes grow with the input, so these joins are by shuffle at every size.
     larger = keys.join(buckets.where("n > 2").select("key", "n").hint("merge"), "key").select("key", "n", "node")
     members = couples.unionByName(larger).withColumn("blocks", F.ceil(F.col("n") / BUCKET_ROWS))
-    members = _block_pairs(members, "blocks").join(classes.select("node", "brief").hint("merge"), "node")
+    members = _block_pairs(members.select("key", "node", "blocks"), "blocks").select("key", "i", "j", "node").join(classes.select("node", "brief").hint("merge"), "node")
     candidates = _links(members.select("key", "i", "j", "node", "brief"), ["key", "i", "j"], _similar_signatures, rule)
 
     clusters = stage(components(candidates, "neardup-candidates"), "neardup-clusters")
