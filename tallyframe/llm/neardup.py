@@ -21,6 +21,9 @@ from tallyframe.session import stage
 #: Larger ones are cut into blocks, and every pair of blocks is compared.
 BUCKET_ROWS, CLUSTER_ROWS, CLUSTER_BYTES = 4096, 4096, 8 << 20
 
+#: Bits of the map that keeps most texts outside the candidate clusters from being shuffled: 16 MB in rows of 32,768 bits.
+MAP_BITS, MAP_ROW = 1 << 27, 1 << 15
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -224,6 +227,23 @@ def _block_pairs(rows: DataFrame, blocks: str) -> DataFrame:
     return rows.withColumn("__own", own).withColumn("__pair", F.explode(pairs)).select("*", "__pair.i", "__pair.j").drop("__own", "__pair")
 
 
+def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows whose node is one of ``nodes``, and some others: a map of hashed nodes is broadcast and looked up.
+
+    The map's size is fixed, whatever the number of nodes; with very many of them it lets more other rows pass, so that an exact join
+    has to follow.
+    """
+
+    def place(prefix: str) -> list:
+        bit = F.pmod(F.xxhash64("node"), F.lit(MAP_BITS))
+        return [F.floor(bit / MAP_ROW).alias(f"{prefix}row"), (bit % MAP_ROW).alias(f"{prefix}bit")]
+
+    bits = nodes.select(*place("__of_")).groupBy("__of_row").agg(F.expr("bitmap_construct_agg(__of_bit)").alias("__map"))
+    found = F.expr("getbit(cast(conv(hex(substring(__map, cast(__bit div 8 as int) + 1, 1)), 16, 10) as int), cast(__bit % 8 as int)) = 1")
+    placed = rows.select("*", *place("__"))
+    return placed.join(F.broadcast(bits), (F.col("__row") == F.col("__of_row")) & found).select(*rows.columns)
+
+
 def near_duplicates(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -255,7 +275,8 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id",
     candidates = _links(members.select("key", "i", "j", "node", "brief"), ["key", "i", "j"], _similar_signatures, rule)
 
     clusters = stage(components(candidates, "neardup-candidates"), "neardup-clusters")
-    texts = df.select(df[doc_id].cast("long").alias("node"), df[text].alias("__text")).join(clusters, "node").where("__text is not null")
+    texts = df.select(df[doc_id].cast("long").alias("node"), df[text].alias("__text")).where("node is not null and __text is not null")
+    texts = _likely(texts, clusters).join(clusters, "node")
     sizes = texts.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("__text")).alias("bytes"))
     sizes = sizes.select("component", F.greatest(F.ceil(F.col("n") / CLUSTER_ROWS), F.ceil(F.col("bytes") / CLUSTER_BYTES)).alias("blocks"))
     compared = _block_pairs(texts.join(sizes, "component"), "blocks").select("component", "i", "j", "node", "__text")
