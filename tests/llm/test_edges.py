@@ -308,3 +308,15 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     assert sorted(str(r["doc_id"]) for r in got) == ["1", "2", "3", "None"] and all(r["exact"] for r in got)
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, spark.createDataFrame([], schema), str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 1 << 16, 8])
+def test_map_of_nodes_never_loses_one(spark, monkeypatch, bits):
+    monkeypatch.setattr(neardup, "MAP_BITS", bits)
+    rows = spark.range(-500, 500).select(F.col("id").alias("node"), F.lit("x").alias("__text"))
+    wanted = rows.where("node % 7 = 0").select("node", F.lit(1).alias("component"))
+    found = neardup._likely(rows, wanted)
+    assert found.columns == rows.columns
+    assert found.join(wanted, "node").count() == wanted.count()
+    assert found.count() <= (1000 if bits == 8 else wanted.count() + 30)
+    assert neardup._likely(rows, wanted.limit(0)).count() == 0
