@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tallyframe.functions.numeric import ratio
 from tallyframe.functions.text import normalize_label, source_column
 from tallyframe.operators.counts import as_label
 from tallyframe.operators.order import comparable, quantiles
+from tallyframe.operators.tables import stack_tables
 from tallyframe.session import small_table
 from tallyframe.spec import NUMERIC
 
@@ -104,32 +107,44 @@ def numeric_shift(tagged: DataFrame, features: list[str], flag: str = SOURCE, ex
     return small_table(tagged.sparkSession, out, _NUMERIC_REPORT)
 
 
-def categorical_shift(tagged: DataFrame, feature: str, flag: str = SOURCE, top: int = 8, normalize: bool = True) -> DataFrame:
-    """Share of each value in both tables and the difference; the ``top`` largest differences.
+def categorical_shifts(
+    tagged: DataFrame, features: Sequence[str], flag: str = SOURCE, top: int = 8, normalize: bool = True
+) -> DataFrame:
+    """Share of each value in both tables and the difference; the ``top`` largest differences of each feature.
 
-    Rows are counted per raw spelling first; cleaning and totals work on the counts (one scan).
+    One scan for all features: rows are counted per raw spelling, cleaning works on the counts. The rank filter is
+    applied before its shuffle too (group limit), so a feature with very many values fills no task.
     """
-    raw = tagged.groupBy(as_label(tagged, feature).alias("value")).agg(
-        F.count_if(~F.col(flag)).alias("a"), F.count_if(F.col(flag)).alias("b")
+    flat = tagged.select(flag, *[as_label(tagged, c).alias(c) for c in features]).unpivot(
+        flag, list(features), "feature", "value"
     )
+    raw = flat.groupBy("feature", "value").agg(F.count_if(~F.col(flag)).alias("a"), F.count_if(F.col(flag)).alias("b"))
     label = fill(normalize_label(F.col("value")) if normalize else F.col("value"), "missing")
-    counted = raw.groupBy(label.alias("value")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    totals = raw.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("t")).scalar()
+    counted = raw.groupBy("feature", label.alias("value")).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    # Every row has one value of each feature, so the totals of one feature hold for all.
+    totals = raw.where(F.col("feature") == features[0]).agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b")).alias("t")).scalar()
     shares = counted.select(
-        F.lit(feature).alias("feature"),
+        "feature",
         F.lit("categorical").alias("type"),
         "value",
         ratio(F.col("a"), totals["a"]).alias("train_pct"),
         ratio(F.col("b"), totals["b"]).alias("test_pct"),
     ).withColumn("diff_pct", F.col("test_pct") - F.col("train_pct"))
-    return shares.orderBy(F.abs("diff_pct").desc_nulls_last(), "value").limit(top)
+    order = W.partitionBy("feature").orderBy(F.abs("diff_pct").desc_nulls_last(), "value")
+    return shares.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= top).drop("_rank")
+
+
+def categorical_shift(tagged: DataFrame, feature: str, flag: str = SOURCE, top: int = 8, normalize: bool = True) -> DataFrame:
+    """The report of one feature, largest difference first."""
+    return categorical_shifts(tagged, [feature], flag, top, normalize).orderBy(F.abs("diff_pct").desc_nulls_last(), "value")
 
 
-def feature_shift(tagged: DataFrame, feature: str, flag: str = SOURCE) -> DataFrame:
-    """The numeric or the categorical report, by column type."""
-    if isinstance(tagged.schema[feature].dataType, NUMERIC):
-        return numeric_shift(tagged, [feature], flag)
-    return categorical_shift(tagged, feature, flag)
+def feature_shifts(tagged: DataFrame, features: Sequence[str], flag: str = SOURCE) -> DataFrame:
+    """The numeric and the categorical report of several features, by column type: one set of scans for each type."""
+    nums = [c for c in features if isinstance(tagged.schema[c].dataType, NUMERIC)]
+    cats = [c for c in features if c not in nums]
+    parts = [numeric_shift(tagged, nums, flag)] if nums else []
+    return stack_tables(parts + ([categorical_shifts(tagged, cats, flag)] if cats else []))
 
 
 def importance_by_column(importance: DataFrame, top_n: int = 25) -> DataFrame:

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.missing import fill
 from tallyframe.functions.text import normalize_label
-from tallyframe.operators.drift import SOURCE, feature_shift, importance_by_column, top_features
+from tallyframe.operators.drift import SOURCE, feature_shifts, importance_by_column, top_features
 from tallyframe.operators.metrics import auc_value
 from tallyframe.operators.models import FOREST, LABEL, ModelChoice, source_models
 from tallyframe.operators.order import quantiles
 from tallyframe.operators.split import stratified_split
-from tallyframe.operators.tables import stack_tables
 from tallyframe.plans.benchmark import PROBABILITY, cached, encode_pair, importance_table, positive_probability
 from tallyframe.session import checkpoint_dir, small_table
 from tallyframe.spec import numeric_columns, text_columns
@@ -86,4 +85,4 @@ def fit_source_models(
 def drift_report(tagged: DataFrame, fitted: SourceModels, flag: str = SOURCE, top_n: int = 8) -> DataFrame:
     """Value-level shift of the columns that tell the tables apart best (at most ``top_n`` of them)."""
     leaders = top_features(importance_by_column(fitted.importance), top_n).collect()
-    return stack_tables(feature_shift(tagged, r["feature"], flag) for r in leaders)
+    return feature_shifts(tagged, [r["feature"] for r in leaders], flag)

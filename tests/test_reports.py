@@ -270,3 +270,13 @@ def test_every_report_takes_an_empty_table(spark):
     for report in reports:
         for row in report.collect():
             assert not any(isinstance(v, float) and math.isnan(v) for v in row)
+
+
+def test_shift_of_several_features_equals_single_reports(spark):
+    rows = [(i % 3 == 0, f"v{i % 5}", None if i % 4 == 0 else "A and b" if i % 7 else "a & B", float(i), i % 6) for i in range(60)]
+    tagged = spark.createDataFrame(rows, "is_test boolean, c string, m string, x double, k int")
+    several = drift.feature_shifts(tagged, ["c", "x", "m", "k"])
+    singles = [drift.categorical_shift(tagged, "c"), drift.categorical_shift(tagged, "m"), drift.numeric_shift(tagged, ["x"]), drift.numeric_shift(tagged, ["k"])]
+    key = lambda r: sorted((k, str(v)) for k, v in r.items() if v is not None)
+    assert sorted(map(key, pairs(several))) == sorted(key(r) for df in singles for r in pairs(df))
+    assert several.where("feature = 'm' and value = 'missing'").count() == 1
