@@ -87,10 +87,9 @@ def fit_kept(
     few = rows_up_to(keep.select("value"), limit)
     if few is not None:
         return KeptValues(column, tuple(sorted(r[0] for r in few)), None, tuple(always), other)
-    frequent = keep.orderBy(F.desc("count"), "value").limit(limit).collect()
-    return KeptValues(
-        column, tuple(r["value"] for r in frequent), stage(keep.select("value"), f"kept-{column}"), tuple(always), other
-    )
+    counts = stage(keep.select("value", "count"), f"kept-{column}")  # counted once for both uses below
+    frequent = counts.orderBy(F.desc("count"), "value").limit(limit).collect()
+    return KeptValues(column, tuple(r["value"] for r in frequent), counts.select("value"), tuple(always), other)
 
 
 def reduce_cardinality(

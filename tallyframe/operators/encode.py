@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.text import ONEHOT_PREFIX, ONEHOT_SEPARATOR, onehot_name
 from tallyframe.operators.counts import as_label, value_totals
 from tallyframe.operators.profile import comparable_each
-from tallyframe.session import rows_up_to, small_table
+from tallyframe.session import rows_up_to, small_table, stage
 
 FEATURES = "features"
 SCALED = "scaled_features"
@@ -55,6 +55,7 @@ def onehot_long(df: DataFrame, id: str, columns: Sequence[str], reference: DataF
         table = small_table(df.sparkSession, [tuple(r) for r in few], known.schema)
         ones = flat.join(F.broadcast(table), on, "left_semi")
     else:
+        known = stage(known, "onehot-categories")  # read three times below
         hot = F.broadcast(known.orderBy(F.desc("n"), *on).limit(CATEGORY_LIMIT).select(*on))
         rest = flat.join(hot, on, "left_anti").join(known, on, "left_semi")
         ones = flat.join(hot, on, "left_semi").unionByName(rest)
@@ -151,8 +152,8 @@ def fit_encoder(train: DataFrame, cats: Sequence[str], nums: Sequence[str], scal
     rows = 0
     if scale:
         assembled = inputs
-        for stage in stages:
-            assembled = stage.transform(assembled)
+        for step in stages:
+            assembled = step.transform(assembled)
         rows = train.count()
         stages.append(
             StandardScaler(inputCol=FEATURES, outputCol=SCALED, withMean=False, withStd=True).fit(
