@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +17,9 @@ from tallyframe.session import rows_up_to, small_table, stage
 
 FEATURES = "features"
 SCALED = "scaled_features"
+HASHED = "_hashed"
 # MLlib models keep one coefficient or category per encoded column on the driver, so an encoding
-# wider than this is refused with advice instead of failing later; nothing is cut.
+# wider than this has to be hashed by the caller's choice (``hashed``); nothing is cut.
 WIDTH_LIMIT = 1_000_000
 CATEGORY_LIMIT = 100_000
 
@@ -77,7 +78,7 @@ def _levels(train: DataFrame, cats: Sequence[str]) -> list[list[str]]:
     found = rows_up_to(value_totals(filled, cats).select("column", "value"), WIDTH_LIMIT)
     if found is None:
         raise ValueError(
-            f"more than {WIDTH_LIMIT} encoded columns; reduce cardinality first (see operators.cardinality)"
+            f"more than {WIDTH_LIMIT} encoded columns; give `hashed`, or reduce cardinality (see operators.cardinality)"
         )
     by_column: dict[str, list[str]] = {c: [] for c in cats}
     for row in found:
@@ -101,7 +102,7 @@ class Encoder:
             **{_num(c): F.col(c).cast("double") for c in self.nums},
         })
         scratch = [f(c) for c in self.cats for f in (_text, _index, _hot)] + [_num(c) for c in self.nums]
-        return self.model.transform(inputs).drop(*scratch)
+        return self.model.transform(inputs).drop(*scratch, HASHED)
 
 
 def _text(c: str) -> str:
@@ -120,20 +121,27 @@ def _hot(c: str) -> str:
     return f"_hot_{c}"
 
 
-def fit_encoder(train: DataFrame, cats: Sequence[str], nums: Sequence[str], scale: bool = False) -> Encoder:
+def fit_encoder(
+    train: DataFrame, cats: Sequence[str], nums: Sequence[str], scale: bool = False, hashed: int | None = None
+) -> Encoder:
     """Fit one-hot categories (and scaling) on training rows.
 
     Vectors stay sparse: scaling divides by the spread without centring, which leaves a linear
     model with an unpenalised intercept unchanged.
+
+    ``hashed`` puts the categories into that many slots by a hash of column and value, for any number of
+    categories: none is counted, collected or unknown later, and values that share a slot add up.
     """
     cats, nums = list(cats), list(nums)
-    levels = _levels(train, cats)
+    levels = _levels(train, cats) if hashed is None else [[] for _ in cats]
     inputs = train.select(
         *[F.coalesce(F.col(c), F.lit("missing")).alias(_text(c)) for c in cats],
         *[F.col(c).cast("double").alias(_num(c)) for c in nums],
     )
     stages = []
-    if cats:
+    if cats and hashed is not None:
+        stages.append(FeatureHasher(inputCols=[_text(c) for c in cats], outputCol=HASHED, numFeatures=hashed))
+    elif cats:
         # "keep" puts unseen values in one extra slot, which dropLast then leaves out: all zeros.
         indexed = inputs
         for c, labels in zip(cats, levels):
@@ -145,9 +153,8 @@ def fit_encoder(train: DataFrame, cats: Sequence[str], nums: Sequence[str], scal
             dropLast=True, handleInvalid="error",
         ).fit(indexed)
         stages.append(hot)
-    assembler = VectorAssembler(
-        inputCols=[_num(c) for c in nums] + [_hot(c) for c in cats], outputCol=FEATURES, handleInvalid="error"
-    )
+    coded = [_hot(c) for c in cats] if hashed is None else [HASHED][: len(cats)]
+    assembler = VectorAssembler(inputCols=[_num(c) for c in nums] + coded, outputCol=FEATURES, handleInvalid="error")
     stages.append(assembler)
     rows = 0
     if scale:
@@ -160,5 +167,6 @@ def fit_encoder(train: DataFrame, cats: Sequence[str], nums: Sequence[str], scal
                 assembled.select(FEATURES)
             )
         )
-    names = (*nums, *(onehot_name(c, v) for c, vs in zip(cats, levels) for v in vs))
+    slots = hashed if hashed is not None and cats else 0
+    names = (*nums, *(onehot_name(c, v) for c, vs in zip(cats, levels) for v in vs), *(f"hashed__{i}" for i in range(slots)))
     return Encoder(PipelineModel(stages), names, tuple(cats), tuple(nums), rows)

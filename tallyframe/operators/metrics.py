@@ -2,69 +2,37 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# At most _CELLS + 1 score ranges of about _CELL_ROWS rows or more.
-_CELLS = 2**12 - 1
-_CELL_ROWS = 20_000
-_SKETCH_ACCURACY = 10_000
-
-
-def _doubles(values: list[float]) -> Column:
-    """Array literal from SQL text: one parse instead of one call per element."""
-    return F.expr("array(" + ", ".join(f"{v!r}D" for v in values) + ")")
-
-
-def _with_cell(df: DataFrame, x: str, edges: list[float]) -> DataFrame:
-    """Add ``cell``, the number of edges below x, by binary search in compiled code.
-
-    Each halving is a projection of its own, because it needs the previous result twice. The
-    list is filled up with its last edge, which keeps the result in the order of x.
-    """
-    out = df.withColumn("cell", F.lit(0))
-    if not edges:
-        return out
-    size = 1 << len(edges).bit_length()
-    cuts = _doubles(edges + [edges[-1]] * (size - 1 - len(edges)))
-    step = size // 2
-    while step:
-        beyond = F.get(cuts, F.col("cell") + (step - 1)) < F.col(x)
-        out = out.withColumn("cell", F.col("cell") + F.when(beyond, step).otherwise(0))
-        step //= 2
-    return out
+# Rows of one score range; the number of ranges grows with the table.
+_CELL_ROWS = 5_000_000
 
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """One row (auc, positives, negatives): area under the ROC curve, ties counted half.
 
     AUC = sum over scores of pos * (negatives below + half the negatives at the score) / (P * N).
-    Rows are counted per score first, so ties collapse on the map side. The running count of
-    negatives is taken inside up to 4,096 score ranges cut at sketch quantiles (a first pass over
-    the score column alone) - parallel and balanced - and then lifted by the totals of the lower
-    ranges. NULL when a class is absent. A row without a score, or with a label other than 0 and 1, is an error.
+    Rows are counted per score first, so ties collapse on the map side. The counted scores are then partitioned
+    by range; the running count of negatives is taken inside each range - parallel and balanced, as a score is one row
+    by then - and lifted by the totals of the lower ranges. NULL when a class is absent. A row without a score, or
+    with a label other than 0 and 1, is an error.
     """
     x = F.col(score).cast("double")
     rows = df.select(F.when(~F.isnan(x), x).alias("x"), F.col(label).cast("int").alias("y"))
-    shares = _doubles([i / (_CELLS + 1) for i in range(1, _CELLS + 1)])
-    fit = rows.agg(F.percentile_approx("x", shares, _SKETCH_ACCURACY).alias("cuts"), F.count("*").alias("n"), F.count_if(F.expr("x is not null and y in (0, 1)")).alias("fine")).first()
+    fit = rows.agg(F.count("*").alias("n"), F.count_if(F.expr("x is not null and y in (0, 1)")).alias("fine")).first()
     if fit["fine"] < fit["n"]:
         raise ValueError(f"{fit['n'] - fit['fine']} of {fit['n']} rows have no score, or a label other than 0 and 1")
-    wanted = min(_CELLS, fit["n"] // _CELL_ROWS)
-    spaced = [fit["cuts"][(i + 1) * (_CELLS + 1) // (wanted + 1) - 1] for i in range(wanted)]
-    edges = sorted({e for e in spaced if math.isfinite(e)})
     counted = rows.groupBy("x").agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
-    ranged = _with_cell(counted, "x", edges)
+    ranged = counted.repartitionByRange(fit["n"] // _CELL_ROWS + 1, "x").withColumn("cell", F.spark_partition_id())
     before = F.sum("neg").over(W.partitionBy("cell").orderBy("x").rowsBetween(W.unboundedPreceding, 0)) - F.col("neg")
     per_cell = (
         ranged.withColumn("won", F.col("pos") * (before + F.col("neg") / 2.0))
         .groupBy("cell")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("won"))
     )
-    # At most _CELLS + 1 rows from here on.
+    # One row for each range from here on.
     lower = F.sum("neg").over(W.partitionBy(F.lit(0)).orderBy("cell").rowsBetween(W.unboundedPreceding, 0)) - F.col("neg")
     total = per_cell.withColumn("won", F.col("won") + F.col("pos").cast("double") * lower).agg(
         F.coalesce(F.sum("pos"), F.lit(0)).alias("positives"),

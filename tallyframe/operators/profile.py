@@ -13,13 +13,15 @@ from tallyframe.operators.assoc import pearson
 from tallyframe.operators.counts import most_frequent, value_totals
 from tallyframe.operators.order import Span, comparable, quantiles
 from tallyframe.operators.tables import by_magnitude, one_pass, stack_tables
-from tallyframe.session import small_table
+from tallyframe.session import small_table, stage
 
 # Decimals the numeric summary is shown with.
 SUMMARY_DECIMALS = {"missing_pct": 1, "corr_target": 3}
 SUMMARY_DEFAULT_DECIMALS = 2
 # The quantiles of the upper-tail report.
 LADDER = (0.9999, 0.999, 0.995, 0.99, 0.95, 0.9)
+# Rows of one range of counted values in the box report.
+BOX_ROWS = 5_000_000
 
 
 # ---- missing values -------------------------------------------------------------------------
@@ -277,38 +279,49 @@ def histogram(df: DataFrame, column: str, target: str | None = None, bins: int =
 
 
 def box_stats(df: DataFrame, column: str, by: str, levels: Sequence[float] = (), exact: bool = True) -> DataFrame:
-    """Five-number summary and 1.5-IQR whiskers of ``column`` per value of ``by`` (few classes).
+    """Five-number summary and 1.5-IQR whiskers of ``column`` per value of ``by``, in order of ``by``.
 
-    ``levels`` adds further quantiles (letter values) as an array column.
+    ``levels`` adds further quantiles (letter values) as an array column. Any number of classes, of any size: values are
+    counted per class, the counts partitioned by range of (class, value) and written once, and ranks taken inside each range
+    and lifted by the lower ranges of the class, so that a class with most of the rows is spread over many tasks.
     """
     x = comparable(df, {column: F.col(column)})[column].cast("double")
-    classes = sorted(r[0] for r in df.select(by).where(F.col(by).isNotNull()).distinct().collect())
-    keys = {f"c{i}": F.when(F.col(by) == F.lit(v), x) for i, v in enumerate(classes)}
+    rows = df.select(F.col(by).alias("class"), x.alias("x")).where("class is not null")
+    sizes = rows.groupBy("class").agg(F.count("x").alias("total"))
+    parts = rows.count() // BOX_ROWS + 1
+    counted = rows.where("x is not null").groupBy("class", "x").agg(F.count("*").alias("n"))
+    ranged = counted.repartitionByRange(parts, "class", "x").withColumn("cell", F.spark_partition_id())
+    ranged = stage(ranged, "box-values")
+    # One row for each class and range.
+    cells = ranged.groupBy("class", "cell").agg(F.sum("n").alias("n"))
+    below = F.sum("n").over(W.partitionBy("class").orderBy("cell").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
+    cells = cells.withColumn("lower", below).drop("n").join(sizes, "class")
+
     probs = (0.0, 0.25, 0.5, 0.75, 1.0, *levels)
-    boxes = quantiles(df, keys, probs, exact=exact)
-    rows, aggs = [], []
-    for i, k in enumerate(keys):
-        lo, q25, _, q75, hi = boxes[k][:5]
-        if lo is None:
-            aggs += [F.lit(None).cast("double").alias(f"lo{i}"), F.lit(None).cast("double").alias(f"hi{i}"),
-                     F.count(keys[k]).alias(f"n{i}")]
-            continue
-        reach = 1.5 * (q75 - q25)
-        aggs += [
-            F.min(F.when(keys[k] >= q25 - reach, keys[k])).alias(f"lo{i}"),
-            F.max(F.when(keys[k] <= q75 + reach, keys[k])).alias(f"hi{i}"),
-            F.count(keys[k]).alias(f"n{i}"),
+    if exact:
+        upto = F.sum("n").over(W.partitionBy("class", "cell").orderBy("x").rowsBetween(W.unboundedPreceding, 0))
+        placed = ranged.withColumn("upto", upto).join(cells, ["class", "cell"]).withColumn("upto", F.col("upto") + F.col("lower"))
+        places = [(F.col("total") - 1) * F.lit(float(p)) for p in probs]
+        at = lambda k: F.max(F.when((k >= F.col("upto") - F.col("n")) & (k < F.col("upto")), F.col("x")))
+        ends = placed.groupBy("class", "total").agg(F.array(*[F.struct(at(F.floor(k)).alias("a"), at(F.ceil(k)).alias("b")) for k in places]).alias("found"))
+        between = [
+            F.when(f["a"] == f["b"], f["a"]).otherwise(f["a"] + (f["b"] - f["a"]) * (k - F.floor(k)))
+            for k, f in ((k, F.col("found")[i]) for i, k in enumerate(places))
         ]
-    ends = df.agg(*aggs).first() if aggs else None
-    for i, (v, k) in enumerate(zip(classes, keys)):
-        box = boxes[k]
-        extra = (box[5:],) if levels else ()
-        rows.append((v, ends[f"n{i}"], *box[:5], ends[f"lo{i}"], ends[f"hi{i}"], *extra))
-    kind = dict(df.dtypes)[by]
-    return small_table(
-        df.sparkSession,
-        rows,
-        f"`{by}` {kind}, count bigint, min double, q25 double, median double, q75 double, max double, "
-        "whisker_lo double, whisker_hi double" + (", letter_values array<double>" if levels else ""),
+        boxes = ends.select("class", F.array(*between).alias("q"))
+    else:
+        boxes = rows.where("x is not null").groupBy("class").agg(F.percentile_approx("x", list(map(float, probs)), 10_000).alias("q"))
+    q = lambda i: F.col("q")[i]
+    reach = (q(3) - q(1)) * 1.5
+    bounds = cells.join(boxes, "class").select("class", "cell", (q(1) - reach).alias("least"), (q(3) + reach).alias("most"))
+    whiskers = ranged.join(bounds, ["class", "cell"]).groupBy("class").agg(
+        F.min(F.when(F.col("x") >= F.col("least"), F.col("x"))).alias("whisker_lo"),
+        F.max(F.when(F.col("x") <= F.col("most"), F.col("x"))).alias("whisker_hi"),
+    )
+    names = ("min", "q25", "median", "q75", "max")
+    letters = [F.when(F.col("q").isNotNull(), F.slice("q", 6, len(levels))).alias("letter_values")] if levels else []
+    report = sizes.join(boxes, "class", "left").join(whiskers, "class", "left").orderBy("class")
+    return report.select(
+        F.col("class").alias(by), F.col("total").alias("count"), *[q(i).alias(c) for i, c in enumerate(names)],
+        "whisker_lo", "whisker_hi", *letters,
     )
-

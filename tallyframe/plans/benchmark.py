@@ -52,11 +52,11 @@ def dealt(df: DataFrame, id: str, parts: int = FIT_PARTS) -> DataFrame:
 
 
 def encode_pair(
-    train: DataFrame, other: DataFrame, id: str, target: str, scale: bool
+    train: DataFrame, other: DataFrame, id: str, target: str, scale: bool, hashed: int | None = None
 ) -> tuple[Encoder, DataFrame, DataFrame]:
     """Encoder fitted on ``train``, and both tables reduced to what a model reads."""
     cats, nums = roles(train, id, target)
-    encoder = fit_encoder(train, cats, nums, scale=scale)
+    encoder = fit_encoder(train, cats, nums, scale=scale, hashed=hashed)
     train = dealt(train, id)
 
     def slim(df: DataFrame) -> DataFrame:
@@ -73,10 +73,11 @@ def positive_probability(scored: DataFrame, id: str, *keep: str) -> DataFrame:
 
 
 def benchmark_models(
-    train: DataFrame, valid: DataFrame, id: str, target: str, models: Mapping[str, ModelChoice] | None = None
+    train: DataFrame, valid: DataFrame, id: str, target: str, models: Mapping[str, ModelChoice] | None = None,
+    hashed: int | None = None,
 ) -> DataFrame:
-    """(model, auc) on ``valid``, best first. Encoding is fitted and cached once for all models."""
-    scores, _ = _benchmark(train, valid, id, target, models)
+    """(model, auc) on ``valid``, best first. Encoding is fitted and cached once for all models; ``hashed`` as in ``fit_encoder``."""
+    scores, _ = fit_models(train, valid, id, target, models, hashed)
     return _score_table(train, scores)
 
 
@@ -84,12 +85,16 @@ def _score_table(df: DataFrame, scores: Mapping[str, float | None]) -> DataFrame
     return small_table(df.sparkSession, list(scores.items()), SCORES).orderBy(F.col("auc").desc_nulls_last(), "model")
 
 
-def _benchmark(train, valid, id, target, models=None):
+def fit_models(
+    train: DataFrame, valid: DataFrame, id: str, target: str, models: Mapping[str, ModelChoice] | None = None,
+    hashed: int | None = None,
+) -> tuple[dict[str, float | None], tuple[Encoder, dict[str, object]]]:
+    """AUC of each model on ``valid``, the encoder, and the fitted models."""
     models = models or default_models()
     checkpoint_dir(train.sparkSession)  # tree boosting cuts its lineage there
     scores, fitted = {}, {}
     with cached(train, valid) as (train, valid):  # read by the encoder fit and by the encoding
-        encoder, a, b = encode_pair(train, valid, id, target, scale=any(m.scale for m in models.values()))
+        encoder, a, b = encode_pair(train, valid, id, target, any(m.scale for m in models.values()), hashed)
         with cached(a, b) as (a, b):
             rows = encoder.rows or a.count()
             for name, choice in models.items():
@@ -100,7 +105,7 @@ def _benchmark(train, valid, id, target, models=None):
 
 def score_model(train: DataFrame, valid: DataFrame, id: str, target: str, choice: ModelChoice) -> float | None:
     """AUC of one model."""
-    return _benchmark(train, valid, id, target, {"model": choice})[0]["model"]
+    return fit_models(train, valid, id, target, {"model": choice})[0]["model"]
 
 
 def ablation(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.operators.models import ModelChoice, default_models
 from tallyframe.operators.split import stratified_split
 from tallyframe.plans.benchmark import (
-    PROBABILITY, _benchmark, _score_table, cached, encode_pair, positive_probability,
+    PROBABILITY, _score_table, cached, encode_pair, fit_models, positive_probability,
 )
 from tallyframe.plans.prepare import PrepareRules, fit_prepare, prepare
 from tallyframe.session import checkpoint_dir
@@ -52,7 +52,7 @@ def predict_best(
     models = models or default_models()
     train, valid = stratified_split(labelled, spec.id, spec.target, share)
     held_out = fit_prepare(train, spec, rules)
-    scores, _ = _benchmark(prepare(train, held_out), prepare(valid, held_out), spec.id, spec.target, models)
+    scores, _ = fit_models(prepare(train, held_out), prepare(valid, held_out), spec.id, spec.target, models)
     best = max(scores, key=lambda name: (scores[name] is not None, scores[name] or 0.0))
     full = fit_prepare(labelled, spec, rules)
     predictions = fit_predict(

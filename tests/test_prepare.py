@@ -114,6 +114,20 @@ def test_too_wide_an_encoding_is_refused(spark, monkeypatch):
         encode.fit_encoder(df, ["k"], [])
 
 
+def test_hashed_encoding_has_no_limit_and_keeps_every_value(spark, monkeypatch):
+    monkeypatch.setattr(encode, "WIDTH_LIMIT", 2)
+    df = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 2.0), (None, "y", 3.0)], "k string, l string, n double")
+    encoder = encode.fit_encoder(df, ["k", "l"], ["n"], scale=True, hashed=64)
+    assert encoder.names == ("n", *(f"hashed__{i}" for i in range(64)))
+    out = encoder.transform(df)
+    assert set(out.columns) == {"k", "l", "n", "features", "scaled_features"}
+    vectors = [r["features"].toArray() for r in out.orderBy("n").collect()]
+    assert [v[0] for v in vectors] == [1.0, 2.0, 3.0] and all(len(v) == 65 and v[1:].sum() == 2 for v in vectors)
+    unseen = encoder.transform(spark.createDataFrame([("z", "x", 1.0)], df.schema)).first()["features"].toArray()
+    assert unseen[1:].sum() == 2
+    assert encode.fit_encoder(df, [], ["n"], hashed=64).names == ("n",)
+
+
 def test_scaling_uses_the_population_spread(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "x double, c double")
     got = [tuple(r) for r in encode.scale_standard(df, ["x", "c"]).collect()]

@@ -196,6 +196,25 @@ def test_auc_matches_rank_formula(spark, monkeypatch, n, distinct, cell_rows):
     assert metrics.auc_value(stretched, "s", "y") == pytest.approx(want, abs=1e-12)
 
 
+@pytest.mark.parametrize("box_rows", [5_000_000, 40])
+def test_boxes_of_many_classes_and_of_a_large_one(spark, monkeypatch, box_rows):
+    """Ranges cut through classes give the same boxes as numpy; a class without values has an empty box."""
+    monkeypatch.setattr(profile, "BOX_ROWS", box_rows)
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"k": np.where(rng.random(900) < 0.4, 7, rng.integers(60, size=900)), "x": rng.normal(size=900).round(2)})
+    df = spark.createDataFrame(pdf).union(spark.createDataFrame([(99, None)], "k long, x double"))
+    got = profile.box_stats(df, "x", "k", levels=(0.9,)).collect()
+    assert [r["k"] for r in got] == sorted({*pdf["k"], 99})
+    assert tuple(got[-1]) == (99, 0, *[None] * 8)
+    for r in got[:-1]:
+        x = pdf["x"][pdf["k"] == r["k"]].to_numpy()
+        want = np.quantile(x, [0, 0.25, 0.5, 0.75, 1])
+        reach = 1.5 * (want[3] - want[1])
+        ends = [x[x >= want[1] - reach].min(), x[x <= want[3] + reach].max()]
+        assert r["count"] == len(x) and list(r)[2:9] == pytest.approx([*want, *ends])
+        assert r["letter_values"] == [pytest.approx(np.quantile(x, 0.9))]
+
+
 def test_auc_of_one_class_and_of_nothing(spark):
     df = spark.createDataFrame([(0.1, 0), (0.2, 0)], "s double, y int")
     assert metrics.auc_value(df, "s", "y") is None
