@@ -26,10 +26,13 @@ WEIGHT = "class_weight"
 
 @dataclass(frozen=True)
 class SourceModels:
-    """Source AUC per model and encoded-feature importances of the fitted models."""
+    """Source AUC per model, encoded-feature importances, class weights, and rows fitted on and held out."""
 
     scores: DataFrame
     importance: DataFrame
+    weights: Mapping[float, float]
+    rows: int
+    held_out: int
 
 
 def prepare_sources(tagged: DataFrame, id: str, leaks: Sequence[str], flag: str = SOURCE) -> DataFrame:
@@ -71,7 +74,7 @@ def fit_source_models(
             weight = F.lit(1.0)
             for value, w in weights.items():
                 weight = F.when(F.col(LABEL) == F.lit(value), F.lit(w)).otherwise(weight)
-            weighted, rows = a.withColumn(WEIGHT, weight), a.count()
+            weighted, rows, held_out = a.withColumn(WEIGHT, weight), a.count(), b.count()
             for name, choice in models.items():
                 extra = {"weightCol": WEIGHT} if name == FOREST else {}
                 model = choice.classifier(rows, **extra).fit(weighted)
@@ -79,7 +82,7 @@ def fit_source_models(
                 table = importance_table(spark, model, encoder.names).select(F.lit(name).alias("model"), "feature", "importance")
                 weights_by_model = table if weights_by_model is None else weights_by_model.unionByName(table)
     result = small_table(spark, scores, "model string, source_auc double")
-    return SourceModels(result.orderBy(F.col("source_auc").desc_nulls_last(), "model"), weights_by_model)
+    return SourceModels(result.orderBy(F.col("source_auc").desc_nulls_last(), "model"), weights_by_model, weights, rows, held_out)
 
 
 def drift_report(tagged: DataFrame, fitted: SourceModels, flag: str = SOURCE, top_n: int = 8) -> DataFrame:

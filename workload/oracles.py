@@ -319,19 +319,20 @@ LABELLED = f"""lab as (select * replace (
   coalesce({norm('segment_raw')}, 'missing') as segment_raw,
   coalesce(cast(cast(agent_id as bigint) as varchar), 'missing') as agent_id),
   priority_raw is null as priority_null, company_id is not null as has_company from split)"""
-add("prepare_full", f"""with {DIRTY_CTE}, {SPLIT}, {LABELLED},
+PREPARED_CTE = f"""{DIRTY_CTE}, {SPLIT}, {LABELLED},
 m as (select {', '.join(f'{q(c, 0.5)} as m_{c}' for c in NUMS)} from split where not is_valid),
 n as (select nation from lab where not is_valid group by 1 having count(*) >= 480),
 a as (select agent_id from lab where not is_valid group by 1 having count(*) >= 250),
-x as (select *, coalesce(cast(hours as double), m_hours) as h, coalesce(cost, m_cost) as k from lab, m)
-select id, y, round(coalesce(price, m_price), 6) as price, segment_raw, priority_raw,
+x as (select *, coalesce(cast(hours as double), m_hours) as h, coalesce(cost, m_cost) as k from lab, m),
+prepared as (select is_valid, id, y, round(coalesce(price, m_price), 6) as price, segment_raw, priority_raw,
 case when nation in (select nation from n) or nation = 'missing' then nation else 'other' end as nation,
 case when agent_id in (select agent_id from a) or agent_id = 'missing' then agent_id else 'other' end as agent_id,
 round(case when k > 500 then 500 else k end, 6) as cost,
 case when h < 0 then 0 when h > 8 then 8 else h end as hours,
 cast(has_company as integer) as has_company_id, cast(cost is null as integer) as cost_missing,
 cast(priority_null as integer) as priority_raw_missing,
-cast(priority_raw = priority_got as integer) as received_requested from x""")
+cast(priority_raw = priority_got as integer) as received_requested from x)"""
+add("prepare_full", f"with {PREPARED_CTE} select * exclude (is_valid) from prepared")
 add("prepare_calendar", f"""with {DIRTY_CTE} select id, y, price, agent_id, cost, hours, """ + ", ".join(
     f"lower(trim({c})) as {c}" for c in CATS) + """, cast(agent_id is null as integer) as agent_id_is_missing,
 cast(cost is null as integer) as cost_is_missing, cast(priority_raw is null as integer) as priority_raw_is_missing,
@@ -405,3 +406,32 @@ cast(sum(n) as bigint) as negatives from c"""
 
 add("auc_rank", auc(BASE_CTE, "base", "price"))
 add("auc_ties", auc(LINES, "lines", "l_quantity"))
+
+# ---- models: what is exact about them -------------------------------------------------------
+
+_MODELS = "(values ('Logistic Regression'), ('Random Forest'), ('Boosted Trees')) as m(model)"
+_LATEST = "row_number() over (order by d, id) > floor(count(*) over () * (1 - cast(0.2 as double)))"
+_PREPARED_CATS = ("segment_raw", "priority_raw", "nation", "agent_id")
+_PREPARED_NUMS = ("price", "cost", "hours", "has_company_id", "cost_missing", "priority_raw_missing", "received_requested")
+_ENCODED = " union all ".join(
+    [f"select '{c}' as feature" for c in _PREPARED_NUMS]
+    + [f"select distinct 'ohe__{c}__' || {c} from prepared where not is_valid" for c in _PREPARED_CATS])
+
+add("checked_scores", f"""with {DIRTY_CTE}, s as (
+select 'random' as split, y, {stratified('y', 0.2)} as is_valid from dirty
+union all select 'chronological', y, {_LATEST} from dirty)
+select split, model, count(*) filter (not is_valid) as rows, count(*) filter (is_valid) as held_out,
+count(*) filter (is_valid and y = 1) as positives, true as are_probabilities, true as auc_agrees
+from s, {_MODELS} group by 1, 2""")
+add("checked_encoding", f"""with {PREPARED_CTE}, e as ({_ENCODED})
+select feature, model, true as in_range, true as sums_to_one from e, {_MODELS} where model <> 'Logistic Regression'""")
+add("checked_logistic", f"""with {PREPARED_CTE}, e as ({_ENCODED})
+select (select count(*) from e) as features, count(*) as rows, cast(sum(y) as bigint) as positives, true as is_optimum
+from prepared where not is_valid""")
+add("checked_predictions", f"with {DIRTY_CTE} select id as client_id, true as is_probability from dirty where {LATE}")
+add("checked_sources", f"""with {DIRTY_CTE}, l as (select id, {LATE} as is_test from dirty),
+s as (select is_test, {stratified('is_test', 0.25)} as is_valid from l),
+c as (select count(*) filter (not is_valid) as n, count(*) filter (is_valid) as held_out,
+ count(*) filter (not is_valid and is_test) as b from s)
+select model, n as rows, held_out, round(n / (2.0 * (n - b)), 6) as train_weight, round(n / (2.0 * b), 6) as test_weight,
+true as auc_in_range, true as sums_to_one from c, {_MODELS} where model <> 'Logistic Regression'""")
