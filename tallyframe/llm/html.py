@@ -196,6 +196,8 @@ def extract_group(htmls: list[str | None]) -> list[str]:
     fixed = {t for members in template for t in members}
     seen: Counter[tuple[str, str]] = Counter()
     volume: Counter[str] = Counter()
+    pages_with = Counter(t for tokens, _ in distinct for t in fixed.intersection(tokens))
+    pages_with[""] = len(distinct)
 
     def slots(page: tuple[list[str], list[Piece]]) -> list[str]:
         """The slot of each block of text: the last template token before it."""
@@ -208,28 +210,36 @@ def extract_group(htmls: list[str | None]) -> list[str]:
             out.append(last)
         return out
 
-    marked: set[str] = set()
-    for page in distinct:
-        own = slots(page)
-        seen.update({(s, p.text) for s, p in zip(own, page[1])})
-        for s, p in zip(own, page[1]):
+    placed = [list(zip(slots(page), page[1])) for page in distinct]
+    for page in placed:
+        seen.update({(s, p.text) for s, p in page})
+        for s, p in page:
             if not p.other:
                 volume[s] += len(p.text)
-                if p.main:
-                    marked.add(s)
-    # Slots of article and main elements; on pages without such an element, slots with a tenth of the largest slot's text,
-    # where text that stands in the same slot on every page is part of the template.
+
+    def constant(s: str, text: str) -> bool:
+        """Whether the text is part of the template: it stands in this slot on every page that has the slot."""
+        return pages_with[s] >= LEAST_PAGES and seen[s, text] == pages_with[s]
+
+    # Where article and main elements hold own text of most pages, the slot is content with all its text.
+    own = Counter(s for page in placed for s in {s for s, p in page if p.main and not p.other and not constant(s, p.text)})
+    content = {s for s, n in own.items() if 2 * n >= pages_with[s]}
+    left = [[(s, p) for s, p in page if not p.other and not (constant(s, p.text) and not (p.main and s in content))] for page in placed]
+    if not any(left):  # pages that differ in other parts only: nothing tells template from text
+        left = [[(s, p) for s, p in page if not p.other] for page in placed]
+    # Article and main elements are a hint for which slots are content. A template does not follow it where on most pages they hold
+    # the lesser part of the text left (such as cards that link to other pages).
+    hinted = [page for page in left if any(p.main for _, p in page)]
+    agreeing = sum(2 * sum(len(p.text) for _, p in page if p.main) >= sum(len(p.text) for _, p in page) for page in hinted)
+    follow = len(distinct) < LEAST_PAGES or 2 * agreeing >= len(hinted)
     large = {s for s, n in volume.items() if 10 * n >= max(volume.values())}
 
-    def text_of(page: tuple[list[str], list[Piece]]) -> str:
-        own, pieces = slots(page), page[1]
-        open_ = [(s, p) for s, p in zip(own, pieces) if not p.other]
-        if any(p.main for p in pieces):
-            return " ".join(p.text for s, p in open_ if s in marked and p.main)
-        constant = len(distinct) >= LEAST_PAGES
-        return " ".join(p.text for s, p in open_ if s in large and not (constant and seen[s, p.text] == len(distinct)))
+    def text_of(page: list[tuple[str, Piece]]) -> str:
+        if follow and any(p.main for _, p in page):
+            return " ".join(p.text for _, p in page if p.main)
+        return " ".join(p.text for s, p in page if s in large)
 
-    texts = {h: text_of(page) for h, page in parsed.items()}
+    texts = {h: text_of(page) for h, page in zip(parsed, left)}
     return [texts[h] for h in htmls]
 
 
@@ -243,8 +253,11 @@ def extract(df: DataFrame, url: str = "url", html: str = "html", keep: list[str]
     through (default: all).
 
     Pages of a host, in blocks of bounded size that a hash of the page deals out, give a template: classes of tags with equal
-    occurrence vectors, valid and nested. What is left in its slots is text. Main text is that of article or main elements; on
-    pages without them, of the large slots, but for text that is the same on all pages of the block. Blocks of text inside
+    occurrence vectors, valid and nested. Text that stands in a slot on every page with that slot (three at least) is part of the
+    template, unless no page of the block has other text, or it lies in an article or main element and the slot holds text of
+    their own on at least half of the pages with it. On pages with text left in article or main elements
+    the main text is that, unless on most such pages of the block the elements hold less than half of the text left; on
+    others it is the text left in the large slots. Blocks of text inside
     menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out. Character references are decoded,
     white space inside a block becomes one space, blocks are joined by one space in page order.
 

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns, hot groups, and the method's own parts."""
 
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -205,6 +206,20 @@ def test_html_hot_host_by_both_joins(spark, monkeypatch):
         assert {r["page_id"]: r["text"] for r in html.extract(df).collect()} == want
 
 
+def test_html_template_decides_inside_articles():
+    """Against brute force: text of all pages of the host is template, under any class, with and without an article element."""
+    for box in ("article", "div class=story"):
+        own = [[f"Title {i}", *(f"own text {i} {k}" for k in range(1 + i % 4))] for i in range(12)]
+        pages = [
+            f"<body><{box}><h1>{texts[0]}</h1><div class=kudos>Give kudos</div>{''.join(f'<p>{t}</p>' for t in texts[1:])}<div class=end>The end</div></{box.split()[0]}></body>"
+            for texts in own
+        ]
+        shared = set.intersection(*[set(re.findall(r">([^<>]+)<", page)) for page in pages])
+        assert html.extract_group(pages) == [" ".join(t for t in re.findall(r">([^<>]+)<", page) if t not in shared) for page in pages] == [" ".join(t) for t in own]
+    alike = [f"<body><article>same text</article><footer>{i}</footer></body>" for i in range(4)]
+    assert html.extract_group(alike) == ["same text"] * 4
+
+
 def test_template_classes():
     pages = [["a", "b", "x", "x", "c"], ["a", "b", "x", "c"], ["a", "b", "c"]]
     assert html._classes(pages) == [["a", "b", "c"]]
