@@ -195,7 +195,6 @@ def extract_group(htmls: list[str | None]) -> list[str]:
         template = _nested(tokens, _classes(tokens))
     fixed = {t for members in template for t in members}
     seen: Counter[tuple[str, str]] = Counter()
-    volume: Counter[str] = Counter()
     pages_with = Counter(t for tokens, _ in distinct for t in fixed.intersection(tokens))
     pages_with[""] = len(distinct)
 
@@ -213,9 +212,6 @@ def extract_group(htmls: list[str | None]) -> list[str]:
     placed = [list(zip(slots(page), page[1])) for page in distinct]
     for page in placed:
         seen.update({(s, p.text) for s, p in page})
-        for s, p in page:
-            if not p.other:
-                volume[s] += len(p.text)
 
     def constant(s: str, text: str) -> bool:
         """Whether the text is part of the template: it stands in this slot on every page that has the slot."""
@@ -232,12 +228,11 @@ def extract_group(htmls: list[str | None]) -> list[str]:
     hinted = [page for page in left if any(p.main for _, p in page)]
     agreeing = sum(2 * sum(len(p.text) for _, p in page if p.main) >= sum(len(p.text) for _, p in page) for page in hinted)
     follow = len(distinct) < LEAST_PAGES or 2 * agreeing >= len(hinted)
-    large = {s for s, n in volume.items() if 10 * n >= max(volume.values())}
 
     def text_of(page: list[tuple[str, Piece]]) -> str:
         if follow and any(p.main for _, p in page):
             return " ".join(p.text for _, p in page if p.main)
-        return " ".join(p.text for s, p in page if s in large)
+        return " ".join(p.text for _, p in page)
 
     texts = {h: text_of(page) for h, page in zip(parsed, left)}
     return [texts[h] for h in htmls]
@@ -257,7 +252,7 @@ def extract(df: DataFrame, url: str = "url", html: str = "html", keep: list[str]
     template, unless no page of the block has other text, or it lies in an article or main element and the slot holds text of
     their own on at least half of the pages with it. On pages with text left in article or main elements
     the main text is that, unless on most such pages of the block the elements hold less than half of the text left; on
-    others it is the text left in the large slots. Blocks of text inside
+    others it is all text left, of whatever length. Blocks of text inside
     menus, page headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are left out. Character references are decoded,
     white space inside a block becomes one space, blocks are joined by one space in page order.
 

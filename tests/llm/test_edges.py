@@ -216,10 +216,20 @@ def test_html_template_decides_inside_articles():
         ]
         shared = set.intersection(*[set(re.findall(r">([^<>]+)<", page)) for page in pages])
         assert html.extract_group(pages) == [" ".join(t for t in re.findall(r">([^<>]+)<", page) if t not in shared) for page in pages] == [" ".join(t) for t in own]
+    cards = [f"<body><div class=story><p>{'long story ' * 20}{i}</p></div><div class=more><article>card {i}</article></div></body>" for i in range(6)]
+    assert html.extract_group(cards) == [f"{'long story ' * 20}{i} card {i}" for i in range(6)]
     alike = [f"<body><article>same text</article><footer>{i}</footer></body>" for i in range(4)]
     assert html.extract_group(alike) == ["same text"] * 4
 
 
+def test_html_short_slots_and_short_pages():
+    pages = [f"<body><div class=story><h1>Head {i}</h1><div class=lead>Lead {i}</div><p>{'long text ' * 300}{i}</p></div></body>" for i in range(5)]
+    assert html.extract_group(pages) == [f"Head {i} Lead {i} {'long text ' * 300}{i}" for i in range(5)]
+    short = [f"<body><h1>Head {i}</h1><div class=note>short {i}</div><div class=tale></div></body>" for i in range(5)]
+    long = f"<body><h1>Head</h1><div class=note></div><div class=tale>{'long ' * 9000}</div></body>"
+    assert html.extract_group([*short, long]) == [*(f"Head {i} short {i}" for i in range(5)), "Head " + " ".join(["long"] * 9000)]
+
+
 def test_template_classes():
     pages = [["a", "b", "x", "x", "c"], ["a", "b", "x", "c"], ["a", "b", "c"]]
     assert html._classes(pages) == [["a", "b", "c"]]
