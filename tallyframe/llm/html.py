@@ -37,6 +37,8 @@ OTHER_NAMES = (
 ).split()
 OTHER_ROLES = "navigation banner contentinfo complementary search alert dialog menu menubar".split()
 MAIN = "article main".split()
+#: Beginnings of names that tell a state of the page and name no part of it.
+FLAGS = ("no-", "not-", "without-", "has-", "with-", "is-")
 
 _TOKEN = regex.compile(
     r"(?si)<!--.*?(?:-->|$)|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object|select|button|canvas)\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
@@ -59,15 +61,17 @@ class Piece:
     main: bool  # inside an article or main element
 
 
-def _names(attrs: str) -> tuple[str, bool]:
-    """A short form of class and id, and whether they name a part that is not main text."""
-    short, other = [], False
+def _names(attrs: str) -> tuple[str, bool, bool]:
+    """A short form of class and id, and whether a word of them, and whether a whole name, stands for a part that is not main text."""
+    short, loose, whole = [], False, False
     for kind, *values in _ATTR.findall(attrs):
         value = next((v for v in values if v), "").lower()
-        words = _WORD.findall(value)
-        short.append(kind[0] + "=" + "-".join(words))
-        other = other or any(w in (OTHER_ROLES if kind.lower() == "role" else OTHER_NAMES) for w in words)
-    return "".join(f"[{s}]" for s in sorted(short)), other
+        short.append(kind[0] + "=" + "-".join(_WORD.findall(value)))
+        listed = OTHER_ROLES if kind.lower() == "role" else OTHER_NAMES
+        names = value.split()
+        whole = whole or any(n in listed for n in names)
+        loose = loose or any(w in listed for n in names if not n.startswith(FLAGS) for w in _WORD.findall(n))
+    return "".join(f"[{s}]" for s in sorted(short)), loose, whole
 
 
 def parse(page: str | None) -> tuple[list[str], list[Piece]]:
@@ -75,10 +79,17 @@ def parse(page: str | None) -> tuple[list[str], list[Piece]]:
 
     Inline tags are no tokens and join the text around them; ``br`` and block-level tags end a block. Ends left out by the author
     are filled in as browsers do for paragraphs, list items and table cells; unknown ends are skipped.
+
+    An element outside articles is another part if a word of its class, id or role is on the list; inside them the whole name must be.
+    Article and main elements themselves are never. Elements around them are only for a whole name, and only if
+    articles elsewhere on the page hold text. Names never leave a page without the text of its articles.
     """
     tokens: list[str] = []
     pieces: list[Piece] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # name, path, other, main
+    # name, path, in another part by its tag, elements with listed names around, those of them around the innermost article, main
+    stack: list[tuple[str, str, bool, tuple[int, ...], tuple[int, ...], bool]] = [("", "", False, (), (), False)]
+    around: list[tuple[tuple[int, ...], tuple[int, ...]]] = []  # the two lists of each piece
+    whole: list[bool] = []  # of each element with a listed name: whether the whole name is listed
     held: list[str] = []
 
     def flush():
@@ -86,7 +97,8 @@ def parse(page: str | None) -> tuple[list[str], list[Piece]]:
             text = " ".join(entities.unescape("".join(held)).split())
             held.clear()
             if text:
-                _, path, other, main = stack[-1]
+                _, path, other, named, outer, main = stack[-1]
+                around.append((named, outer))
                 pieces.append(Piece(len(tokens), path, text, other, main))
 
     def pop():
@@ -125,12 +137,24 @@ def parse(page: str | None) -> tuple[list[str], list[Piece]]:
         elif name == "body":
             while any(s[0] == "head" for s in stack):
                 pop()
-        _, path, other, main = stack[-1]
-        short, named = _names(m["attrs"])
-        part = name in OTHER_PARTS or (name == "header" and not main) or (named and name not in ("html", "body"))
-        stack.append((name, f"{path}/{name}{short}", other or part, main or name in MAIN))
+        _, path, other, named, outer, main = stack[-1]
+        short, by_word, by_name = _names(m["attrs"])
+        if name in MAIN:
+            outer = named
+        elif name not in ("html", "body") and (by_name and name != "header" if main else by_word or by_name):
+            whole.append(by_name)
+            named = (*named, len(whole) - 1)
+        part = name in OTHER_PARTS or (name == "header" and not main)
+        stack.append((name, f"{path}/{name}{short}", other or part, named, outer, main or name in MAIN))
         tokens.append(stack[-1][1])
     flush()
+    own = [(named, outer) for p, (named, outer) in zip(pieces, around) if p.main and not p.other]
+    spared = {e for _, outer in own for e in outer if not whole[e]}
+    for more in ((e for _, outer in own for e in outer), (e for named, _ in own for e in named)):
+        if all(not spared.issuperset(named) for named, _ in own):
+            spared.update(more)
+    for p, (named, _) in zip(pieces, around):
+        p.other = p.other or not spared.issuperset(named)
     return tokens, pieces
 
 

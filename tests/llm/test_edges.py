@@ -230,6 +230,25 @@ def test_html_short_slots_and_short_pages():
     assert html.extract_group([*short, long]) == [*(f"Head {i} short {i}" for i in range(5)), "Head " + " ".join(["long"] * 9000)]
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div class='layout no-sidebar'><article><p>own</p></article></div>", "own"),
+    ("<div class='layout no-sidebar'><p>own</p></div>", "own"),
+    ("<div class='page-with-menu'><p>intro</p><article><p>own</p></article></div>", "own"),
+    ("<main id='search-results'><p>own</p></main>", "own"),
+    ("<article class='post comments-open'><p>own</p></article>", "own"),
+    ("<article class='comments'><p>own</p></article>", "own"),
+    ("<article><div class='entry-header'><h1>Head</h1></div><p>own</p></article>", "Head own"),
+    ("<article><header class='header'><h1>Head</h1></header><p>own</p></article>", "Head own"),
+    ("<div class='widget'><main><div class='notice'>own</div></main></div>", "own"),
+    ("<article><p>own</p><div class='share big'>share it</div></article>", "own"),
+    ("<main><p>own</p></main><section id='comments'><article>reader</article></section>", "own"),
+    ("<main><p>own</p><section id='comments'><article class='comment'>reader</article></section></main>", "own"),
+    ("<main><nav>menu</nav></main><div class='cookie-notice'>we use</div>", ""),
+])
+def test_html_names_of_other_parts(page, text):
+    assert html.extract_group([f"<html><body>{page}</body></html>"]) == [text]
+
+
 def test_template_classes():
     pages = [["a", "b", "x", "x", "c"], ["a", "b", "x", "c"], ["a", "b", "c"]]
     assert html._classes(pages) == [["a", "b", "c"]]
