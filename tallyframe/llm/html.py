@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,12 +17,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tallyframe.llm.common import grouped, without
-from tallyframe.session import rows_up_to, small_table
+from tallyframe.session import small_table
 
 #: Pages and bytes of one template; a host with more is cut into blocks that deduce theirs separately.
 BLOCK_PAGES, BLOCK_BYTES = 256, 8 << 20
 #: Hosts of more than one block that are broadcast; more are joined by shuffle, with the same rows.
 LARGE_HOSTS = 100_000
+#: Pages of more copies than this are extracted once and joined to their rows; at most so many pages, those of most copies.
+COPIES, COPIED_PAGES = 64, 10_000
+#: Rows of one page in a part of that join, and text that one batch gives back, in bytes.
+COPY_ROWS, OUT_BYTES = 1_000, 4 << 20
 #: Distinct pages from which on a template is deduced, and tokens a class needs.
 LEAST_PAGES, LEAST_TOKENS = 3, 3
 
@@ -267,6 +272,23 @@ def host_of(url) -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _bare_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by host, block and page, with the html of a page on its first row only, so that copies hold no memory."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+        fresh = np.ones(batch.num_rows, bool)
+        fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in keys])
+        fresh[0] = last != tuple(c[0] for c in keys)
+        last = tuple(c[-1] for c in keys)
+        html_ = batch.column(4)
+        if not fresh.all():
+            html_ = pc.if_else(pa.array(fresh), html_, pa.scalar(None, html_.type))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], html_], names=batch.schema.names)
+
+
 def extract(df: DataFrame, url: str = "url", html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """Add ``text string``, the main text of each page; a column named ``text`` is replaced. ``keep`` names the columns to pass
     through (default: all).
@@ -281,25 +303,64 @@ def extract(df: DataFrame, url: str = "url", html: str = "html", keep: list[str]
     white space inside a block becomes one space, blocks are joined by one space in page order.
 
     Null or empty pages give an empty text. A host with fewer than three distinct pages has no template; its pages are all
-    slots. Copies of a page count once in a template and all get its text. A null url is a host of its own. No rows give no rows.
+    slots. Copies of a page count once in a template and in the number of blocks, and all get its text; pages of many copies are
+    extracted once and joined to their rows. A null url is a host of its own. No rows give no rows.
     """
     kept = without(df if keep is None else df.select(*keep), ["text"])
-    rows = df.select(host_of(df[url]).alias("__host"), F.struct(*[df[c] for c in kept]).alias("__row"), F.coalesce(df[html], F.lit("")).alias("__html"))
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_PAGES), F.ceil(F.sum(F.octet_length("__html")) / BLOCK_BYTES))
-    large = rows.groupBy("__host").agg(blocks.alias("blocks")).where("blocks > 1")
-    few = rows_up_to(large, LARGE_HOSTS)
-    if few is not None:  # counted just now, so the broadcast is bounded and pages are shuffled once only
-        large = F.broadcast(small_table(df.sparkSession, few, large.schema))
-    dealt = rows.join(large, "__host", "left").select(
-        "__host", F.coalesce(F.pmod(F.xxhash64("__html"), F.col("blocks")), F.lit(0)).cast("int").alias("__block"), "__row", "__html"
+    html_ = F.coalesce(df[html], F.lit(""))
+    rows = df.select(
+        host_of(df[url]).alias("__host"), F.unhex(F.sha2(html_, 256)).alias("__page"), F.struct(*[df[c] for c in kept]).alias("__row"), html_.alias("__html")
     )
-    schema = StructType([dealt.schema["__row"], *StructType.fromDDL("text string")])
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in grouped(batches, 2):
-            texts = extract_group(columns[3].to_pylist())
-            yield pa.RecordBatch.from_arrays([columns[2].cast(arrow.field(0).type), pa.array(texts, pa.string())], schema=arrow)
-
-    made = dealt.repartition("__host", "__block").sortWithinPartitions("__host", "__block").mapInArrow(run, schema)
-    return made.select("__row.*", "text")
+    # One count serves both lists: hosts of more than one block, by distinct pages, and pages of many copies.
+    pages = rows.groupBy("__host", "__page").agg(F.count("*").alias("n"), F.max(F.octet_length("__html")).cast("long").alias("bytes"))
+    # However large the pages are, blocks hold so many on average that a block of too few for a template is all but impossible.
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_PAGES), F.least(F.ceil(F.sum("bytes") / BLOCK_BYTES), F.floor(F.count("*") / (8 * LEAST_PAGES))))
+    large = pages.groupBy("__host").agg(blocks.alias("blocks"), F.sum("n").alias("n")).where("blocks > 1").select("__host", F.lit(None).cast("binary").alias("__page"), "blocks", "n")
+    copied = pages.where(F.col("n") > COPIES).orderBy(F.desc("n"), "__host", "__page").limit(COPIED_PAGES)
+    copied = copied.select("__host", "__page", F.ceil(F.col("n") / COPY_ROWS).alias("blocks"), "n")
+    found = large.limit(LARGE_HOSTS + 1).union(copied).collect()
+    hosts, copies = [r for r in found if r["__page"] is None], [r for r in found if r["__page"] is not None]
+    large = large.select("__host", "blocks")
+    if len(hosts) <= LARGE_HOSTS:  # counted just now, so the broadcast is bounded and pages are shuffled once only
+        large = F.broadcast(small_table(df.sparkSession, [(r["__host"], r["blocks"]) for r in hosts], large.schema))
+    own = StructType([rows.schema["__row"], *StructType.fromDDL("text string")])
+
+    def dealt(some: DataFrame) -> DataFrame:
+        number = F.conv(F.substring(F.hex("__page"), 1, 15), 16, 10).cast("long")
+        return some.join(large, "__host", "left").select(
+            "__host", F.coalesce(F.pmod(number, F.col("blocks")), F.lit(0)).cast("int").alias("__block"), "__page", "__row", "__html"
+        )
+
+    def extracted(placed: DataFrame, schema: StructType, beside: tuple[int, ...], of_rows: bool) -> DataFrame:
+        """Texts of the rows (or of the pages without a row), beside columns ``beside``."""
+        arrow = to_arrow_schema(schema)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for columns in grouped(_bare_copies(batches), 2):
+                page_of = np.cumsum(columns[4].is_valid().to_numpy(zero_copy_only=False)) - 1
+                texts = extract_group(columns[4].drop_null().to_pylist())
+                wanted = np.flatnonzero(columns[3].is_valid().to_numpy(zero_copy_only=False) == of_rows)
+                sizes = np.cumsum([len(texts[page_of[i]]) for i in wanted], dtype=np.int64) // OUT_BYTES
+                for part in np.split(wanted, np.flatnonzero(np.diff(sizes)) + 1):
+                    if len(part):
+                        kept_ = [columns[i].take(pa.array(part)).cast(arrow.field(n).type) for n, i in enumerate(beside)]
+                        yield pa.RecordBatch.from_arrays([*kept_, pa.array([texts[page_of[i]] for i in part], pa.string())], schema=arrow)
+
+        return placed.repartition("__host", "__block").sortWithinPartitions("__host", "__block", "__page").mapInArrow(run, schema)
+
+    if not copies:
+        return extracted(dealt(rows), own, (3,), True).select("__row.*", "text")
+    names = StructType(rows.schema.fields[:2])
+    keys = ["__host", "__page"]
+    copied = F.broadcast(small_table(df.sparkSession, [(r["__host"], r["__page"], r["blocks"]) for r in copies], StructType([*names, *StructType.fromDDL("parts long")])))
+    once = rows.join(copied, keys, "left_semi").groupBy(*keys).agg(F.first("__html").alias("__html"))
+    once = once.select(*keys, F.lit(None).cast(rows.schema["__row"].dataType).alias("__row"), "__html")
+    placed = dealt(rows.join(copied, keys, "left_anti").unionByName(once))
+    single = extracted(placed, own, (3,), True)
+    # The blocks that hold copied pages are read once more for the texts of these.
+    theirs = F.broadcast(dealt(copied.select(*keys, F.lit(None).alias("__row"), F.lit(None).alias("__html"))).select("__host", "__block").distinct())
+    texts = extracted(placed.join(theirs, ["__host", "__block"], "left_semi"), StructType([*names, *StructType.fromDDL("text string")]), (0, 2), False)
+    texts = texts.join(copied, keys).withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    spread = rows.drop("__html").join(copied, keys).withColumn("__part", F.pmod(F.xxhash64("__row"), F.col("parts"))).drop("parts")
+    many = spread.hint("merge").join(texts, [*keys, "__part"]).select("__row", "text")
+    return single.unionByName(many).select("__row.*", "text")

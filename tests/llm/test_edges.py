@@ -230,6 +230,20 @@ def test_html_short_slots_and_short_pages():
     assert html.extract_group([*short, long]) == [*(f"Head {i} short {i}" for i in range(5)), "Head " + " ".join(["long"] * 9000)]
 
 
+def test_html_copies_leave_the_texts_alone(spark, monkeypatch):
+    page = "<body><div class=top>Our site</div><div class=story><p>own text {}</p></div></body>"
+    rows = [(i, "http://h.example/", page.format(i % 5)) for i in range(300)] + [(1000 + i, "http://h.example/", page.format(0)) for i in range(300)]
+    rows += [(i, "http://h.example/", page.format(0)) for i in (7000, 7000)] + [(5000 + i, "http://few.example/", page.format(i)) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(html, "BLOCK_PAGES", 20)
+    monkeypatch.setattr(html, "COPY_ROWS", 50)
+    want = sorted((i, "own text " + re.search(r"text (\d+)", h)[1]) for i, _, h in rows)
+    for least, bound in ((64, 100), (2, 0), (1000, 100)):  # the most copied page, all copied pages, and none is joined to its rows
+        monkeypatch.setattr(html, "COPIES", least)
+        monkeypatch.setattr(html, "LARGE_HOSTS", bound)
+        assert sorted((r["page_id"], r["text"]) for r in html.extract(df).collect()) == want
+
+
 @pytest.mark.parametrize(("page", "text"), [
     ("<div class='layout no-sidebar'><article><p>own</p></article></div>", "own"),
     ("<div class='layout no-sidebar'><p>own</p></div>", "own"),
