@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -33,6 +34,23 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def narrowed(pattern: str, newer: str) -> regex.Pattern:
+    """The pattern with the characters ``newer`` taken out of its letters and numbers, for texts that hold some of them.
+
+    Unicode tables of two libraries may differ by age: a character that the older ones do not know is neither letter nor number there.
+    """
+    spans: list[list[int]] = []
+    for c in sorted(map(ord, newer)):
+        if spans and spans[-1][1] == c - 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    left_out = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans)
+    for name in (r"\p{L}", r"\p{N}") if newer else ():
+        pattern = pattern.replace(name, f"[{name}--[{left_out}]]")
+    return regex.compile(pattern, regex.V1)
+
+
 def _cuts(column: pa.Array, limit: int) -> list[int]:
     """Row numbers that cut a batch into pieces of about ``limit`` bytes; a longer row is a piece of its own."""
     n = len(column)

@@ -83,3 +83,54 @@ def chat(turns):
     """Digests of one conversation from its (role, text) turns."""
     loss = "".join(t or "" for r, t in turns if r == "assistant")
     return len(turns), sha("".join(f"{r or ''}\n{t or ''}\n" for r, t in turns)), len(loss), sha(loss)
+
+
+def one_edit(a, b):
+    """Whether exactly one inserted, deleted or replaced code point makes a into b."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(counts):
+    """{word: (form, root, n, n_near, form_n)} by comparing all pairs of words."""
+    near = {w: [v for v in counts if one_edit(w, v)] for w in counts}
+    best = {w: min(((-counts[v], v) for v in vs), default=None) for w, vs in near.items()}
+    form = {w: b[1] if b and -b[0] >= 2 * counts[w] else None for w, b in best.items()}
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {w: (form[w], root(w), n, len(near[w]), counts[form[w]] if form[w] else None) for w, n in counts.items()}
+
+
+def leaf(fields):
+    return sha("".join("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+
+def tree(hashes):
+    """The root of a list of hashes, and for each its proof: (left, right) of every level."""
+    proofs, at = [[] for _ in hashes], list(range(len(hashes)))
+    while len(hashes) > 1:
+        for proof, i in zip(proofs, at):
+            run = hashes[i // 3 * 3 : i // 3 * 3 + 3]
+            proof.append(("".join(run[: i % 3]), "".join(run[i % 3 + 1 :])))
+        hashes = [sha("".join(hashes[i : i + 3])) for i in range(0, len(hashes), 3)]
+        at = [i // 3 for i in at]
+    return hashes[0], proofs
+
+
+def manifest(rows):
+    """[(key, group, leaf, subroot, root, proof)] of rows (key, group, leaf), sorted."""
+    groups = defaultdict(list)
+    for key, group, h in rows:
+        groups[group].append((key is not None, key, h))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: tree([h for *_, h in sorted(groups[g])]) for g in names}
+    root, tops = tree([trees[g][0] for g in names])
+    return sorted(
+        ((key, g, h, trees[g][0], root, proof + top) for g, top in zip(names, tops) for (_, key, h), proof in zip(sorted(groups[g]), trees[g][1])), key=repr
+    )

@@ -125,6 +125,16 @@ def test_op10(spark, docs):
     assert got == brute.near_duplicates(docs)
 
 
+def test_op13(spark, docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(registered.COUNTED)
+    got = {r["doc_id"]: tuple(r)[1:] for r in rows(spark, "op13_token_counts")}
+    for i, text in docs:
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert got[i] == (len((text or "").encode()), n, n > 512)
+
+
 def test_pipeline(spark, con, docs):
     """Each stage against a plain version of its decision; the classifier's own scores are taken as given."""
     data = spark.read.parquet(f"{SF_DIR}/documents.parquet")
