@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
+from hashlib import blake2b
 
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import append_columns, words_of
+from tallyframe.llm.common import append_columns, without, words_of
+from tallyframe.session import stage
 
-#: Bytes of test texts that are searched in one pass over the documents; more are searched in more passes.
-TEST_BYTES = 32 << 20
+#: Bytes of test texts that are searched in one pass over the documents; more are searched in more passes. The arrays made of
+#: them take some 25 times as much in each Python worker while they are built, less than 250 MB.
+TEST_BYTES = 8 << 20
 
 
 class _Known(dict):
@@ -40,31 +43,45 @@ class TestSet:
     def __init__(self, items: list[tuple[str, str]], window: int):
         self.window = window
         self.known = _Known()
-        spots: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         names: dict[str, int] = {}
+        owner, sizes, parts = [], [], []
+        border = np.zeros(window, np.uint32)
         for name, text in items:
             words = words_of(text)
-            numbers = [self.known.setdefault(w, len(self.known) + 1) for w in words]
-            item = names.setdefault(name, len(names))
-            for i in range(max(len(numbers) - window, 0) + 1 if numbers else 0):
-                spots.setdefault(tuple(numbers[i : i + window]), []).append((item, i))
+            if words:
+                ids = (self.known.setdefault(w, len(self.known) + 1) for w in words)
+                parts += [np.fromiter(ids, np.uint32, len(words)), border]
+                owner.append(names.setdefault(name, len(names)))
+                sizes.append(len(words))
         self.names = list(names)
-        suffixes = list(spots)
-        self.lengths = np.array([len(s) for s in suffixes], np.int64)
-        self.low = self._packed([s + (0,) * (window - len(s)) for s in suffixes])
-        self.high = self._packed([s + (0xFFFFFFFF,) * (window - len(s)) for s in suffixes])
-        self.spot_ends = np.cumsum([0] + [len(v) for v in spots.values()])
-        flat = np.array([x for v in spots.values() for x in v], np.int64).reshape(-1, 2)
-        self.spot_item, self.spot_word = flat[:, 0], flat[:, 1]
+        numbers, sizes = np.concatenate([border, *parts]), np.array(sizes, np.int64)
+        # Every window of every item: the item's number here, its place in the item and in the numbers.
+        each = np.maximum(sizes - window, 0) + 1
+        item = np.repeat(np.arange(len(sizes)), each)
+        offset = np.arange(len(item)) - np.repeat(np.cumsum(each) - each, each)
+        at = (window + np.cumsum(sizes + window) - (sizes + window))[item] + offset
+        self.low, first, spot = np.unique(self._packed(numbers, at), return_index=True, return_inverse=True)
+        self.lengths = np.minimum(sizes, window)[item[first]]
+        # The last string that begins with a shorter suffix; a whole window is its own.
+        self.short = np.flatnonzero(self.lengths < window)
+        last = numbers[at[first[self.short], None] + np.arange(window)]
+        last[np.arange(window) >= self.lengths[self.short, None]] = 0xFFFFFFFF
+        self.high = self._strings(last)
+        order = np.argsort(spot, kind="stable")
+        self.spot_ends = np.concatenate([[0], np.cumsum(np.bincount(spot, minlength=len(self.low)))])
+        self.spot_item, self.spot_word = np.array(owner, np.int32)[item[order]], offset[order].astype(np.int32)
         base = len(self.known) + 2
         self.lead = int(min(self.lengths.min(initial=window), 3 if base < 2_000_000 else 2))
         self.powers = [base**i for i in range(self.lead)]
-        self.leads = np.unique([sum(s[i] * self.powers[i] for i in range(self.lead)) for s in suffixes]).astype(np.int64)
+        self.leads = np.unique(sum((numbers[at[first] + i].astype(np.int64) * p for i, p in enumerate(self.powers)), np.zeros(len(first), np.int64)))
 
-    def _packed(self, rows: list[tuple[int, ...]]) -> np.ndarray:
+    def _strings(self, rows: np.ndarray) -> np.ndarray:
         """Rows of word numbers as byte strings whose order is the order of the words."""
-        flat = np.array(rows, np.uint32).reshape(-1, self.window).astype(">u4")
-        return np.ascontiguousarray(flat).view(f"S{4 * self.window}").ravel()
+        return np.ascontiguousarray(rows, ">u4").view(f"S{4 * self.window}").ravel()
+
+    def _packed(self, numbers: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The window of words from each place, as a byte string."""
+        return self._strings(numbers.astype(">u4")[at[:, None] + np.arange(self.window)])
 
     def suffix_array(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sorted suffixes, cut to the window length, and their positions.
@@ -81,7 +98,7 @@ class TestSet:
         at = np.flatnonzero(fine)
         where = np.searchsorted(self.leads, code[at])
         at = at[self.leads[np.minimum(where, len(self.leads) - 1)] == code[at]]
-        suffixes = self._packed(numbers[at[:, None] + np.arange(self.window)])
+        suffixes = self._packed(numbers, at)
         order = np.argsort(suffixes, kind="stable")
         return suffixes[order], at[order]
 
@@ -99,8 +116,9 @@ class TestSet:
         numbers = np.concatenate(parts)
         starts = np.cumsum([0] + [c + self.window for c in counts])
         suffixes, at = self.suffix_array(numbers)
-        first = np.searchsorted(suffixes, self.low, "left")
-        found = np.searchsorted(suffixes, self.high, "right") - first
+        first, last = np.searchsorted(suffixes, self.low, "left"), np.searchsorted(suffixes, self.low, "right")
+        last[self.short] = np.searchsorted(suffixes, self.high, "right")
+        found = last - first
         which = np.repeat(np.arange(len(found)), found)
         if not len(which):
             return counts, hits, matches
@@ -128,25 +146,25 @@ class TestSet:
         return counts, hits, matches
 
 
-@lru_cache(maxsize=2)
-def _built(key: int, window: int) -> TestSet:
-    return TestSet(_SENT[key].value, window)
+_SENT: dict[bytes, Broadcast] = {}
 
 
-_SENT: dict[int, Broadcast] = {}
+@lru_cache(maxsize=1)
+def _built(digest: bytes, window: int) -> TestSet:
+    return TestSet(_SENT[digest].value, window)
 
 
-def _test_set(sent: Broadcast, key: int, window: int) -> TestSet:
-    """The test set of a broadcast, built once in each Python worker."""
+def _test_set(sent: Broadcast, digest: bytes, window: int) -> TestSet:
+    """The test set of a broadcast, built once in each Python worker and known by the digest of its items."""
     _SENT.clear()
-    _SENT[key] = sent
-    return _built(key, window)
+    _SENT[digest] = sent
+    return _built(digest, window)
 
 
-def _merged(old: list[dict] | None, new: list[dict]) -> list[dict]:
-    """Union of two lists of stretches."""
+def _merged(stretches: list[dict]) -> list[dict]:
+    """Union of stretches that may overlap."""
     out: list[dict] = []
-    for s in sorted([*(old or []), *new], key=lambda s: s["word"]):
+    for s in sorted(stretches, key=lambda s: s["word"]):
         if out and s["word"] <= out[-1]["word"] + out[-1]["words"]:
             out[-1]["words"] = max(out[-1]["words"], s["word"] + s["words"] - out[-1]["word"])
         else:
@@ -172,30 +190,34 @@ def find_matches(
     null item_id reads "null"; repeated items count under their id once per place. Repeated documents are searched each.
     Columns named like the new ones are replaced. Rows stay where they are: every Arrow batch is a shard.
 
-    The items, a bounded part at a time (``test_bytes`` of text), are broadcast; more items need more passes.
+    The items are broadcast in parts of ``test_bytes`` of text, each searched by a pass of its own. With more than one part the
+    documents are written once with a row number, each pass writes what it found, and the finds are put together by that
+    number, so that no task ever holds more than one part.
     """
     spark = df.sparkSession
     items = tests.select(F.coalesce(tests[item_id].cast("string"), F.lit("null")).alias("i"), tests[item_text].alias("t")).where("t is not null").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     passes = max(1, -(-total // test_bytes))
-    names = ["n_words", "hits", "matches"]
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == k) if passes > 1 else items
-        sent = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
-        key = id(sent)
-
-        def first(texts, sent=sent, key=key):
-            return _test_set(sent, key, window).search(texts)
 
-        def more(hits, matches, texts, sent=sent, key=key):
-            counts, new_hits, new_matches = _test_set(sent, key, window).search(texts)
-            return counts, [_merged(a, b) for a, b in zip(hits, new_hits)], [a + b for a, b in zip(matches, new_matches)]
-
-        if k == 0:
-            df = append_columns(df, [text], FOUND, first, keep if passes == 1 else None)
-        else:
-            df = append_columns(df, ["hits", "matches", text], FOUND, more)
-    return df if passes == 1 or keep is None else df.select(*[c for c in keep if c.lower() not in names], *names)
+    def searched(docs: DataFrame, part: DataFrame, column: str, kept: list[str] | None) -> DataFrame:
+        rows = sorted(tuple(r) for r in part.collect())
+        digest = blake2b(repr(rows).encode()).digest()
+        sent = spark.sparkContext.broadcast(rows)
+        return append_columns(docs, [column], FOUND, lambda texts: _test_set(sent, digest, window).search(texts), kept)
+
+    if passes == 1:
+        return searched(df, items, text, keep)
+    kept = without(df if keep is None else df.select(*keep), ["n_words", "hits", "matches"])
+    docs = df.select(F.struct(*[df[c] for c in kept]).alias("row"), df[text].alias("text"), F.monotonically_increasing_id().alias("number"))
+    docs = stage(docs, "decontam-documents")
+    parts = [items.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == k) for k in range(passes)]
+    found = [searched(docs.select("number", "text"), part, "text", ["number"]) for part in parts]
+    found = [stage(f if k == 0 else f.where(F.size("hits") > 0), "decontam-found") for k, f in enumerate(found)]
+    whole = reduce(DataFrame.unionByName, found).groupBy("number").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("matches")).alias("matches")
+    )
+    whole = append_columns(whole, ["hits"], FOUND.split(", ")[1], lambda hits: [[_merged(h) for h in hits]])
+    return docs.select("row", "number").join(whole, "number").select("row.*", "n_words", "hits", "matches")
 
 
 def hit_words(hits: Column) -> Column:
