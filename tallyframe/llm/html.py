@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html as entities
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +31,10 @@ COPY_ROWS, OUT_BYTES = 1_000, 4 << 20
 LEAST_PAGES, LEAST_TOKENS = 3, 3
 
 # Element names of the HTML standard and names in common use for parts that are not the main text.
-RAW = "script style noscript template textarea title svg math iframe object select option button canvas".split()
+RAW = "script style noscript template textarea title iframe".split()
+RAW_IF_CLOSED = "svg object select button canvas".split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
-INLINE = "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var label".split()
+INLINE = "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var label math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover".split()
 OTHER_PARTS = "nav footer aside form dialog menu head".split()
 OTHER_NAMES = (
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
@@ -42,14 +43,20 @@ OTHER_NAMES = (
 ).split()
 OTHER_ROLES = "navigation banner contentinfo complementary search alert dialog menu menubar".split()
 MAIN = "article main".split()
+#: First words of names such as ``comment-list`` that name another part inside articles too.
+PREFIXES = (
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr breadcrumb breadcrumbs comment comments "
+    "respond disqus replies related recommended share sharing social newsletter subscribe subscription pagination pager"
+).split()
 #: Beginnings of names that tell a state of the page and name no part of it.
 FLAGS = ("no-", "not-", "without-", "has-", "with-", "is-")
 
 _TOKEN = regex.compile(
-    r"(?si)<!--.*?(?:-->|$)|<(?P<raw>script|style|noscript|template|textarea|title|svg|math|iframe|object|select|button|canvas)\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
+    rf"(?si)<!--.*?(?:-->|$)|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|$)"
+    rf"|<(?P<closed>{'|'.join(RAW_IF_CLOSED)})(?=[\s/>])[^>]*(?<!/)>(?:(?!<(?P=closed)[\s/>]).)*?</(?P=closed)\s*>"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>|</[^>]*>|[^<]+|<"
 )
-_ATTR = regex.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTR = regex.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = regex.compile(r"[a-z]+")
 _P_ENDS = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 _SAME_ENDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
@@ -57,44 +64,118 @@ _SAME_ENDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",)
 
 @dataclass
 class Piece:
-    """A block of text: its place among the page's tokens, its container, and what surrounds it."""
+    """A block of text: its place among the page's tokens and what surrounds it."""
 
     at: int
-    role: str
     text: str
     other: bool  # inside a part that is not main text
     main: bool  # inside an article or main element
 
 
-def _names(attrs: str) -> tuple[str, bool, bool]:
-    """A short form of class and id, and whether a word of them, and whether a whole name, stands for a part that is not main text."""
-    short, loose, whole = [], False, False
+class Paths:
+    """Numbers of element paths: equal for equal names and attributes below equal paths, on all pages that share the object."""
+
+    def __init__(self):
+        self.known: dict[tuple[int, str], int] = {}
+
+    def under(self, path: int, element: str) -> int:
+        return self.known.setdefault((path, element), len(self.known) + 1)
+
+
+def _names(attrs: str) -> tuple[str, bool, bool, bool]:
+    """A short form of class and id, and whether a word of them, the first word of a name, or a whole name stands for a part that is not
+    main text."""
+    short, loose, first, whole = [], False, False, False
     for kind, *values in _ATTR.findall(attrs):
+        kind = kind.lower()
+        if kind not in ("class", "id", "role"):
+            continue
         value = next((v for v in values if v), "").lower()
         short.append(kind[0] + "=" + "-".join(_WORD.findall(value)))
-        listed = OTHER_ROLES if kind.lower() == "role" else OTHER_NAMES
-        names = value.split()
-        whole = whole or any(n in listed for n in names)
-        loose = loose or any(w in listed for n in names if not n.startswith(FLAGS) for w in _WORD.findall(n))
-    return "".join(f"[{s}]" for s in sorted(short)), loose, whole
-
-
-def parse(page: str | None) -> tuple[list[str], list[Piece]]:
-    """Tokens of the page (each block-level tag in its path, so that a tag has a role) and its blocks of text.
+        listed = OTHER_ROLES if kind == "role" else OTHER_NAMES
+        for name in value.split():
+            words = _WORD.findall(name)
+            whole = whole or name in listed
+            if kind != "role" and not name.startswith(FLAGS):
+                loose = loose or any(w in listed for w in words)
+                first = first or (len(words) > 1 and words[0] in PREFIXES and name.startswith(words[0]))
+    return "".join(f"[{s}]" for s in sorted(short)), loose, first, whole
+
+
+class _Named:
+    """Elements whose names stand for other parts: each with the next such element around it, and how sure its name is."""
+
+    WORD, SURE = 0, 1
+
+    def __init__(self):
+        self.around: list[int] = []
+        self.sure: list[int] = []
+
+    def add(self, around: int, sure: int) -> int:
+        self.around.append(around)
+        self.sure.append(sure)
+        return len(self.around) - 1
+
+    def up(self, elements: Iterable[int]) -> set[int]:
+        """The elements and all around them; -1 is none."""
+        found: set[int] = set()
+        for e in elements:
+            while e >= 0 and e not in found:
+                found.add(e)
+                e = self.around[e]
+        return found
+
+    def free(self, spared: set[int]) -> list[bool]:
+        """For each element, whether it and all around it are spared; one more for none at all."""
+        free = [False] * len(self.around) + [True]
+        for e, a in enumerate(self.around):
+            free[e] = e in spared and free[a]
+        return free
+
+
+def _spared(named: _Named, pieces: list[Piece], inner: list[int], outer: list[int]) -> set[int]:
+    """Named elements that are no other parts after all, as else the page would lose its text.
+
+    ``inner`` and ``outer``: the innermost named element around each piece, and the one around its innermost article. Where articles hold text, elements
+    around them are other parts only for a sure name and if text is left elsewhere in articles. Where none does, names of which only some
+    word is listed give way if they would take more text than they leave, and all names if nothing is left and the page shows no article.
+    """
+    own = [(p, i, o) for p, i, o in zip(pieces, inner, outer) if p.main and not p.other]
+    if own:
+        spared = {e for e in named.up(o for _, _, o in own) if named.sure[e] == _Named.WORD}
+        for more in ([o for _, _, o in own], [i for _, i, _ in own]):
+            free = named.free(spared)
+            if not any(free[i] for _, i, _ in own):
+                spared |= named.up(more)
+        return spared
+    rest = [(p, i) for p, i in zip(pieces, inner) if not p.other]
+    free, sure = named.free(set()), named.free({e for e, s in enumerate(named.sure) if s == _Named.WORD})
+    left, loose = sum(len(p.text) for p, i in rest if free[i]), sum(len(p.text) for p, i in rest if sure[i] and not free[i])
+    if loose > left:
+        return {e for e, s in enumerate(named.sure) if s == _Named.WORD}
+    return set() if left or any(p.main for p in pieces) else named.up(i for _, i in rest)
+
+
+def parse(page: str | None, paths: Paths | None = None) -> tuple[list[int], list[Piece]]:
+    """Tokens of the page (each block-level tag as the number of its path, so that a tag has a role; its end is negative) and its blocks of text.
 
     Inline tags are no tokens and join the text around them; ``br`` and block-level tags end a block. Ends left out by the author
-    are filled in as browsers do for paragraphs, list items and table cells; unknown ends are skipped.
+    are filled in as browsers do for paragraphs, list items and table cells; unknown ends are skipped. Memory grows with the page, however
+    deep its elements lie in each other.
 
-    An element outside articles is another part if a word of its class, id or role is on the list; inside them the whole name must be.
-    Article and main elements themselves are never. Elements around them are only for a whole name, and only if
-    articles elsewhere on the page hold text. Names never leave a page without the text of its articles.
+    An element outside articles is another part if a word of its class, id or role is on the list; inside them the whole name must be, or the
+    first word of a name such as ``comment-list``. Article and main elements themselves are never. Names never leave a page without text, see
+    :func:`_spared`.
     """
-    tokens: list[str] = []
+    paths = paths or Paths()
+    tokens: list[int] = []
     pieces: list[Piece] = []
-    # name, path, in another part by its tag, elements with listed names around, those of them around the innermost article, main
-    stack: list[tuple[str, str, bool, tuple[int, ...], tuple[int, ...], bool]] = [("", "", False, (), (), False)]
-    around: list[tuple[tuple[int, ...], tuple[int, ...]]] = []  # the two lists of each piece
-    whole: list[bool] = []  # of each element with a listed name: whether the whole name is listed
+    inner: list[int] = []
+    outer: list[int] = []
+    named = _Named()
+    # name, path, in another part by its tag, innermost named element, the one around the innermost article, in main
+    stack: list[tuple[str, int, bool, int, int, bool]] = [("", 0, False, -1, -1, False)]
+    open_: Counter[str] = Counter()
     held: list[str] = []
 
     def flush():
@@ -102,12 +183,15 @@ def parse(page: str | None) -> tuple[list[str], list[Piece]]:
             text = " ".join(entities.unescape("".join(held)).split())
             held.clear()
             if text:
-                _, path, other, named, outer, main = stack[-1]
-                around.append((named, outer))
-                pieces.append(Piece(len(tokens), path, text, other, main))
+                _, _, other, element, beyond, main = stack[-1]
+                inner.append(element)
+                outer.append(beyond)
+                pieces.append(Piece(len(tokens), text, other, main))
 
     def pop():
-        tokens.append("/" + stack.pop()[1])
+        name, path, *_ = stack.pop()
+        open_[name] -= 1
+        tokens.append(-path)
 
     for m in _TOKEN.finditer(page or ""):
         name = m["name"]
@@ -123,7 +207,7 @@ def parse(page: str | None) -> tuple[list[str], list[Piece]]:
         if name in VOID:
             continue
         if m["close"]:
-            if any(s[0] == name for s in stack):
+            if open_[name]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -132,47 +216,48 @@ def parse(page: str | None) -> tuple[list[str], list[Piece]]:
             while stack[-1][0] == "p":
                 pop()
         elif name in _SAME_ENDS:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in _SAME_ENDS[name] or stack[k][0] in MAIN:
-                    break
-                if stack[k][0] == name or (name in ("dt", "dd") and stack[k][0] in ("dt", "dd")) or (name in ("td", "th") and stack[k][0] in ("td", "th")):
-                    while len(stack) > k:
-                        pop()
-                    break
+            alike = ("dt", "dd") if name in ("dt", "dd") else ("td", "th") if name in ("td", "th") else (name,)
+            if any(open_[a] for a in alike):
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k][0] in _SAME_ENDS[name] or stack[k][0] in MAIN:
+                        break
+                    if stack[k][0] in alike:
+                        while len(stack) > k:
+                            pop()
+                        break
         elif name == "body":
-            while any(s[0] == "head" for s in stack):
+            while open_["head"]:
                 pop()
-        _, path, other, named, outer, main = stack[-1]
-        short, by_word, by_name = _names(m["attrs"])
+        _, path, other, element, beyond, main = stack[-1]
+        short, by_word, by_first, by_name = _names(m["attrs"])
         if name in MAIN:
-            outer = named
-        elif name not in ("html", "body") and (by_name and name != "header" if main else by_word or by_name):
-            whole.append(by_name)
-            named = (*named, len(whole) - 1)
+            beyond = element
+        elif name not in ("html", "body"):
+            sure = by_name or by_first
+            if (sure and not (by_name and name == "header")) if main else (by_word or sure):
+                element = named.add(element, _Named.SURE if sure else _Named.WORD)
         part = name in OTHER_PARTS or (name == "header" and not main)
-        stack.append((name, f"{path}/{name}{short}", other or part, named, outer, main or name in MAIN))
-        tokens.append(stack[-1][1])
+        path = paths.under(path, name + short)
+        stack.append((name, path, other or part, element, beyond, main or name in MAIN))
+        open_[name] += 1
+        tokens.append(path)
     flush()
-    own = [(named, outer) for p, (named, outer) in zip(pieces, around) if p.main and not p.other]
-    spared = {e for _, outer in own for e in outer if not whole[e]}
-    for more in ((e for _, outer in own for e in outer), (e for named, _ in own for e in named)):
-        if all(not spared.issuperset(named) for named, _ in own):
-            spared.update(more)
-    for p, (named, _) in zip(pieces, around):
-        p.other = p.other or not spared.issuperset(named)
+    free = named.free(_spared(named, pieces, inner, outer))
+    for p, element in zip(pieces, inner):
+        p.other = p.other or not free[element]
     return tokens, pieces
 
 
-def _classes(pages: list[list[str]]) -> list[list[str]]:
+def _classes(pages: list[list]) -> list[list]:
     """Valid equivalence classes: tokens with one occurrence vector over the pages, on most pages, in one order.
 
     A class is valid if on every page its tokens come as repetitions of the same sequence.
     """
-    vectors: dict[str, np.ndarray] = {}
+    vectors: dict = {}
     for i, tokens in enumerate(pages):
         for token, n in Counter(tokens).items():
             vectors.setdefault(token, np.zeros(len(pages), np.int32))[i] = n
-    alike: dict[bytes, list[str]] = {}
+    alike: dict[bytes, list] = {}
     for token, vector in vectors.items():
         if 2 * np.count_nonzero(vector) > len(pages):
             alike.setdefault(vector.tobytes(), []).append(token)
@@ -191,12 +276,12 @@ def _classes(pages: list[list[str]]) -> list[list[str]]:
     return valid
 
 
-def _nested(pages: list[list[str]], classes: list[list[str]]) -> list[list[str]]:
+def _nested(pages: list[list], classes: list[list]) -> list[list]:
     """The template: the largest class that occurs once on its pages, and the classes that lie in one of its slots each.
 
     A class that spreads over several slots of those already taken is left out.
     """
-    taken: list[list[str]] = []
+    taken: list[list] = []
     for members in sorted(classes, key=lambda c: (-sum(c[0] in set(p) for p in pages), -len(c))):
         if taken:
             inside, outer = set(members), set(taken[0])
@@ -216,21 +301,22 @@ def _nested(pages: list[list[str]], classes: list[list[str]]) -> list[list[str]]
 
 def extract_group(htmls: list[str | None]) -> list[str]:
     """Main texts of pages of one host."""
-    parsed = {h: parse(h) for h in dict.fromkeys(htmls)}
+    paths = Paths()
+    parsed = {h: parse(h, paths) for h in dict.fromkeys(htmls)}
     distinct = list(parsed.values())
-    template: list[list[str]] = []
+    template: list[list[int]] = []
     if len(distinct) >= LEAST_PAGES:
         tokens = [t for t, _ in distinct]
         template = _nested(tokens, _classes(tokens))
     fixed = {t for members in template for t in members}
-    seen: Counter[tuple[str, str]] = Counter()
+    seen: Counter[tuple[int, str]] = Counter()
     pages_with = Counter(t for tokens, _ in distinct for t in fixed.intersection(tokens))
-    pages_with[""] = len(distinct)
+    pages_with[0] = len(distinct)  # before the first token of the template
 
-    def slots(page: tuple[list[str], list[Piece]]) -> list[str]:
+    def slots(page: tuple[list[int], list[Piece]]) -> list[int]:
         """The slot of each block of text: the last template token before it."""
         tokens, pieces = page
-        out, k, last = [], 0, ""
+        out, k, last = [], 0, 0
         for p in pieces:
             while k < p.at:
                 last = tokens[k] if tokens[k] in fixed else last
@@ -242,7 +328,7 @@ def extract_group(htmls: list[str | None]) -> list[str]:
     for page in placed:
         seen.update({(s, p.text) for s, p in page})
 
-    def constant(s: str, text: str) -> bool:
+    def constant(s: int, text: str) -> bool:
         """Whether the text is part of the template: it stands in this slot on every page that has the slot."""
         return pages_with[s] >= LEAST_PAGES and seen[s, text] == pages_with[s]
 
@@ -258,7 +344,7 @@ def extract_group(htmls: list[str | None]) -> list[str]:
     agreeing = sum(2 * sum(len(p.text) for _, p in page if p.main) >= sum(len(p.text) for _, p in page) for page in hinted)
     follow = len(distinct) < LEAST_PAGES or 2 * agreeing >= len(hinted)
 
-    def text_of(page: list[tuple[str, Piece]]) -> str:
+    def text_of(page: list[tuple[int, Piece]]) -> str:
         if follow and any(p.main for _, p in page):
             return " ".join(p.text for _, p in page if p.main)
         return " ".join(p.text for _, p in page)
