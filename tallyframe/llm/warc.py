@@ -20,17 +20,18 @@ def canonical_url(url: Column) -> Column:
     bare = F.regexp_replace(F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), "#.*$", ""), r"^[A-Za-z][A-Za-z0-9+.\-]*://", "")
     before = F.regexp_extract(bare, r"^([^?]*)", 1)
     host = F.regexp_replace(F.lower(F.regexp_extract(before, "^([^/]*)", 1)), "^.*@", "")
-    host = F.regexp_replace(F.regexp_replace(host, ":(80|443)$", ""), r"^(www|m)\.", "")
+    port = F.when(F.lower(F.trim(F.coalesce(url, F.lit("")))).startswith("https:"), F.regexp_replace(host, ":443$", "")).otherwise(F.regexp_replace(host, ":80$", ""))
+    host = F.regexp_replace(port, r"^(www|m)\.", "")
     path = F.regexp_replace(F.regexp_replace(before, "^[^/]*", ""), "/+$", "")
     asked = F.regexp_extract(bare, r"\?(.*)$", 1)
     kept = F.array_sort(F.filter(F.split(asked, "&"), lambda p: (p != "") & ~p.rlike(rf"^({TRACKING})(=|$)")))
     return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
-def resolve_revisits(records: DataFrame, rows_in_bucket: int = 100_000, permitted: tuple[str, ...] = PERMITTED) -> DataFrame:
+def resolve_revisits(records: DataFrame, rows_in_bucket: int = 100_000, permitted: tuple[str, ...] = PERMITTED, answers: int = 1_000) -> DataFrame:
     """Resolve every revisit among ``records`` (record_id, url, at, kind, headers map<string,string>, payload).
 
-    ``kind`` is ``response`` for a full response and ``revisit`` for a not-modified answer. Returned for each revisit:
+    ``kind`` is ``response`` for a full response and ``revisit`` for a not-modified answer. ``at`` is a number or a timestamp, of any fineness. Returned for each revisit:
     ``record_id, url_key, at, refers_to, outcome, headers, payload``. ``refers_to`` is the latest full response of the same canonical
     URL at an earlier time (ties: the larger record_id). ``outcome``: ``resolved`` when the revisit has an etag or, lacking that,
     a last-modified header that equals the response's; ``mismatch`` when it differs, ``unchecked`` when neither header is on
@@ -43,16 +44,17 @@ def resolve_revisits(records: DataFrame, rows_in_bucket: int = 100_000, permitte
 
     The as-of join is split by time: each URL's records are ordered inside time buckets of about ``rows_in_bucket`` rows of the
     whole table, and each bucket takes over the last response before it from one row per URL and bucket, so a URL with a third
-    of all rows is spread over many tasks. Payloads are joined by record at the end and take no part in any sort.
+    of all rows is spread over many tasks. Payloads are joined at the end by URL, time and record, and take no part in any sort; a
+    payload that more than ``answers`` revisits refer to is copied for each so many of them, so that a hot response is spread too.
     """
     lowered = F.map_from_entries(F.array_distinct(F.transform(F.map_entries(F.coalesce("headers", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))))
     slim = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), "at", "kind", lowered.alias("headers"))
     low, high, count = slim.agg(F.min("at").cast("double"), F.max("at").cast("double"), F.count("*")).first()
-    width = max(1.0, ((high or 0) - (low or 0) + 1) / max(1, count // rows_in_bucket))
+    width = max(((high or 0) - (low or 0)) / max(1, count // rows_in_bucket), 1e-9)
     slim = slim.withColumn("bucket", F.coalesce(F.floor((F.col("at").cast("double") - F.lit(low or 0)) / F.lit(width)), F.lit(-1)))
     known = F.when((F.col("kind") == "response") & F.col("at").isNotNull(), F.struct("at", "record_id"))
-    # Inside a bucket: the last response of a strictly earlier time.
-    earlier = Window.partitionBy("url_key", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    # Inside a bucket: the last response of a strictly earlier time, as at equal times revisits come before responses.
+    earlier = Window.partitionBy("url_key", "bucket").orderBy("at", F.col("kind") == "response").rowsBetween(Window.unboundedPreceding, -1)
     inside = slim.withColumn("near", F.max(known_key(known)).over(earlier))
     last = slim.groupBy("url_key", "bucket").agg(F.max(known_key(known)).alias("newest"))
     before = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -60,8 +62,15 @@ def resolve_revisits(records: DataFrame, rows_in_bucket: int = 100_000, permitte
     asked = inside.where((F.col("kind") == "revisit")).join(carried, ["url_key", "bucket"]).select(
         "record_id", "url_key", "at", F.col("headers").alias("own"), F.when(F.col("at").isNotNull(), F.coalesce("near", "far")).alias("hit")
     ).withColumn("refers_to", F.col("hit.record_id"))
-    sources = records.where("kind = 'response'").select(F.col("record_id").alias("refers_to"), F.col("at").alias("__at"), "payload", lowered.alias("theirs")).dropDuplicates(["refers_to", "__at"])
-    joined = asked.join(sources, (sources["refers_to"] == asked["refers_to"]) & (sources["__at"] == asked["hit.at"]), "left").drop(sources["refers_to"])
+    hit = ["url_key", "refers_to", "then"]
+    asked = asked.withColumn("then", F.col("hit.at")).drop("hit")
+    parts = asked.where("refers_to is not null").groupBy(*hit).agg(F.ceil(F.count("*") / answers).alias("parts")).where("parts > 1")
+    asked = asked.join(parts, hit, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("record_id", "at"), F.col("parts")), F.lit(0))).drop("parts")
+    sources = records.where("kind = 'response'").select(
+        canonical_url(F.col("url")).alias("url_key"), F.col("record_id").alias("refers_to"), F.col("at").alias("then"), "payload", lowered.alias("theirs")
+    ).dropDuplicates(hit)
+    sources = sources.join(parts, hit, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    joined = asked.join(sources, [*hit, "part"], "left")
     same = lambda name: (F.col("own")[name] == F.col("theirs")[name])
     outcome = (
         F.when(F.col("refers_to").isNull(), "missing")
