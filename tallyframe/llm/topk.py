@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows of an index block, queries of a query block, and queries scored at a time inside a task.
-INDEX_ROWS, QUERY_ROWS, AT_A_TIME = 8192, 4096, 128
+#: Rows of an index block and queries of a query block.
+INDEX_ROWS, QUERY_ROWS = 8192, 4096
 #: A query's list of possible members is rescored as soon as it has this many times k rows at most.
 ENOUGH = 8
 
@@ -29,72 +29,67 @@ class ImpactIndex:
     """Postings (row, dimension, value) of a block, in segments of equal quantised impact.
 
     The impact of a posting is the magnitude of its value, quantised to its number of bits; a segment holds the postings
-    of one impact. ``rest[s]`` is, for each row, the length of the part of its vector that lies in the segments after s:
-    no later posting can change its score by more than that times the query's length.
+    of one impact, by row, as sparse columns. ``rest[s]`` is, for each row, the length of the part of its vector that lies in the segments
+    after s: no later posting can change its score by more than that times the query's length. ``times`` says how often each row
+    stands, ``read`` counts the postings that searches have read.
     """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        magnitude = np.abs(vectors)
-        bits = np.zeros_like(vectors, dtype=np.int8)
-        for b in range(1, 64):
-            if not (above := magnitude >= 1 << (b - 1)).any():
-                break
-            bits[above] = b
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, times: np.ndarray | None = None):
+        self.ids, self.vectors, self.read = ids, vectors, 0
+        self.times = np.ones(len(ids), np.int64) if times is None else times
+        row, dim = np.nonzero(vectors)
+        value = vectors[row, dim].astype(np.float64)
+        impact = np.frexp(np.abs(value))[1]
         self.segments, self.rest = [], []
-        left = (vectors.astype(np.float64) ** 2).sum(1)
-        for b in range(int(bits.max(initial=0)), 0, -1):
-            segment = np.where(bits == b, vectors, 0).astype(np.float64)
-            left = np.maximum(left - (segment**2).sum(1), 0)
-            self.segments.append(np.ascontiguousarray(segment.T))
-            self.rest.append(np.sqrt(left) * (1 + 1e-9))
+        left = np.bincount(row, value**2, len(ids))
+        for level in np.unique(impact)[::-1]:
+            at = np.flatnonzero(impact == level)
+            left = np.maximum(left - np.bincount(row[at], value[at] ** 2, len(ids)), 0)
+            self.segments.append((np.searchsorted(row[at], np.arange(len(ids) + 1)), dim[at], value[at]))
+            self.rest.append(np.sqrt(left) * (1 + 1e-9) + 1e-9 * np.sqrt((vectors.astype(np.float64) ** 2).sum(1)))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each query: its id, and ids and exact scores of every row of this block that may be among its k best."""
-        n, dims = len(self.ids), max(self.vectors.shape[1], queries.shape[1])
+        """For each query: its id, and ids and exact scores of the best k rows of this block."""
+        dims = max(self.vectors.shape[1], queries.shape[1])
         vectors = np.pad(self.vectors, ((0, 0), (0, dims - self.vectors.shape[1])))
         queries = np.pad(queries, ((0, 0), (0, dims - queries.shape[1])))
         reach = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * dims
-        if reach >= 2**52:  # floating point would round: score in Python's whole numbers
-            for q, vector in zip(query_ids, queries):
-                scores = [sum(int(a) * int(b) for a, b in zip(vector, row)) for row in vectors]
+        for query_id, query in zip(query_ids, queries):
+            others = np.flatnonzero(self.ids != query_id)
+            if reach >= 2**52:  # floating point would round: score in Python's whole numbers
+                scores = [sum(int(a) * int(b) for a, b in zip(query, row)) for row in vectors[others]]
                 if max(map(abs, scores), default=0) >= 2**63:
                     raise OverflowError("a score does not fit into a long")
-                yield q, *self._best(q, np.arange(n), np.array(scores, np.int64), k)
-            return
-        lengths = np.sqrt((queries.astype(np.float64) ** 2).sum(1)) * (1 + 1e-9)
-        for a in range(0, len(queries), AT_A_TIME):
-            rows = np.arange(a, min(a + AT_A_TIME, len(queries)))
-            part = queries[rows].astype(np.float64)
-            scores = np.zeros((len(rows), n))
-            open_ = np.arange(len(rows))
-            itself = query_ids[rows][:, None] == self.ids[None, :]
-            members: dict[int, np.ndarray] = {}
-            for segment, rest in zip(self.segments, self.rest):
-                width = segment.shape[0]
-                scores[open_] += part[open_, :width] @ segment
-                slack = lengths[rows[open_], None] * rest[None, :] + 1e-6
-                low = np.where(itself[open_], -np.inf, scores[open_] - slack)
-                bar = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), -np.inf)
-                possible = (scores[open_] + slack >= bar[:, None]) & ~itself[open_]
-                few = possible.sum(1) <= ENOUGH * k
-                for i in np.flatnonzero(few):
-                    members[int(open_[i])] = np.flatnonzero(possible[i])
-                open_ = open_[~few]
-                if not len(open_):
-                    break
-            for i in range(len(rows)):  # what is still open here has been scored in full
-                at = members.get(i)
-                at = np.flatnonzero(~itself[i]) if at is None else at
-                exact = vectors[at] @ queries[rows[i]] if i in members else scores[i, at].astype(np.int64)
-                yield query_ids[rows[i]], *self._best(query_ids[rows[i]], at, exact, k)
-
-    def _best(self, query: int, at: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.ids[at]
-        keep = ids != query
-        ids, scores = ids[keep], scores[keep]
-        order = np.lexsort((ids, -scores))[:k]
-        return ids[order], scores[order]
+                yield query_id, *self._best(others, np.array(scores, np.int64), k)
+            else:
+                members = self._members(others, query.astype(np.float64), k)
+                yield query_id, *self._best(members, vectors[members] @ query, k)
+
+    def _members(self, rows: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
+        """Those of ``rows`` that may be among the query's k best.
+
+        Segment after segment is added to the scores. A row whose score can no longer reach the k-th best lower bound is
+        closed, and its postings in later segments are not read; when few are open, the rest is left to exact scoring.
+        """
+        length, scores = float(np.sqrt((query**2).sum())) * (1 + 1e-9), np.zeros(len(rows))
+        for (starts, dims, values), rest in zip(self.segments, self.rest):
+            if len(rows) <= ENOUGH * k:
+                break
+            size = starts[rows + 1] - starts[rows]
+            ends = np.cumsum(size)
+            at = np.arange(ends[-1]) + np.repeat(starts[rows] - (ends - size), size)
+            self.read += len(at)
+            scores += np.bincount(np.repeat(np.arange(len(rows)), size), query[dims[at]] * values[at], len(rows))
+            slack = length * rest[rows] + 1e-6
+            bar = np.partition(scores - slack, len(rows) - k)[len(rows) - k]
+            open_ = scores + slack >= bar
+            rows, scores = rows[open_], scores[open_]
+        return rows
+
+    def _best(self, at: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((self.ids[at], -scores))[:k]
+        order = np.repeat(order, np.minimum(self.times[at[order]], k))[:k]
+        return self.ids[at[order]], scores[order]
 
 
 def top_k(
@@ -105,13 +100,13 @@ def top_k(
     Components x become floor(scale * x); scores are exact whole numbers; ties go to the smaller id; a query with fewer
     than k other rows gets all. Vectors that are null or hold a null, NaN or infinite component, and rows with a
     null id, take no part. Vectors of unequal length are filled with zeros; empty ones score 0. Rows that repeat an id
-    are separate candidates, and an id is a query once; its own rows are not its candidates. No rows give no rows. Other
+    are separate candidates, and an id is a query once, with its smallest vector; its own rows are not its candidates. No rows give no rows. Other
     columns are dropped. A score beyond a long raises an error.
 
-    Index rows and queries are dealt into blocks of bounded size by hashes of their ids and every block pair is searched in
-    one task, as the query set is a fixed share of the rows. Inside a block, segments are added in order of
-    falling impact until the Cauchy-Schwarz bound on what is left proves that only a few rows can be among a query's k
-    best; those are rescored from their whole vectors. At most k rows of a query leave a block.
+    Index rows are dealt into blocks of bounded size by a hash of id and vector, queries by a hash of their ids, and every block pair is
+    searched in one task, as the query set is a fixed share of the rows. Inside a block, segments are added in order of
+    falling impact; rows that the Cauchy-Schwarz bound on what is left proves not to be among a query's k best drop out, and when
+    few are left they are rescored from their whole vectors. At most k rows of a query leave a block.
     """
     fine = F.col("__v").isNotNull() & F.forall("__v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = (
@@ -121,11 +116,12 @@ def top_k(
     )
     counts = rows.agg(F.count("*"), F.count_if("q")).first()
     index_blocks, query_blocks = (max(1, -(-n // size)) for n, size in zip(counts, (INDEX_ROWS, QUERY_ROWS)))
-    index = rows.select(
-        "id", "v", F.pmod(F.xxhash64("id", F.lit("index")), F.lit(index_blocks)).cast("int").alias("i"),
+    # Equal rows are one candidate that stands several times, so no id and no vector fills a block.
+    index = rows.groupBy("id", "v").agg(F.count("*").alias("times")).select(
+        "id", "v", "times", F.pmod(F.xxhash64("id", "v", F.lit("index")), F.lit(index_blocks)).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("j"),
     )
-    queries = rows.where("q").dropDuplicates(["id"]).select(
+    queries = rows.where("q").groupBy("id").agg(F.min("v").alias("v")).select(
         "id", "v", F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).alias("i"),
         F.pmod(F.xxhash64("id", F.lit("query")), F.lit(query_blocks)).cast("int").alias("j"),
     )
@@ -133,7 +129,7 @@ def top_k(
     def search(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(block) and len(asked):
-            found = ImpactIndex(block["id"].to_numpy(), _matrix(block["v"])).search(asked["id"].to_numpy(), _matrix(asked["v"]), k)
+            found = ImpactIndex(block["id"].to_numpy(), _matrix(block["v"]), block["times"].to_numpy()).search(asked["id"].to_numpy(), _matrix(asked["v"]), k)
             out = [(np.full(len(ids), q), ids, scores) for q, ids, scores in found]
         columns = [np.concatenate([np.empty(0, np.int64), *c]).astype(np.int64) for c in zip(*out)] or [np.empty(0, np.int64)] * 3
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
