@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 #: Rows that the splitter sample has on average, and how often a range may exceed its share before it is subdivided.
 SAMPLE, OVERFULL = 20_000, 2.0
+#: Ranges at most, and parts that an overfull range is cut into at most: both lists of splitters reach the driver, whatever the rows.
+MOST_RANGES, MOST_PARTS = 4_096, 64
 
 
 def spread_key(group: Column, row: Column) -> Column:
@@ -50,18 +52,21 @@ def splitters(sized: DataFrame, total: int, ranges: int) -> list[int]:
     """Keys that cut rows (key, size) into ranges of about equal bytes.
 
     Quantiles of a size-weighted sample of about ``SAMPLE`` rows (or 20 for each range), and for each range that
-    then holds more than ``OVERFULL`` times its share, quantiles of a sample inside it, in proportion to its load.
+    then holds more than ``OVERFULL`` times its share, quantiles of a sample inside it. All overfull ranges are cut in one pass, into
+    as many parts as the fullest needs, ``MOST_PARTS`` at most.
     """
     first = _quantiles(_sampled(sized, total, max(SAMPLE, 20 * ranges)), ranges)
     share = total / ranges
-    loads = sized.groupBy(range_of(F.col("key"), first).alias("part")).agg(F.sum("size").alias("bytes"))
+    part = range_of(F.col("key"), first).alias("part")
+    loads = sized.groupBy(part).agg(F.sum("size").alias("bytes"))
     overfull = loads.where(F.col("bytes") > OVERFULL * share).collect()  # at most ranges / OVERFULL rows
-    extra: list[int] = []
-    for row in overfull:
-        inside = sized.where(range_of(F.col("key"), first) == row["part"])
-        parts = min(int(row["bytes"] / share) + 1, ranges)
-        extra += _quantiles(_sampled(inside, row["bytes"], max(1000, 20 * parts)), parts)
-    return sorted({*first, *extra})
+    if not overfull:
+        return first
+    parts = min(MOST_PARTS, int(max(r["bytes"] for r in overfull) / share) + 1)
+    # A share has 1,000 sampled rows or more.
+    inside = _sampled(sized, total, 1000 * ranges).withColumn("part", part).where(F.col("part").isin([r["part"] for r in overfull]))
+    found = inside.groupBy("part").agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 10 * parts).alias("cuts")).collect()
+    return sorted({*first, *(c for r in found for c in r["cuts"] or [])})
 
 
 def shard(df: DataFrame, shards: int, size: Column, group: Column, row: Column, rows_in_range: int = 50_000) -> DataFrame:
@@ -72,15 +77,17 @@ def shard(df: DataFrame, shards: int, size: Column, group: Column, row: Column,
     largest rows. The order is global, but nothing is sorted globally: splitters from a size-weighted
     sample cut the keys into ranges of a bounded number of rows, each range is numbered by itself, and the bytes and
     rows of the ranges before it are added. Equal keys (repeated rows) are ordered by size and may take any order among
-    full equals. ``df`` must give the same rows each time it is read. No rows give no rows. Columns named ``shard`` or ``slot``
-    are replaced; a column named ``key`` or ``size`` is kept.
+    full equals. A null size or a negative one counts as 0; a null group or row is a value like any other. Texts take no part but
+    through the given columns, so their length does not matter. ``df`` must give the same rows each time it is read. No rows give no rows.
+    Columns named ``shard`` or ``slot`` are replaced; a column named ``key`` or ``size`` is kept. Beyond ``MOST_RANGES`` ranges these grow
+    instead: each is one sort that may spill.
     """
     kept = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     row_of = F.struct(*[df[c] for c in kept]).alias("row")
-    keyed = df.select(row_of, spread_key(group, row).alias("key"), size.cast("long").alias("size"))
+    keyed = df.select(row_of, spread_key(group, row).alias("key"), F.greatest(size.cast("long"), F.lit(0)).alias("size"))
     sized = keyed.select("key", "size")
     total, count = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    ranges = max(shards, -(-count // rows_in_range))
+    ranges = max(shards, min(MOST_RANGES, -(-count // rows_in_range)))
     cuts = splitters(sized, total, ranges)
     parted = keyed.withColumn("part", range_of(F.col("key"), cuts))
     loads = parted.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
