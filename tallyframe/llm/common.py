@@ -17,6 +17,9 @@ from tallyframe.session import stage
 #: Text handed to one call of a batch function, in bytes; bounds what a Python worker holds at a time.
 CHUNK_BYTES = 2 << 20
 
+#: Edges of a node that share a key in the component search, at least, and the number of keys that all edges would fill.
+HUB_ROWS, HUB_PARTS = 1_000, 10_000
+
 _AS_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
 #: Makes one digit, letter or non-ASCII run a word: the byte table that lower-cases A-Z and blanks every other ASCII byte.
@@ -129,28 +132,41 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     Component: the smallest node reachable. Only nodes with an edge are returned. Alternates the large-star and
     small-star steps of Kiveris et al. (2014), which need a number of rounds about logarithmic in the longest path; each
     round is two grouped minima and two joins on the node, written to the shared folder, so a lost executor costs
-    a re-read and nothing but two counts comes to the driver. A node with very many edges is one side of a join
-    that adaptive execution may split, never a group gathered in one task.
+    a re-read and nothing but a few counts comes to the driver. The edges of a node with very many of them are spread over many keys.
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stage(pairs, label)
-    before = None
+    before, count = None, pairs.count()
     while True:
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(lowest, "a")
+        lowest = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n"))
+        large = _beside(both.where("b > a"), lowest, 2 * count).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        joined = _beside(large, lowest, count)
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(lowest.select("a", F.col("m").alias("b")))
         pairs = stage(small.where("a <> b").distinct(), label)
         row = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("a")).first()
         if tuple(row) == before or (row[0] == row[2] and not _reaches(pairs)):
             break
-        before = tuple(row)
+        before, count = tuple(row), row[0]
     roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
+def _beside(edges: DataFrame, lowest: DataFrame, count: int) -> DataFrame:
+    """Edges (a, b) with the ``m`` of their node ``a`` from ``lowest`` (a, m, n), n being at least the node's number of edges.
+
+    A hub, a node with more than one in ``HUB_PARTS`` of all edges, has a key for each so many of them. There are fewer than
+    ``HUB_PARTS`` hubs, so they are broadcast.
+    """
+    rows = max(HUB_ROWS, -(-count // HUB_PARTS))
+    hubs = F.broadcast(lowest.where(F.col("n") > rows).select("a", F.ceil(F.col("n") / rows).alias("parts")))
+    part = F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0).cast("long"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))
+    known = lowest.join(hubs, "a", "left").select("a", "m", parts.alias("part"))
+    return edges.join(hubs, "a", "left").select("a", "b", part.alias("part")).join(known, ["a", "part"]).drop("part")
+
+
 def _reaches(pairs: DataFrame) -> bool:
     """Whether some node is both the start and the end of a pair, so that the pairs are not stars yet."""
     return not pairs.select("a").intersect(pairs.select(F.col("b").alias("a"))).isEmpty()

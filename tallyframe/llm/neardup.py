@@ -215,9 +215,12 @@ def _links(members: DataFrame, keys: list[str], what, rule: Rule) -> DataFrame:
     return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, StructType.fromDDL("a long, b long"))
 
 
-def _block_pairs(rows: DataFrame, blocks: str) -> DataFrame:
-    """Add i and j: each row of a group of ``blocks`` blocks goes to every pair of blocks that its own is part of."""
-    own = F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+def _block_pairs(rows: DataFrame, blocks: str, content: str) -> DataFrame:
+    """Add i and j: each row of a group of ``blocks`` blocks goes to every pair of blocks that its own is part of.
+
+    Blocks are dealt by node and content, as a node that stands for an id with many texts has many rows.
+    """
+    own = F.pmod(F.xxhash64("node", content), F.col(blocks)).cast("int")
     pairs = F.when(F.col(blocks) <= 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
         F.transform(
             F.filter(F.sequence(F.lit(0), F.col(blocks).cast("int") - 1), lambda k: k != F.col("__own")),
@@ -271,20 +274,24 @@ def near_duplicates(df: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id",
     # Buckets and classes grow with the input, so these joins are by shuffle at every size.
     larger = keys.join(buckets.where("n > 2").select("key", "n").hint("merge"), "key").select("key", "n", "node")
     members = couples.unionByName(larger).withColumn("blocks", F.ceil(F.col("n") / BUCKET_ROWS))
-    members = _block_pairs(members.select("key", "node", "blocks"), "blocks").select("key", "i", "j", "node").join(classes.select("node", "brief").hint("merge"), "node")
+    members = members.select("key", "node", "blocks").join(classes.select("node", "brief").hint("merge"), "node")
+    members = _block_pairs(members, "blocks", "brief")
     candidates = _links(members.select("key", "i", "j", "node", "brief"), ["key", "i", "j"], _similar_signatures, rule)
 
     clusters = stage(components(candidates, "neardup-candidates"), "neardup-clusters")
     texts = df.select(df[doc_id].cast("long").alias("node"), df[text].alias("__text")).where("node is not null and __text is not null")
-    texts = _likely(texts, clusters).join(clusters, "node")
+    # An id with several rows has each of its texts compared once.
+    several = full.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("node"))
+    texts = _likely(texts, clusters).withColumn("print", F.md5("__text"))
+    once = texts.join(several, "node", "left_semi").groupBy("node", "print").agg(F.first("__text").alias("__text"))
+    texts = texts.join(several, "node", "left_anti").unionByName(once).drop("print").join(clusters, "node")
     sizes = texts.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("__text")).alias("bytes"))
     sizes = sizes.select("component", F.greatest(F.ceil(F.col("n") / CLUSTER_ROWS), F.ceil(F.col("bytes") / CLUSTER_BYTES)).alias("blocks"))
-    compared = _block_pairs(texts.join(sizes, "component"), "blocks").select("component", "i", "j", "node", "__text")
+    compared = _block_pairs(texts.join(sizes, "component"), "blocks", "__text").select("component", "i", "j", "node", "__text")
     confirmed = _links(compared, ["component", "i", "j"], _similar_sets, rule)
 
     # An id that stands at several texts links their classes.
-    several = full.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    belongs = full.join(several, "doc_id").join(classes.select("words_hash", "node"), "words_hash").select("doc_id", "node").distinct()
+    belongs = full.join(several.withColumnRenamed("node", "doc_id"), "doc_id").join(classes.select("words_hash", "node"), "words_hash").select("doc_id", "node").distinct()
     repeated = belongs.join(belongs.groupBy("doc_id").agg(F.min("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b")
     linked = components(confirmed.unionByName(repeated), "neardup-links")
     named = classes.join(linked, "node", "left").select("words_hash", F.coalesce("component", "node").alias("component"))
