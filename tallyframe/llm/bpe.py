@@ -12,10 +12,11 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from tallyframe.llm.common import append_columns
+from tallyframe.llm.common import append_columns, narrowed
 
 #: Pieces and token pairs of a generation. A worker remembers two generations of pieces, the last one and what was
 #: used of it since; of pairs it forgets all beyond that.
@@ -52,7 +53,7 @@ class ByteBPE:
     visits each position once.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, newer: str = ""):
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
@@ -60,7 +61,7 @@ class ByteBPE:
             self.tokens[rank] = token
         self.sizes = list(map(len, self.tokens))
         self.decimal = list(map(str, range(len(self.tokens))))
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.exact, self.newer = regex.compile(pattern), narrowed(pattern, newer), frozenset(newer)
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self.known: dict[tuple[int, int], bool] = {}
@@ -151,10 +152,11 @@ class ByteBPE:
     def runs(self, text: str) -> Iterator[list[int]]:
         """Ids of the text, a bounded number of pieces at a time."""
         look = self.pieces.__getitem__
+        pattern = self.pattern if text.isascii() or self.newer.isdisjoint(text) else self.exact
         if len(text) <= RUN:
-            yield list(chain.from_iterable(map(look, self.pattern.findall(text))))
+            yield list(chain.from_iterable(map(look, pattern.findall(text))))
             return
-        pieces = (m.group() for m in self.pattern.finditer(text))
+        pieces = (m.group() for m in pattern.finditer(text))
         while part := list(islice(pieces, RUN)):
             yield list(chain.from_iterable(map(look, part)))
 
@@ -175,28 +177,41 @@ class ByteBPE:
         return count, ids_hash.hexdigest(), text_hash.hexdigest()
 
 
+@lru_cache(maxsize=1)
+def newer_characters() -> str:
+    """Letters and numbers that the regex module knows and the tables of the tiktoken library do not have yet."""
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    found = set()
+    for kind in (r"\p{L}", r"\p{N}"):
+        theirs = tiktoken.Encoding("bytes", pat_str=kind, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        found |= set(regex.findall(kind, every)) - set(bytes(theirs.encode_ordinary(every)).decode())
+    return "".join(sorted(found))
+
+
 @lru_cache(maxsize=2)
-def _loaded(path: str, pattern: str) -> ByteBPE:
-    return ByteBPE(path, pattern)
+def _loaded(path: str, pattern: str, newer: str) -> ByteBPE:
+    return ByteBPE(path, pattern, newer)
 
 
-def codec(path: str, pattern: str) -> ByteBPE:
+def codec(path: str, pattern: str, newer: str = "") -> ByteBPE:
     """One codec for each Python worker. ``path`` is a file every worker sees, or the name of one given to addFile."""
     import os
 
-    return _loaded(path if os.path.isabs(path) else SparkFiles.get(path), pattern)
+    return _loaded(path if os.path.isabs(path) else SparkFiles.get(path), pattern, newer)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Add ``token_ids array<int>``, ``n_tokens long`` and ``exact boolean``: the ids decode to the text's bytes.
 
-    Each match of ``pattern`` is encoded separately; strings of special tokens are ordinary text. A null or empty
+    Each match of ``pattern``, as the tiktoken library's character tables have it, is encoded separately; strings of special tokens are ordinary text. A null or empty
     text gives an empty array and 0. Rows, also repeated ones, stay as they are and nothing is shuffled; columns named
     like the new ones are replaced. A very long text is read a bounded number of pieces at a time.
     """
 
+    newer = newer_characters()
+
     def make(texts):
-        tool = codec(path, pattern)
+        tool = codec(path, pattern, newer)
         lists, exact = [], []
         for t in texts:
             ids = tool.encode(t)
@@ -225,8 +240,10 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", keep:
     The same coding as :func:`encode` followed by :func:`decode`, without moving ids and bytes between processes.
     """
 
+    newer = newer_characters()
+
     def make(texts):
-        digests = codec(path, pattern).digests
+        digests = codec(path, pattern, newer).digests
         return list(zip(*map(digests, texts)))
 
     return append_columns(df, [text], "n_tokens long, ids_sha256 string, decoded_sha256 string", make, keep)
