@@ -6,6 +6,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import regex
@@ -103,6 +104,7 @@ class _Scanner:
         if not found:
             return []
         found.sort(key=lambda f: f[1])
+        borders = list(accumulate((len(w.decode()) + 1 for w in words), initial=0))  # where each word starts
         longest = max(f[2] - f[1] for f in found)
         places = set()
         for i, start, stop, edits in found:
@@ -111,8 +113,8 @@ class _Scanner:
                 high = bisect_left(found, stop, key=lambda f: f[1])
                 if any(f[3] < edits and f[2] > start for f in found[low:high]):
                     continue
-            first = text.count(" ", 0, start)
-            places.add((self.notices[i].phrase, self.notices[i].label, first, text.count(" ", start, stop) + 1, edits))
+            first, last = bisect_right(borders, start) - 1, bisect_right(borders, stop - 1) - 1
+            places.add((self.notices[i].phrase, self.notices[i].label, first, last - first + 1, edits))
         return sorted(places, key=lambda p: (p[2], p[0], p[4]))
 
 
