@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,18 +48,47 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def stage(df: DataFrame, label: str, balance: bool = False) -> DataFrame:
+_STAGED: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that :func:`stage` writes inside the block when it ends.
+
+    For callers that know when a result has been used: rows that are still to be read from such a table must be written elsewhere
+    (``stage(df, label, keep=1)``, a sink, a collect) before the block ends. Blocks may lie in each other.
+    """
+    written: list[str] = []
+    _STAGED.append(written)
+    try:
+        yield
+    finally:
+        _STAGED.remove(written)
+        for path in written:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stage(df: DataFrame, label: str, balance: bool = False, keep: int = 0, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and return a scan of the written table.
 
     Used where a costly plan is read many times (model fitting): lineage is cut, lost executors
     only re-read files, and later readers still get column pruning and pushed filters.
     ``balance`` evens out the files by one shuffle first: worth it where a hot join key leaves a
-    huge partition, or a small table only one, and many passes follow.
+    huge partition, or a small table only one, and many passes follow. ``schema`` reads the columns as other types of the same form.
+    Written tables stay, unless they are written inside a :func:`staging` block; ``keep`` tells how many blocks a table outlives.
     """
     df = df.hint("rebalance") if balance else df
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if len(_STAGED) > keep:
+        _STAGED[-1 - keep].append(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str | StructType) -> DataFrame:

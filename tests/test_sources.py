@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.missing import CSV_NULL_TOKENS
 from tallyframe.operators.drift import tag_sources
-from tallyframe.session import rows_up_to, small_table, stage
+from tallyframe.session import rows_up_to, small_table, stage, staging
 from tallyframe.sources.files import read_csv, read_parquet, sample_csv, write_csv, write_parquet
 
 
@@ -78,3 +78,22 @@ def test_sampled_file_has_exactly_n_rows(spark, tmp_path):
     write_csv(spark.range(50).withColumn("s", F.lit("x y")), source)
     sample_csv(spark, source, target, "id", n=7)
     assert read_csv(spark, target).count() == 7
+
+
+def test_staged_tables_live_as_long_as_their_block(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    folder = lambda df: Path(urlparse(df.inputFiles()[0]).path).parent
+    outside = stage(spark.range(3), "kept")
+    with staging(spark):
+        with staging(spark):
+            one, two, three = (stage(spark.range(3), "block", keep=k) for k in range(3))
+            places = [folder(x) for x in (one, two, three)]
+            assert all(p.exists() for p in places)
+        assert [p.exists() for p in places] == [False, True, True] and two.count() == 3
+    assert [p.exists() for p in places] == [False, False, True] and folder(outside).exists()
+    with pytest.raises(RuntimeError), staging(spark):
+        places = [folder(stage(spark.range(3), "block"))]
+        raise RuntimeError
+    assert not places[0].exists()
