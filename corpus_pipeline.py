@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import bpe, decontam, neardup, quality
-from tallyframe.session import stage
+from tallyframe.session import stage, staging
 
 #: Documents with a lower quality score go.
 LEAST_QUALITY = 0.7
@@ -66,8 +66,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``. Of the tables written on the way only the last stage's stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    with staging(spark):  # the tables of all stages but the last
+        for left, (name, step) in zip(range(len(STAGES) - 1, -1, -1), STAGES):
+            with staging(spark):  # what one stage writes for itself
+                docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}", keep=1 if left else 2)
     return docs
