@@ -1,27 +1,33 @@
-"""Turning a prepared table into model features: standard scaling and one-hot encoding."""
+"""Turning a prepared table into model features: standard scaling and one-hot encoding.
+
+Categories are a written table (column, value, slot) of any size. Rows meet it by a join in which the most frequent values are
+broadcast and all others shuffled, and their sparse vectors are put together from the slots they found: nothing about a single
+category comes to the driver.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StandardScalerModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from tallyframe.functions.text import ONEHOT_PREFIX, ONEHOT_SEPARATOR, onehot_name
+from tallyframe.functions.text import ONEHOT_PREFIX, ONEHOT_SEPARATOR
 from tallyframe.operators.counts import as_label, value_totals
+from tallyframe.operators.order import numbered
 from tallyframe.operators.profile import comparable_each
-from tallyframe.session import rows_up_to, small_table, stage
+from tallyframe.session import small_table, stage
 
 FEATURES = "features"
 SCALED = "scaled_features"
-HASHED = "_hashed"
-# MLlib models keep one coefficient or category per encoded column on the driver, so an encoding
-# wider than this has to be hashed by the caller's choice (``hashed``); nothing is cut.
-WIDTH_LIMIT = 1_000_000
-CATEGORY_LIMIT = 100_000
+#: Parts of the encoded rows, for models that do not read vectors: slots of the categories, numbers, and a key of the row.
+SLOTS, NUMBERS, KEY = "feature_slots", "feature_numbers", "feature_key"
+#: Most frequent categories that are broadcast. Any other is in fewer than one of so many rows, so that its join key is no hot one.
+HOT = 1_000
 
 
 def scale_standard(df: DataFrame, columns: Sequence[str], reference: DataFrame | None = None) -> DataFrame:
@@ -38,28 +44,33 @@ def scale_standard(df: DataFrame, columns: Sequence[str], reference: DataFrame |
     })
 
 
+def lookup(flat: DataFrame, known: DataFrame, on: Sequence[str], value: str, row: str) -> DataFrame:
+    """Left join of ``flat`` to the written table ``known`` (``on``, n, ``value``), whose keys are unique: adds ``value``, null where there is none.
+
+    The most frequent keys are broadcast, a fixed number of them. Rows that met one of these go through the shuffle under their own
+    ``row`` instead of the key, so they are spread however hot the key is.
+    """
+    most = known.orderBy(F.desc("n"), *on).limit(HOT).select(*on, F.col(value).alias("__hot"))
+    met = flat.join(F.broadcast(most), list(on), "left")
+    keys = [F.when(F.col("__hot").isNull(), F.col(c)).alias(f"__{c}") for c in on[:-1]]
+    keys.append(F.when(F.col("__hot").isNull(), F.col(on[-1])).otherwise(F.col(row).cast("string")).alias(f"__{on[-1]}"))
+    others = known.select(*[F.col(c).alias(f"__{c}") for c in on], F.col(value).alias("__found"))
+    joined = met.select("*", *keys).join(others, [f"__{c}" for c in on], "left")
+    return joined.withColumn(value, F.coalesce("__hot", "__found")).drop("__hot", "__found", *[f"__{c}" for c in on])
+
+
 def onehot_long(df: DataFrame, id: str, columns: Sequence[str], reference: DataFrame) -> DataFrame:
     """One-hot features as (id, feature, value) rows holding only the ones.
 
     Categories come from ``reference``; a value unseen there gives no row, that is, all zeros.
-    Up to ``CATEGORY_LIMIT`` categories are broadcast. Beyond, the most frequent ones are, and
-    only rows outside them take the shuffle join, so a hot category meets no single task.
     """
     flat = df.select(F.col(id), *[as_label(df, c).alias(c) for c in columns]).unpivot(
         id, list(columns), "column", "level"
     )
     known = value_totals(reference, columns).where("value is not null").withColumnRenamed("value", "level")
-    on = ["column", "level"]
-    name = F.concat_ws(ONEHOT_SEPARATOR, F.lit(ONEHOT_PREFIX), *on)
-    few = rows_up_to(known, CATEGORY_LIMIT)
-    if few is not None:
-        table = small_table(df.sparkSession, [tuple(r) for r in few], known.schema)
-        ones = flat.join(F.broadcast(table), on, "left_semi")
-    else:
-        known = stage(known, "onehot-categories")  # read three times below
-        hot = F.broadcast(known.orderBy(F.desc("n"), *on).limit(CATEGORY_LIMIT).select(*on))
-        rest = flat.join(hot, on, "left_anti").join(known, on, "left_semi")
-        ones = flat.join(hot, on, "left_semi").unionByName(rest)
+    known = stage(known.withColumn("is_known", F.lit(1)), "onehot-categories")
+    name = F.concat_ws(ONEHOT_SEPARATOR, F.lit(ONEHOT_PREFIX), "column", "level")
+    ones = lookup(flat, known, ["column", "level"], "is_known", id).where("is_known is not null")
     return ones.select(id, name.alias("feature"), F.lit(1.0).alias("value"))
 
 
@@ -70,55 +81,106 @@ def encoded_width(df: DataFrame, cats: Sequence[str], nums: Sequence[str]) -> in
     return len(nums) + value_totals(df, cats).where("value is not null").count()
 
 
-def _levels(train: DataFrame, cats: Sequence[str]) -> list[list[str]]:
-    """Sorted category values per column, missing as a level; one grouped scan for all columns."""
-    if not cats:
-        return []
-    filled = train.select(*[F.coalesce(F.col(c), F.lit("missing")).alias(c) for c in cats])
-    found = rows_up_to(value_totals(filled, cats).select("column", "value"), WIDTH_LIMIT)
-    if found is None:
-        raise ValueError(
-            f"more than {WIDTH_LIMIT} encoded columns; give `hashed`, or reduce cardinality (see operators.cardinality)"
-        )
-    by_column: dict[str, list[str]] = {c: [] for c in cats}
-    for row in found:
-        by_column[row["column"]].append(row["value"])
-    return [sorted(by_column[c]) for c in cats]
+def fit_categories(train: DataFrame, cats: Sequence[str]) -> DataFrame:
+    """The written table (column, value, n, slot): every category, missing as a level, numbered from 0 by column and value."""
+    filled = train.select(*[F.coalesce(as_label(train, c), F.lit("missing")).alias(c) for c in cats])
+    place = F.array_position(F.array(*map(F.lit, cats)), F.col("column"))
+    counted = stage(value_totals(filled, cats).withColumn("place", place), "categories")
+    return stage(numbered(counted, ["place", "value"], "slot", "categories-numbered").drop("place"), "categories-slots")
 
 
 @dataclass(frozen=True)
 class Encoder:
-    """Fitted encoding: adds ``features`` (sparse) and, if asked, ``scaled_features``."""
+    """Fitted encoding: adds ``features`` (sparse) and, if asked, ``scaled_features``.
+
+    Numbers come first, then the slots of the categories: those of ``table``, or ``hashed`` many that a hash of column and value chooses.
+    """
 
-    model: PipelineModel
-    names: tuple[str, ...]
     cats: tuple[str, ...]
     nums: tuple[str, ...]
-    rows: int
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        inputs = df.withColumns({
-            **{_text(c): F.coalesce(F.col(c), F.lit("missing")) for c in self.cats},
-            **{_num(c): F.col(c).cast("double") for c in self.nums},
-        })
-        scratch = [f(c) for c in self.cats for f in (_text, _index, _hot)] + [_num(c) for c in self.nums]
-        return self.model.transform(inputs).drop(*scratch, HASHED)
-
-
-def _text(c: str) -> str:
-    return f"_text_{c}"
-
-
-def _num(c: str) -> str:
-    return f"_num_{c}"
-
-
-def _index(c: str) -> str:
-    return f"_index_{c}"
-
-
-def _hot(c: str) -> str:
-    return f"_hot_{c}"
+    table: DataFrame | None
+    slots: int
+    hashed: bool = False
+    scaler: StandardScalerModel | None = None
+    rows: int = 0
+
+    @property
+    def width(self) -> int:
+        return len(self.nums) + self.slots
+
+    def feature_names(self, spark) -> DataFrame:
+        """(slot, feature): the name of each encoded column."""
+        fixed = [*self.nums, *(f"hashed__{i}" for i in range(self.slots if self.hashed else 0))]
+        names = small_table(spark, enumerate(fixed), "slot long, feature string")
+        if self.table is None:
+            return names
+        name = F.concat_ws(ONEHOT_SEPARATOR, F.lit(ONEHOT_PREFIX), "column", "value").alias("feature")
+        return names.unionByName(self.table.select((F.col("slot") + len(self.nums)).alias("slot"), name))
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        """All names in order, for encodings known to be narrow: they are listed on the driver."""
+        spark = self.table.sparkSession if self.table is not None else None
+        if spark is None:
+            return (*self.nums, *(f"hashed__{i}" for i in range(self.slots)))
+        return tuple(r["feature"] for r in self.feature_names(spark).orderBy("slot").collect())
+
+    def transform(self, df: DataFrame, keep: Sequence[str] | None = None, parts: bool = False) -> DataFrame:
+        """The columns of ``df`` (or those of ``keep``) and the vectors, written once in the shared folder.
+
+        A value unseen in training gives zeros; a number without a value is an error. With ``parts`` also ``SLOTS`` (sorted),
+        ``NUMBERS`` and ``KEY``, a hash of the first kept column.
+        """
+        kept = list(df.columns if keep is None else keep)
+        numbers = F.array(*[F.col(c).cast("double") for c in self.nums]).cast("array<double>")
+        checked = F.transform(numbers, lambda x: F.when(x.isNotNull() & ~F.isnan(x), x).otherwise(F.raise_error(F.lit("a number to be encoded is missing")).cast("double")))
+        levels = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(as_label(df, c), F.lit("missing")).alias("value")) for c in self.cats])
+        rows = df.select(F.struct(F.struct(*[df[c] for c in kept]).alias("row"), checked.alias("numbers")).alias("own"), levels.alias("levels"))
+        if not self.cats:
+            found = rows.select("own", F.array().cast("array<int>").alias("slots"))
+        elif self.hashed:
+            found = rows.select("own", F.array_sort(F.transform("levels", lambda x: F.pmod(F.xxhash64(x["column"], x["value"]), F.lit(self.slots)).cast("int"))).alias("slots"))
+        else:
+            found = self._found(rows)
+        return self._vectors(found, df.select(*kept).schema, parts)
+
+    def with_scaling(self, coded: DataFrame) -> Encoder:
+        """This encoder with the spread of encoded training rows."""
+        scaler = StandardScaler(inputCol=FEATURES, outputCol=SCALED, withMean=False, withStd=True).fit(coded.select(FEATURES))
+        return replace(self, scaler=scaler, rows=coded.count())
+
+    def _found(self, rows: DataFrame) -> DataFrame:
+        """Each row's own part and its slots. A row is taken apart into its categories and put together again by its number."""
+        rows = stage(rows.withColumn("number", F.monotonically_increasing_id()), "encode-rows")
+        flat = rows.select("number", "own", F.posexplode("levels").alias("place", "level"))
+        flat = flat.select("number", F.when(F.col("place") == 0, F.col("own")).alias("own"), "level.column", "level.value")
+        met = lookup(flat, self.table, ["column", "value"], "slot", "number")
+        slots = F.array_sort(F.collect_list(F.col("slot").cast("int")))
+        return met.groupBy("number").agg(F.first("own", ignorenulls=True).alias("own"), slots.alias("slots"))
+
+    def _vectors(self, found: DataFrame, kept: StructType, parts: bool) -> DataFrame:
+        """Sparse vectors, as the struct that MLlib stores them in, written and read as vectors."""
+        k = len(self.nums)
+        filled = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get("own.numbers", i) != 0) if k else F.array().cast("array<int>")
+        distinct = F.array_distinct("slots")
+        indices = F.concat(filled, F.transform(distinct, lambda s: s + k))
+        ones = F.transform(distinct, lambda s: F.size(F.filter("slots", lambda t: t == s)).cast("double"))
+        values = F.concat(F.transform(filled, lambda i: F.get("own.numbers", i)), ones)
+        vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(self.width).alias("size"), indices.alias("indices"), values.alias("values"))
+        extra = [F.col("slots").alias(SLOTS), F.col("own.numbers").alias(NUMBERS)] if parts else []
+        out = found.select("own.row.*", vector.alias(FEATURES), *extra)
+        if parts:
+            out = out.withColumn(KEY, F.xxhash64(kept.names[0]))
+        schema = StructType([StructField(f.name, VectorUDT()) if f.name == FEATURES else f for f in out.schema])
+        coded = stage(out, "encoded-rows", schema=schema)
+        return self.scaler.transform(coded) if self.scaler is not None else coded
+
+
+def _sized(table: DataFrame) -> int:
+    n = table.count()
+    if n >= 2**31:
+        raise ValueError("a vector holds fewer than 2^31 features; give `hashed`, or reduce cardinality (see operators.cardinality)")
+    return n
 
 
 def fit_encoder(
@@ -130,43 +192,10 @@ def fit_encoder(
     model with an unpenalised intercept unchanged.
 
     ``hashed`` puts the categories into that many slots by a hash of column and value, for any number of
-    categories: none is counted, collected or unknown later, and values that share a slot add up.
+    categories: none is counted or unknown later, and values that share a slot add up.
     """
-    cats, nums = list(cats), list(nums)
-    levels = _levels(train, cats) if hashed is None else [[] for _ in cats]
-    inputs = train.select(
-        *[F.coalesce(F.col(c), F.lit("missing")).alias(_text(c)) for c in cats],
-        *[F.col(c).cast("double").alias(_num(c)) for c in nums],
-    )
-    stages = []
-    if cats and hashed is not None:
-        stages.append(FeatureHasher(inputCols=[_text(c) for c in cats], outputCol=HASHED, numFeatures=hashed))
-    elif cats:
-        # "keep" puts unseen values in one extra slot, which dropLast then leaves out: all zeros.
-        indexed = inputs
-        for c, labels in zip(cats, levels):
-            indexer = StringIndexerModel.from_labels(labels, inputCol=_text(c), outputCol=_index(c), handleInvalid="keep")
-            indexed = indexer.transform(indexed)
-            stages.append(indexer)
-        hot = OneHotEncoder(
-            inputCols=[_index(c) for c in cats], outputCols=[_hot(c) for c in cats],
-            dropLast=True, handleInvalid="error",
-        ).fit(indexed)
-        stages.append(hot)
-    coded = [_hot(c) for c in cats] if hashed is None else [HASHED][: len(cats)]
-    assembler = VectorAssembler(inputCols=[_num(c) for c in nums] + coded, outputCol=FEATURES, handleInvalid="error")
-    stages.append(assembler)
-    rows = 0
-    if scale:
-        assembled = inputs
-        for step in stages:
-            assembled = step.transform(assembled)
-        rows = train.count()
-        stages.append(
-            StandardScaler(inputCol=FEATURES, outputCol=SCALED, withMean=False, withStd=True).fit(
-                assembled.select(FEATURES)
-            )
-        )
-    slots = hashed if hashed is not None and cats else 0
-    names = (*nums, *(onehot_name(c, v) for c, vs in zip(cats, levels) for v in vs), *(f"hashed__{i}" for i in range(slots)))
-    return Encoder(PipelineModel(stages), names, tuple(cats), tuple(nums), rows)
+    cats, nums = tuple(cats), tuple(nums)
+    table = fit_categories(train, cats) if cats and hashed is None else None
+    slots = 0 if not cats else hashed if hashed is not None else _sized(table)
+    encoder = Encoder(cats, nums, table, slots, hashed is not None)
+    return encoder.with_scaling(encoder.transform(train, keep=train.columns[:1])) if scale else encoder

@@ -1,4 +1,4 @@
-"""The model registry: MLlib classifiers with the reference settings, all overridable."""
+"""The model registry: classifiers with the settings of the surveyed models, all overridable."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 
+from tallyframe.operators.boosting import SecondOrderBoosting
 from tallyframe.operators.encode import FEATURES, SCALED
 
 LABEL = "label"
@@ -45,7 +46,11 @@ def _forest(rows: int, trees: int = 300, depth: int = 12, min_leaf: int = 1, see
     )
 
 
-def _boosted(rows: int, rounds: int = 300, depth: int = 5, rate: float = 0.05, seed: int = 42, **extra):
+def _boosted(rows: int, **settings):
+    return SecondOrderBoosting(label=LABEL, **settings)
+
+
+def _first_order(rows: int, rounds: int = 300, depth: int = 5, rate: float = 0.05, seed: int = 42, **extra):
     return GBTClassifier(
         featuresCol=FEATURES, labelCol=LABEL, maxIter=rounds, maxDepth=depth, stepSize=rate,
         subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=seed, **extra,
@@ -64,11 +69,16 @@ def default_models(**settings: Mapping[str, object]) -> dict[str, ModelChoice]:
     }
 
 
-def older_models() -> dict[str, ModelChoice]:
+def first_order_boosting(**options: object) -> ModelChoice:
+    """MLlib's own boosting, which fits trees to first-order residuals and draws columns for each node."""
+    return ModelChoice(_first_order, options=options)
+
+
+def older_models(**settings: Mapping[str, object]) -> dict[str, ModelChoice]:
     """The earlier settings: fewer iterations, shallower forest with leaves of at least two rows."""
     return {
-        LOGISTIC: ModelChoice(_logistic, scale=True, options={"max_iter": 1000}),
-        FOREST: ModelChoice(_forest, options={"depth": 10, "min_leaf": 2}),
+        LOGISTIC: ModelChoice(_logistic, scale=True, options={"max_iter": 1000, **settings.get("logistic", {})}),
+        FOREST: ModelChoice(_forest, options={"depth": 10, "min_leaf": 2, **settings.get("forest", {})}),
     }
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyframe.session import stage
 from tallyframe.spec import INTEGRAL
 
 ACCURACY = 10_000
@@ -208,6 +209,24 @@ def _single_values(df: DataFrame, keys: Mapping[str, Column], parts: list[_Inter
     return _next(parts, _with_rank(counted, parts, "value"))
 
 
+def numbered(df: DataFrame, keys: Sequence[str], name: str, label: str, range_rows: int = 1_000_000) -> DataFrame:
+    """Add ``name``: the place from 0 of each row in the order of ``keys``, which should be unique.
+
+    Rows are dealt by range, sorted there and written with their place in the range; the rows of the lower ranges are added. One row for each
+    range is broadcast.
+    """
+    parts = df.count() // range_rows + 1
+    dealt = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    # The number holds the range in its upper bits and the place in it in the lower 33; it is fixed once written.
+    dealt = stage(dealt.withColumn(name, F.monotonically_increasing_id()), label)
+    cell = F.shiftright(name, 33).alias("__range")
+    held = dealt.groupBy(cell).agg(F.count("*").alias("__n"))
+    upto = F.sum("__n").over(W.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(W.unboundedPreceding, 0))
+    lower = held.select("__range", (upto - F.col("__n")).alias("__lower"))
+    placed = dealt.withColumn("__range", cell).join(F.broadcast(lower), "__range")
+    return placed.withColumn(name, F.col(name).bitwiseAND((1 << 33) - 1) + F.col("__lower")).select(*df.columns, name)
+
+
 def quantiles(
     df: DataFrame,
     keys: Mapping[str, Column],

@@ -67,20 +67,19 @@ def fit_source_models(
     checkpoint_dir(spark)
     train, valid = stratified_split(prepared, id, flag, share)
     scores, weights_by_model = [], None
-    with cached(train, valid) as (train, valid):
-        encoder, a, b = encode_pair(train, valid, id, flag, scale=False)
-        with cached(a, b) as (a, b):
-            weights = balanced_weights(a, LABEL)
-            weight = F.lit(1.0)
-            for value, w in weights.items():
-                weight = F.when(F.col(LABEL) == F.lit(value), F.lit(w)).otherwise(weight)
-            weighted, rows, held_out = a.withColumn(WEIGHT, weight), a.count(), b.count()
-            for name, choice in models.items():
-                extra = {"weightCol": WEIGHT} if name == FOREST else {}
-                model = choice.classifier(rows, **extra).fit(weighted)
-                scores.append((name, auc_value(positive_probability(model.transform(b), id, LABEL), PROBABILITY, LABEL)))
-                table = importance_table(spark, model, encoder.names).select(F.lit(name).alias("model"), "feature", "importance")
-                weights_by_model = table if weights_by_model is None else weights_by_model.unionByName(table)
+    encoder, a, b = encode_pair(train, valid, id, flag, scale=False)
+    with cached(a, b) as (a, b):
+        weights = balanced_weights(a, LABEL)
+        weight = F.lit(1.0)
+        for value, w in weights.items():
+            weight = F.when(F.col(LABEL) == F.lit(value), F.lit(w)).otherwise(weight)
+        weighted, rows, held_out = a.withColumn(WEIGHT, weight), encoder.rows, b.count()
+        for name, choice in models.items():
+            extra = {"weightCol": WEIGHT} if name == FOREST else {}
+            model = choice.classifier(rows, **extra).fit(weighted)
+            scores.append((name, auc_value(positive_probability(model.transform(b), id, LABEL), PROBABILITY, LABEL)))
+            table = importance_table(spark, model, encoder).select(F.lit(name).alias("model"), "feature", "importance")
+            weights_by_model = table if weights_by_model is None else weights_by_model.unionByName(table)
     result = small_table(spark, scores, "model string, source_auc double")
     return SourceModels(result.orderBy(F.col("source_auc").desc_nulls_last(), "model"), weights_by_model, weights, rows, held_out)
 

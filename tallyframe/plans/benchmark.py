@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.operators.encode import FEATURES, SCALED, Encoder, fit_encoder
+from tallyframe.operators.encode import Encoder, fit_encoder
 from tallyframe.operators.metrics import auc_value
-from tallyframe.operators.models import FOREST, LABEL, ModelChoice, default_models
+from tallyframe.operators.models import FOREST, LABEL, ModelChoice, default_models, older_models
 from tallyframe.operators.order import quantiles
 from tallyframe.operators.split import make_split
 from tallyframe.operators.tables import compare_scores
@@ -22,8 +23,8 @@ from tallyframe.spec import TableSpec
 
 SCORES = "model string, auc double"
 PROBABILITY = "probability"
-#: Parts of the rows that a model is fitted on.
-FIT_PARTS = 32
+#: Rows of a part that a model is fitted on, and parts at least.
+PART_ROWS, LEAST_PARTS = 1_000_000, 32
 
 
 @contextmanager
@@ -43,10 +44,15 @@ def roles(df: DataFrame, id: str, target: str | None) -> tuple[list[str], list[s
     return list(spec.cats), list(spec.nums)
 
 
-def dealt(df: DataFrame, id: str, parts: int = FIT_PARTS) -> DataFrame:
-    """Training rows in a fixed number of parts, in a fixed order, whatever the machine and the file layout.
+def fit_parts(rows: int, part_rows: int = PART_ROWS, least: int = LEAST_PARTS) -> int:
+    """Parts of training rows: they follow from the rows alone, so that a model does not depend on the machine."""
+    return max(least, -(-rows // part_rows))
 
-    Forest and boosting draw their samples per part, so this makes a fitted model repeatable.
+
+def dealt(df: DataFrame, id: str, parts: int) -> DataFrame:
+    """Training rows in a given number of parts, in a fixed order, whatever the machine and the file layout.
+
+    The forest draws its samples per part, so this makes a fitted model repeatable.
     """
     return df.repartition(parts, id).sortWithinPartitions(id)
 
@@ -54,18 +60,21 @@ def dealt(df: DataFrame, id: str, parts: int = FIT_PARTS) -> DataFrame:
 def encode_pair(
     train: DataFrame, other: DataFrame, id: str, target: str, scale: bool, hashed: int | None = None
 ) -> tuple[Encoder, DataFrame, DataFrame]:
-    """Encoder fitted on ``train``, and both tables reduced to what a model reads."""
+    """Encoder fitted on ``train``, and both tables reduced to what a model reads; each is encoded once."""
     cats, nums = roles(train, id, target)
-    encoder = fit_encoder(train, cats, nums, scale=scale, hashed=hashed)
-    train = dealt(train, id)
+    encoder = fit_encoder(train, cats, nums, hashed=hashed)
 
     def slim(df: DataFrame) -> DataFrame:
-        out = encoder.transform(df)
-        vectors = [FEATURES] + ([SCALED] if scale else [])
         label = [F.col(target).cast("double").alias(LABEL)] if target in df.columns else []
-        return out.select(id, *label, *vectors)
+        rows = df.select(id, *label, *cats, *nums)
+        return encoder.transform(rows, keep=[id, *([LABEL] if label else [])], parts=True)
 
-    return encoder, slim(train), slim(other)
+    a, b = slim(train), slim(other)
+    rows = a.count()
+    if scale:
+        encoder = encoder.with_scaling(a)
+        a, b = encoder.scaler.transform(a), encoder.scaler.transform(b)
+    return replace(encoder, rows=rows), dealt(a, id, fit_parts(rows)), b
 
 
 def positive_probability(scored: DataFrame, id: str, *keep: str) -> DataFrame:
@@ -93,13 +102,11 @@ def fit_models(
     models = models or default_models()
     checkpoint_dir(train.sparkSession)  # tree boosting cuts its lineage there
     scores, fitted = {}, {}
-    with cached(train, valid) as (train, valid):  # read by the encoder fit and by the encoding
-        encoder, a, b = encode_pair(train, valid, id, target, any(m.scale for m in models.values()), hashed)
-        with cached(a, b) as (a, b):
-            rows = encoder.rows or a.count()
-            for name, choice in models.items():
-                fitted[name] = choice.classifier(rows).fit(a)
-                scores[name] = auc_value(positive_probability(fitted[name].transform(b), id, LABEL), PROBABILITY, LABEL)
+    encoder, a, b = encode_pair(train, valid, id, target, any(m.scale for m in models.values()), hashed)
+    with cached(a, b) as (a, b):
+        for name, choice in models.items():
+            fitted[name] = choice.classifier(encoder.rows).fit(a)
+            scores[name] = auc_value(positive_probability(fitted[name].transform(b), id, LABEL), PROBABILITY, LABEL)
     return scores, (encoder, fitted)
 
 
@@ -137,10 +144,11 @@ def run_benchmark(
     return scores.select(F.lit(kind).alias("split"), "model", "auc")
 
 
-def importance_table(spark, model, names) -> DataFrame:
-    """(feature, importance) of a fitted tree model; one row per encoded column."""
-    weights = model.featureImportances.toArray()
-    return small_table(spark, [(n, float(w)) for n, w in zip(names, weights)], "feature string, importance double")
+def importance_table(spark, model, encoder: Encoder) -> DataFrame:
+    """(feature, importance) of a fitted tree model; one row per encoded column. Only features that a tree uses are listed on the driver."""
+    weights = model.featureImportances
+    used = small_table(spark, [(int(i), float(w)) for i, w in zip(weights.indices, weights.values)], "slot long, importance double")
+    return encoder.feature_names(spark).join(used, "slot", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
 def feature_importance(
@@ -148,11 +156,10 @@ def feature_importance(
 ) -> DataFrame:
     """Most important encoded features of a forest fitted on ``train``."""
     choice = choice or default_models()[FOREST]
-    with cached(train) as (train,):
-        encoder, a, _ = encode_pair(train, train.limit(0), id, target, scale=choice.scale)
-        with cached(a) as (a,):
-            model = choice.classifier(a.count()).fit(a)
-    table = importance_table(train.sparkSession, model, encoder.names).orderBy(F.desc("importance"), "feature")
+    encoder, a, _ = encode_pair(train, train.limit(0), id, target, scale=choice.scale)
+    with cached(a) as (a,):
+        model = choice.classifier(encoder.rows).fit(a)
+    table = importance_table(train.sparkSession, model, encoder).orderBy(F.desc("importance"), "feature")
     return table if top_n is None else table.limit(top_n)
 
 
@@ -168,6 +175,14 @@ def impute_plain(train: DataFrame, *others: DataFrame, id: str, target: str, lab
     return [df.withColumns({c: e for c, e in fills.items() if c in df.columns}).drop(*empty) for df in (train, *others)]
 
 
+def older_benchmark(
+    train: DataFrame, valid: DataFrame, id: str, target: str, models: Mapping[str, ModelChoice] | None = None
+) -> tuple[dict[str, float | None], tuple[Encoder, dict[str, object]]]:
+    """The earlier pipeline: medians and a constant for missing values, scaling and one-hot, its own models. Returns as :func:`fit_models`."""
+    a, b = impute_plain(train, valid, id=id, target=target)
+    return fit_models(a, b, id, target, models or older_models())
+
+
 def raw_vs_clean(
     tables: Mapping[str, tuple[DataFrame, DataFrame]], id: str, target: str, choice: ModelChoice
 ) -> DataFrame:

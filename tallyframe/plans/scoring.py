@@ -32,10 +32,9 @@ class BestPrediction:
 def fit_predict(train: DataFrame, rows: DataFrame, id: str, target: str, choice: ModelChoice) -> DataFrame:
     """(id, probability) for ``rows``; the id travels with its row."""
     checkpoint_dir(train.sparkSession)
-    with cached(train) as (train,):
-        encoder, a, b = encode_pair(train, rows, id, target, scale=choice.scale)
-        with cached(a) as (a,):
-            model = choice.classifier(encoder.rows or a.count()).fit(a)
+    encoder, a, b = encode_pair(train, rows, id, target, scale=choice.scale)
+    with cached(a) as (a,):
+        model = choice.classifier(encoder.rows).fit(a)
     return positive_probability(model.transform(b), id)
 
 

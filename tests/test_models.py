@@ -116,7 +116,7 @@ def test_reference_settings_are_the_defaults():
     models = default_models()
     forest, boosted = models[FOREST].classifier(100), models[BOOSTED].classifier(100)
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getFeatureSubsetStrategy()) == (300, 12, "sqrt")
-    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize()) == (300, 5, 0.05)
+    assert (boosted.rounds, boosted.depth, boosted.rate, boosted.share, boosted.columns) == (300, 5, 0.05, 0.9, 0.9)
     assert models[LOGISTIC].classifier(100).getMaxIter() == 2000
     assert source_models()[FOREST].classifier(1).getMinInstancesPerNode() == 20
 

@@ -1,7 +1,11 @@
+from functools import partial
+
 import pytest
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from tallyframe.operators import encode
+from tallyframe.operators.order import numbered
 from tallyframe.plans import prepare
 from tallyframe.spec import TableSpec
 from tests.conftest import pairs
@@ -78,9 +82,9 @@ def test_calendar_preparation(train, spark):
                             "d_month": 7, "d_weekday": 2}
 
 
-@pytest.mark.parametrize("limit", [100_000, 1])
-def test_one_hot_with_broadcast_and_with_shuffled_categories(spark, monkeypatch, limit):
-    monkeypatch.setattr(encode, "CATEGORY_LIMIT", limit)
+@pytest.mark.parametrize("hot", [1_000, 1])
+def test_one_hot_with_broadcast_and_with_shuffled_categories(spark, monkeypatch, hot):
+    monkeypatch.setattr(encode, "HOT", hot)
     a = spark.createDataFrame([(i, "hot" if i % 3 else f"v{i % 7}") for i in range(50)], "id bigint, k string")
     got = {tuple(r) for r in encode.onehot_long(a.where("id > 5"), "id", ["k"], a.where("id < 15")).collect()}
     seen = {r["k"] for r in a.where("id < 15").collect()}
@@ -107,15 +111,34 @@ def test_columns_with_different_numbers_of_values(spark):
     assert first[1].toArray().tolist()[0] == pytest.approx(1.0)
 
 
-def test_too_wide_an_encoding_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(encode, "WIDTH_LIMIT", 2)
-    df = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
-    with pytest.raises(ValueError, match="reduce cardinality"):
-        encode.fit_encoder(df, ["k"], [])
-
-
-def test_hashed_encoding_has_no_limit_and_keeps_every_value(spark, monkeypatch):
-    monkeypatch.setattr(encode, "WIDTH_LIMIT", 2)
+def test_many_categories_give_the_vectors_of_a_plain_listing(spark, monkeypatch):
+    """More categories than are broadcast, a hot one, values unseen in training, several ranges of slots, numbers that are zero."""
+    monkeypatch.setattr(encode, "HOT", 3)
+    monkeypatch.setattr(encode, "numbered", partial(numbered, range_rows=100))
+    rows = [(i, "hot" if i % 3 else f"v{i % 700}", None if i % 5 == 0 else f"w{i % 11}", float(i % 4)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, k string, l string, x double")
+    train = df.where("id < 2500")
+    encoder = encode.fit_encoder(train, ["k", "l"], ["x"])
+    levels = [sorted({(r[c] or "missing") for r in rows[:2500]}) for c in (1, 2)]
+    assert encoder.names == ("x", *(f"ohe__k__{v}" for v in levels[0]), *(f"ohe__l__{v}" for v in levels[1]))
+    got = {r["id"]: r["features"] for r in encoder.transform(df, keep=["id"]).collect()}
+    assert len(got) == 3000
+    for i, k, l, x in rows:
+        slots = [1 + levels[0].index(k)] if k in levels[0] else []
+        slots += [1 + len(levels[0]) + levels[1].index(l or "missing")]
+        want = SparseVector(encoder.width, {**({0: x} if x else {}), **dict.fromkeys(slots, 1.0)})
+        assert got[i] == want and list(got[i].indices) == sorted(got[i].indices)
+
+
+def test_repeated_rows_are_encoded_each(spark):
+    df = spark.createDataFrame([(1, "a", 1.0)] * 5 + [(1, "b", 2.0)], "id bigint, k string, x double")
+    encoder = encode.fit_encoder(df, ["k"], ["x"])
+    assert sorted(map(str, (r["features"] for r in encoder.transform(df).collect()))) == ["(3,[0,1],[1.0,1.0])"] * 5 + ["(3,[0,2],[2.0,1.0])"]
+    with pytest.raises(Exception, match="missing"):
+        encoder.transform(df.withColumn("x", F.lit(None).cast("double"))).collect()
+
+
+def test_hashed_encoding_has_no_limit_and_keeps_every_value(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 2.0), (None, "y", 3.0)], "k string, l string, n double")
     encoder = encode.fit_encoder(df, ["k", "l"], ["n"], scale=True, hashed=64)
     assert encoder.names == ("n", *(f"hashed__{i}" for i in range(64)))
