@@ -12,7 +12,7 @@ from tallyframe.functions.numeric import equal_width_bin, ratio
 from tallyframe.operators.assoc import pearson
 from tallyframe.operators.counts import most_frequent, value_totals
 from tallyframe.operators.order import Span, comparable, quantiles
-from tallyframe.operators.tables import by_magnitude, one_pass, stack_tables
+from tallyframe.operators.tables import by_magnitude, one_pass
 from tallyframe.session import small_table, stage
 
 # Decimals the numeric summary is shown with.
@@ -22,6 +22,8 @@ SUMMARY_DEFAULT_DECIMALS = 2
 LADDER = (0.9999, 0.999, 0.995, 0.99, 0.95, 0.9)
 # Rows of one range of counted values in the box report.
 BOX_ROWS = 5_000_000
+# Shares of the rows at which a threshold for the largest values is sketched, and the sketch's accuracy.
+TAILS, TAIL_ACCURACY = (0.5, 0.9, 0.99, 0.999, 0.9997), 10_000
 
 
 # ---- missing values -------------------------------------------------------------------------
@@ -246,13 +248,24 @@ def quantile_ladder(
 def largest_values(df: DataFrame, columns: Sequence[str], k: int = 20) -> DataFrame:
     """Distinct values among the ``k`` largest rows of each column (not the k largest distinct); NaN is missing.
 
-    One scan: the rank filter works before the shuffle, so that at most ``k`` rows of a column leave a task.
+    One scan sketches a value that more than ``k`` rows of a column reach but few others do, one scan counts the values from there
+    on; nothing is sorted but at most ``k`` counted values of a column. A column without such a value (few rows) is counted whole.
     """
-    numbers = {c: x.cast("double").alias(c) for c, x in comparable(df, {c: F.col(c) for c in columns}).items()}
-    flat = df.select(*numbers.values()).unpivot([], list(columns), "column", "value").where("value is not null")
-    rank = F.row_number().over(W.partitionBy("column").orderBy(F.desc("value")))
-    leaders = flat.withColumn("rank", rank).where(F.col("rank") <= k)
-    return leaders.select("column", "value").distinct().orderBy("column", F.desc("value"))
+    numbers = {c: x.cast("double") for c, x in comparable(df, {c: F.col(c) for c in columns}).items()}
+    aggs = [a for i, x in enumerate(numbers.values()) for a in (F.count(x).alias(f"n{i}"), F.percentile_approx(x, list(TAILS), TAIL_ACCURACY).alias(f"p{i}"))]
+    seen = df.agg(*aggs).first()
+    cells = []
+    for i, (c, x) in enumerate(numbers.items()):
+        n = seen[f"n{i}"]
+        # The sketch is off by one in TAIL_ACCURACY of the rows at most.
+        fine = [v for p, v in zip(TAILS, seen[f"p{i}"] or []) if n * (1 - p - 2 / TAIL_ACCURACY) > k]
+        cells += [F.lit(c), F.when(x >= F.lit(fine[-1]), x) if fine else x]
+    flat = df.select(F.stack(F.lit(len(columns)), *cells).alias("column", "value")).where("value is not null")
+    counted = flat.groupBy("column", "value").agg(F.count("*").alias("n"))
+    order = W.partitionBy("column").orderBy(F.desc("value"))
+    top = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    above = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
+    return top.withColumn("above", above).where(F.col("above") < k).select("column", "value").orderBy("column", F.desc("value"))
 
 
 # ---- distributions --------------------------------------------------------------------------
