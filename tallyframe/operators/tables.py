@@ -18,18 +18,9 @@ def one_pass(df: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-def drop_if_present(df: DataFrame, *columns: str) -> DataFrame:
-    return df.drop(*columns)
-
-
-def features_and_target(df: DataFrame, target: str) -> tuple[list[str], str]:
-    """Names on each side of the model; rows stay together so nothing can fall out of step."""
-    return [c for c in df.columns if c != target], target
-
-
-def top_rows(df: DataFrame, k: int, *order: Column) -> DataFrame:
-    """First ``k`` rows of an ordering; callers add a tie-break column to make it total."""
-    return df.orderBy(*order).limit(k)
+def features_and_target(df: DataFrame, target: str, id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The table without its target, and the target alone; ``id`` stays on both sides, as rows have no order to match them by."""
+    return df.drop(target), df.select(*([id] if id else []), target)
 
 
 def first_rows(df: DataFrame, n: int, by: str | Sequence[str]) -> DataFrame:

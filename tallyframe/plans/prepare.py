@@ -134,11 +134,6 @@ def prepare_from(df: DataFrame, train: DataFrame, spec: TableSpec, rules: Prepar
     return prepare(df, fit_prepare(train, spec, rules))
 
 
-def prepared_spec(df: DataFrame, fitted: Prepared) -> TableSpec:
-    """Column roles after preparation: every remaining label is a category, the rest numeric."""
-    return TableSpec.infer(df, id=fitted.spec.id, target=fitted.spec.target)
-
-
 def prepare_calendar(
     df: DataFrame, date: str, missing_flags: Sequence[str], presence: Mapping[str, str], strict: bool = True
 ) -> DataFrame:

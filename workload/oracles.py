@@ -435,3 +435,62 @@ c as (select count(*) filter (not is_valid) as n, count(*) filter (is_valid) as
  count(*) filter (not is_valid and is_test) as b from s)
 select model, n as rows, held_out, round(n / (2.0 * (n - b)), 6) as train_weight, round(n / (2.0 * b), 6) as test_weight,
 true as auc_in_range, true as sums_to_one from c, {_MODELS} where model <> 'Logistic Regression'""")
+add("reloaded_pipeline", f"""with {DIRTY_CTE} select model, id, true as is_same
+from dirty, {_MODELS} where {LATE} and model <> 'Random Forest'""")
+add("checked_ablation", f"select model, true as with_in_range, true as without_in_range, true as diff_agrees from {_MODELS}")
+add("checked_raw_vs_clean", "select data, true as auc_in_range from (values ('raw'), ('clean')) as t(data)")
+add("older_pipeline", f"""with {DIRTY_CTE}, s as (select *, {stratified('y', 0.25)} as is_valid from dirty),
+w as (select {len(NUMS) + 2} + """ + " + ".join(f"count(distinct coalesce({c}, 'unknown')) filter (not is_valid)" for c in CATS)
+    + """ as features, count(*) filter (not is_valid) as n, count(*) filter (is_valid) as held_out from s)
+select model, n as rows, held_out, cast(features as integer) as features, size, true as auc_agrees
+from w, (values ('Logistic Regression', 1000), ('Random Forest', 20)) as m(model, size)""")
+add("strict_calendar", f"""with {BASE_CTE} select id, y, round(price, 6) as price, round(bal, 6) as bal, lower(trim(segment)) as segment,
+lower(trim(priority)) as priority, lower(trim(nation)) as nation, cust, cast(bal is null as integer) as bal_is_missing,
+cast(month(d) as integer) as day_month, cast(isodow(d) - 1 as integer) as day_weekday from base""")
+add("features_and_target", f"with {BASE_CTE} select id, y, round(price, 6) as price, segment from base")
+_SHIFTS = "feature, type, train_missing_pct, test_missing_pct, train_mean, test_mean, train_p50, test_p50, train_p90, test_p90"
+_EMPTY = ", ".join(f"cast(null as double) as {c}" for c in _SHIFTS.split(", ")[2:])
+
+
+def shares(c: str) -> str:
+    return f"""select '{c}' as feature, 'categorical' as type, {_EMPTY}, value, round(a, 6) as train_pct, round(b, 6) as test_pct, round(b - a, 6) as diff_pct from (
+select value, n / sum(n) over () as a, m / sum(m) over () as b from (
+select coalesce({norm(c)}, 'missing') as value, count(*) filter ({EARLY}) as n, count(*) filter ({LATE}) as m from dirty group by 1))
+order by abs(b - a) desc, value limit 8"""
+
+
+add("drift_of_given_features", f"with {DIRTY_CTE} " + " union all ".join(
+    f"select '{c}' as feature, 'numeric' as type, " + ", ".join(
+        f"round({v} filter ({w}), 6) as {s}_{k}" for k, v in (
+            ("missing_pct", f"avg(cast({c} is null as integer))"), ("mean", f"avg({c})"), ("p50", q(c, 0.5)), ("p90", q(c, 0.9)))
+        for s, w in (("train", EARLY), ("test", LATE)))
+    + ", cast(null as varchar) as value, cast(null as double) as train_pct, cast(null as double) as test_pct, cast(null as double) as diff_pct from dirty"
+    for c in NUMS) + "".join(f" union all ({shares(c)})" for c in ("segment_raw", "priority_raw")))
+
+
+def first_tree(depth: int, bins_: int) -> str:
+    """The tree by plain SQL, level after level: entries above each feature's lowest bin, their sums, the best split of each node."""
+    cuts = lambda c: "list_sort(list_distinct([" + ", ".join(q(c, i / bins_) for i in range(1, bins_)) + "]))"
+    out = f"""with {BASE_CTE}, r as (select id, 0.5e0 - y as g, 0.25e0 as h, price, bal, segment, priority, nation from base),
+cuts as (select {cuts('price')} as price, {cuts('bal')} as bal from r),
+e as (select id, 0 as pos, '' as value, len([c for c in cuts.price if r.price >= c]) as bin from r, cuts
+ union all select id, 1, '', len([c for c in cuts.bal if r.bal >= c]) from r, cuts
+ union all select id, 2, segment, 1 from r union all select id, 3, priority, 1 from r union all select id, 4, nation, 1 from r),
+a0 as (select id, 0 as place from r)"""
+    for d in range(depth):
+        out += f""", n{d} as (select place, count(*) as n, sum(g) as g, sum(h) as h from a{d} join r using (id) group by 1),
+s{d} as (select place, pos, value, bin, sum(g) as g, sum(h) as h from a{d} join r using (id) join e using (id) where bin > 0 group by all),
+c{d} as (select place, pos, value, bin, sum(g) over w as gr, sum(h) over w as hr from s{d} window w as (partition by place, pos, value order by bin desc)),
+t{d} as (select c.*, (n.g - gr) * (n.g - gr) / (n.h - hr + 1) + gr * gr / (hr + 1) - n.g * n.g / (n.h + 1) as gain
+ from c{d} c join n{d} n using (place) where hr >= 1 and n.h - hr >= 1),
+b{d} as (select * from t{d} where gain > 1e-6 qualify row_number() over (partition by place order by gain desc, pos, value, bin) = 1),
+a{d + 1} as (select id, 2 * place + cast(exists (select 1 from e where e.id = a.id and e.pos = b.pos and e.value = b.value and e.bin >= b.bin) as integer) as place
+ from a{d} a join b{d} b using (place))"""
+    out += f", n{depth} as (select place, count(*) as n, sum(g) as g, sum(h) as h from a{depth} join r using (id) group by 1)"
+    names = "case pos when 0 then 'price' when 1 then 'bal' when 2 then 'ohe__segment__' || value when 3 then 'ohe__priority__' || value when 4 then 'ohe__nation__' || value end"
+    part = lambda d, b: f"""select cast({d} as integer) as depth, cast(n.place as integer) as place, n as rows, round(n.g, 6) as gradient, round(n.h, 6) as hessian,
+cast(bin as integer) as least_bin, round(gain, 6) as gain, round(-n.g / (n.h + 1), 6) as step, {names} as feature from n{d} n left join {b} using (place)"""
+    return out + " " + " union all ".join([part(d, f"b{d}") for d in range(depth)] + [part(depth, "(select * from b0 where false)")])
+
+
+add("boosting_first_tree", first_tree(3, 16))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +15,9 @@ from tallyframe.functions.missing import member_of
 from tallyframe.functions.numeric import matches
 from tallyframe.functions.text import id_to_text, normalize_label, recode, trim_lower
 from tallyframe.operators import assoc, cardinality, drift, encode, metrics, outliers, profile, rates, split, tables
-from tallyframe.operators.models import BOOSTED, FOREST, LOGISTIC, default_models, source_models
-from tallyframe.plans import adversarial, benchmark, prepare, scoring
+from tallyframe.operators.boosting import BINS, SecondOrderBoosting
+from tallyframe.operators.models import BOOSTED, FOREST, LOGISTIC, default_models, older_models, source_models
+from tallyframe.plans import adversarial, benchmark, pipeline, prepare, scoring
 from tallyframe.session import checkpoint_dir, small_table, stage
 from tallyframe.sources.files import read_csv, write_csv
 from tallyframe.spec import TableSpec
@@ -636,6 +639,47 @@ def adversarial_drift(spark, sf):
     return adversarial.drift_report(tagged, fitted)
 
 
+@register
+def strict_calendar(spark, sf):
+    """The earlier preparation over dates held as text, each of which must be one."""
+    rows = base(spark, sf).withColumn("day", F.date_format("d", "yyyy-MM-dd")).drop("d")
+    return rounded(prepare.prepare_calendar(rows, "day", ["bal"], {}, strict=True))
+
+
+@register
+def features_and_target(spark, sf):
+    """The two sides of a model's table, put together again by the id."""
+    features, target = tables.features_and_target(base(spark, sf).select("id", "y", "price", "segment"), "y", "id")
+    return rounded(features.join(target, "id"))
+
+
+@register
+def drift_of_given_features(spark, sf):
+    """The drift report of features that are given, not found by models."""
+    rows = staged(spark, sf)
+    return rounded(drift.feature_shifts(drift.tag_sources(early(rows), late(rows)), [*DIRTY_NUMS, "segment_raw", "priority_raw"]))
+
+
+def _first_tree(rows: DataFrame, depth: int):
+    encoder = encode.fit_encoder(rows, ["segment", "priority", "nation"], ["price", "bal"])
+    coded = encoder.transform(rows.withColumn("label", F.col("y").cast("double")), keep=["id", "label"], parts=True)
+    return encoder, SecondOrderBoosting(rounds=1, depth=depth, share=1.0, columns=1.0, bins=16, exact=True).grow(coded).trees[0]
+
+
+@register
+def boosting_first_tree(spark, sf):
+    """All nodes of the first second-order tree: rows, sums of gradients and hessians, split, gain and Newton step."""
+    encoder, root = _first_tree(stage(base(spark, sf), "labelled-rows"), 3)
+    found, waiting = [], [(0, 0, root)]
+    while waiting:
+        depth, at, node = waiting.pop()
+        slot, least = divmod(node.code, BINS) if node.code is not None else (None, None)
+        found.append((depth, at, node.rows, node.gradient, node.hessian, slot, least, node.gain if node.children else None, node.value(1.0)))
+        waiting += [(depth + 1, 2 * at + i, c) for i, c in enumerate(node.children)]
+    nodes = small_table(spark, found, "depth int, place int, rows long, gradient double, hessian double, slot long, least_bin int, gain double, step double")
+    return rounded(nodes.join(encoder.feature_names(spark), "slot", "left").drop("slot"))
+
+
 # What is exact about the models: rows, classes, encoded features, ids, class weights, and conditions that must hold.
 
 def _split_and_fit(rows: DataFrame, kind: str, names=None):
@@ -675,10 +719,10 @@ def checked_encoding(spark, sf):
     *_, (encoder, models) = _split_and_fit(rows, "random", (FOREST, BOOSTED))
     found = []
     for name, model in models.items():
-        weights = model.featureImportances.toArray()
-        whole = _close(weights.sum(), 1.0)
-        found += [(f, name, bool(0 <= w <= 1), whole) for f, w in zip(encoder.names, weights, strict=True)]
-    return small_table(spark, found, "feature string, model string, in_range boolean, sums_to_one boolean")
+        weights = benchmark.importance_table(spark, model, encoder)
+        whole = F.lit(_close(float(model.featureImportances.toArray().sum()), 1.0))
+        found.append(weights.select("feature", F.lit(name).alias("model"), F.col("importance").between(0, 1).alias("in_range"), whole.alias("sums_to_one")))
+    return tables.stack_tables(found)
 
 
 @register
@@ -696,11 +740,43 @@ def checked_logistic(spark, sf):
     penalty, weights = model.getRegParam(), model.coefficients.toArray()
     steep = max(abs(total["slope"]), *(abs(slopes[i] + penalty * w) for i, w in enumerate(weights)))
     return small_table(
-        spark, [(len(encoder.names), total["rows"], total["positives"], bool(steep < 1e-3))],
+        spark, [(encoder.width, total["rows"], total["positives"], bool(steep < 1e-3))],
         "features long, rows long, positives long, is_optimum boolean",
     )
 
 
+@register
+def checked_ablation(spark, sf):
+    """Each model with and without a column: both scores are shares, and their difference is that of the two."""
+    rows = model_ablation(spark, sf)
+    share = lambda c: F.coalesce(F.col(c).between(0, 1), F.lit(False))
+    agrees = F.abs(F.col("diff") - (F.col("auc_with") - F.col("auc_without"))) < 1e-12
+    return rows.select("model", share("auc_with").alias("with_in_range"), share("auc_without").alias("without_in_range"), agrees.alias("diff_agrees"))
+
+
+@register
+def checked_raw_vs_clean(spark, sf):
+    """Both versions of the table have a score, best first."""
+    return model_raw_vs_clean(spark, sf).select("data", F.coalesce(F.col("auc").between(0, 1), F.lit(False)).alias("auc_in_range"))
+
+
+@register
+def older_pipeline(spark, sf):
+    """The earlier pipeline on a split: rows, encoded width, iterations of the solver, trees, and whether each AUC is that of MLlib's evaluator."""
+    rows = staged(spark, sf, balance=True).drop("d", "date_raw")
+    train, valid = split.stratified_split(rows, "id", "y", 0.25)
+    scores, (encoder, models) = benchmark.older_benchmark(train, valid, "id", "y", older_models(forest={"trees": 20}))
+    found = []
+    a, b = benchmark.impute_plain(train, valid, id="id", target="y")
+    with benchmark.cached(encoder.transform(b.withColumn("label", F.col("y").cast("double")))) as (coded,):
+        for name, model in models.items():
+            scored = benchmark.positive_probability(model.transform(coded), "id", "label")
+            judge = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0)
+            size = model.getNumTrees if name == FOREST else model.getMaxIter()
+            found.append((name, encoder.rows, scored.count(), encoder.width, size, _close(scores[name], judge.evaluate(scored))))
+    return small_table(spark, found, "model string, rows long, held_out long, features int, size int, auc_agrees boolean")
+
+
 @register
 def checked_predictions(spark, sf):
     """One probability for each row to be scored."""
@@ -708,6 +784,22 @@ def checked_predictions(spark, sf):
     return scored.select("client_id", F.coalesce(F.col("drop_probability").between(0, 1), F.lit(False)).alias("is_probability"))
 
 
+@register
+def reloaded_pipeline(spark, sf):
+    """Raw rows scored by a pipeline of preparation, encoding and model, before it is saved and after it is loaded again."""
+    rows = staged(spark, sf, balance=True).drop("date_raw")
+    spec, found = dirty_spec(rows).with_roles(date="d"), None
+    for name in (LOGISTIC, BOOSTED):
+        fitted = pipeline.fit_pipeline(early(rows), spec, DIRTY_RULES, default_models(**SMALL)[name])
+        path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+        fitted.write().save(path)
+        before, after = (pipeline.score(m, late(rows).drop("y"), "id") for m in (fitted, PipelineModel.load(path)))
+        both = before.join(after.withColumnRenamed("probability", "again"), "id", "full")
+        both = both.select(F.lit(name).alias("model"), "id", F.coalesce(F.col("probability") == F.col("again"), F.lit(False)).alias("is_same"))
+        found = both if found is None else found.unionByName(both)
+    return found
+
+
 @register
 def checked_sources(spark, sf):
     """Rows, class weights and conditions of the models that tell two tables apart."""
