@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tallyframe.functions.missing import CSV_NULL_TOKENS, nan_to_null, tokens_to_null
 from tallyframe.operators.split import sample_n
+from tallyframe.sources.records import csv_fields
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -24,21 +25,21 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header; whole fields equal to a null token are missing.
 
-    A quoted field may hold line breaks, so that each file is read by one task (``write_csv`` writes one file for each
-    task). ``multi_line=False`` cuts large files among tasks; it is for files whose fields hold no line break.
+    A quoted field may hold line breaks. Large files are cut among tasks all the same: see :mod:`tallyframe.sources.records`.
+    ``multi_line=False`` saves the pass that needs; it is for files whose fields hold no line break.
 
     With a schema the file is scanned once, when used. Without one, types are found by one
     aggregation over the text: a column is long, double or boolean if every present field reads
     as such, else string.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if wanted is not None:
         # Fields arrive as text so that tokens can be recognised before they are typed.
         text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields])
-        raw = reader.schema(text).option("enforceSchema", False).csv(path)
+        raw = csv_fields(spark, path, text) if multi_line else reader.schema(text).option("enforceSchema", False).csv(path)
         return _typed(raw, {f.name: f.dataType.simpleString() for f in wanted.fields}, null_tokens, strict=True)
-    raw = reader.csv(path)
+    raw = csv_fields(spark, path) if multi_line else reader.csv(path)
     return _typed(raw, infer_types(raw, null_tokens), null_tokens, strict=False)
 
 

@@ -1,9 +1,13 @@
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.functions.missing import CSV_NULL_TOKENS
 from tallyframe.operators.drift import tag_sources
 from tallyframe.session import rows_up_to, small_table, stage, staging
+from tallyframe.sources.records import csv_fields, csv_records
 from tallyframe.sources.files import read_csv, read_parquet, sample_csv, write_csv, write_parquet
 
 
@@ -97,3 +101,30 @@ def test_staged_tables_live_as_long_as_their_block(spark):
         places = [folder(stage(spark.range(3), "block"))]
         raise RuntimeError
     assert not places[0].exists()
+
+
+@pytest.mark.parametrize("piece", ["40", "150", "4000"])
+def test_quoted_line_breaks_in_files_cut_into_ranges(spark, tmp_path, piece):
+    """Ranges that begin and end inside fields, or lie in one as a whole: the rows are those of a reader that takes each file whole."""
+    rnd = random.Random(int(piece))
+    some = ["", "x", "a,b", 'say "hi"', '""', "one\ntwo", "\n\n", "long " * 60, 'q"\n"q,\n', "é\nü", "\n".join(["line"] * 40)]
+    for name in ("a", "b", "c"):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as file:
+            out = csv.writer(file, lineterminator="\n")
+            out.writerow(["id", "t", "other name"])
+            for i in range(60 if name != "c" else 0):
+                out.writerow([f"{name}{i}", rnd.choice(some), rnd.choice(some)])
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", piece)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        whole = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(str(tmp_path))
+        got = csv_fields(spark, str(tmp_path))
+        assert got.columns == whole.columns == ["id", "t", "other name"]
+        rows = sorted(map(tuple, whole.collect()), key=str)
+        assert len(rows) == 120 and sorted(map(tuple, got.collect()), key=str) == rows
+        assert piece == "4000" or csv_records(spark, str(tmp_path)).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
