@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.operators.order import order_statistics, spans
-from tallyframe.session import rows_up_to, small_table
+from tallyframe.session import rows_up_to, small_table, stage
 
 # Digest digits per narrowing step: 16**3 = 4,096 groups per class, so map-side counts stay small.
 _STEP = 3
@@ -76,7 +76,8 @@ def _at(keyed: DataFrame, holder: DataFrame, digits: int, *keep: str) -> DataFra
 
 
 def _frozen(df: DataFrame) -> tuple[DataFrame, bool]:
-    """Fitted class table as literal rows if it is proven small, else the lazy table."""
+    """Fitted class table as literal rows if it is proven small, else written, so that no later step works it out again."""
+    df = stage(df, "split-classes")
     rows = rows_up_to(df, _CLASS_LIMIT)
     if rows is None:
         return df, False
