@@ -299,3 +299,41 @@ def test_shift_of_several_features_equals_single_reports(spark):
     key = lambda r: sorted((k, str(v)) for k, v in r.items() if v is not None)
     assert sorted(map(key, pairs(several))) == sorted(key(r) for df in singles for r in pairs(df))
     assert several.where("feature = 'm' and value = 'missing'").count() == 1
+
+
+def test_correlations_of_blocks_are_those_of_pandas(spark):
+    """Missing values, a constant column, a constant on the rows of one pair, far centres, and many tasks with different first rows."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 4))
+    pdf = pd.DataFrame({"a": x[:, 0] + 1e6, "b": x[:, 0] * 3 + x[:, 1], "c": x[:, 2] ** 3, "k": 7.25, "g": np.arange(3000) * 1e3 + x[:, 3]})
+    pdf.loc[::3, "b"] = np.nan
+    pdf.loc[1::5, "c"] = np.nan
+    pdf["h"] = np.where(pdf["b"].isna(), x[:, 1], 1234.5678)  # constant wherever b is present
+    pdf["e"] = np.nan
+    df = spark.createDataFrame(pdf).orderBy("g").repartition(5)
+    want = pdf.corr()
+    want.loc["h", "b"] = want.loc["b", "h"] = np.nan
+    for frame in (df, df.coalesce(1)):
+        got = {r["column"]: r.asDict() for r in assoc.corr_matrix(frame, list(pdf.columns)).collect()}
+        for a in pdf.columns:
+            for b in pdf.columns:
+                assert got[a][b] == (None if np.isnan(want.loc[a, b]) else pytest.approx(want.loc[a, b], abs=1e-9)), (a, b)
+    upper = assoc.corr_pairs(df, ["a", "b", "c"], threshold=0.5).collect()
+    assert [(r["feature_1"], r["feature_2"]) for r in upper] == [("a", "b")]
+    assert [tuple(r) for r in assoc.corr_pairs(df.limit(0), ["a", "b"]).collect()] == [("a", "b", None)]
+
+
+def test_the_plan_of_correlations_does_not_grow_with_the_pairs(spark):
+    wide = spark.range(50).select(*[(F.col("id") * (k % 7) + k % 3 * F.rand(k)).alias(f"x{k}") for k in range(120)])
+    assert assoc.corr_pairs(wide, wide.columns).count() == 120 * 119 // 2
+
+
+@pytest.mark.parametrize("hot", [0, 3, 4000])
+def test_largest_values_of_many_rows(spark, hot):
+    """Distinct values among the 20 largest rows, also where one value stands on more rows than are wanted."""
+    rng = np.random.default_rng(hot)
+    x = np.concatenate([rng.integers(0, 9000, 9000).astype(float), np.full(hot, 8995.0), [np.nan] * 50])
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "few": [1.0] * 5 + [np.nan] * (len(x) - 5)}))
+    want = sorted(set(np.sort(x[~np.isnan(x)])[::-1][:20].tolist()), reverse=True)
+    got = profile.largest_values(df, ["x", "few"]).collect()
+    assert [r["value"] for r in got if r["column"] == "x"] == want and [r["value"] for r in got if r["column"] == "few"] == [1.0]
