@@ -10,14 +10,16 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyframe.operators.encode import FEATURES, KEY, NUMBERS, SLOTS
@@ -28,6 +30,10 @@ from tallyframe.session import checkpoint_dir, stage
 CUT = 16
 #: A feature and a bin as one number; a bin is less than this.
 BINS = 256
+#: Rows of a part, and sums that a task holds before it adds them up.
+PART_ROWS, HELD = 100_000, 2_000_000
+#: Bits of a feature and bin below the node in a key.
+_NODE = 44
 _DRAW = 1_000_000
 NODES = (
     "treeID int, nodeData struct<id:int,prediction:double,impurity:double,impurityStats:array<double>,rawCount:bigint,gain:double,leftChild:int,"
@@ -116,29 +122,29 @@ class SecondOrderBoosting:
         return to_mllib(rows.sparkSession, self.grow(rows), self.rate, self.penalty, self.label)
 
     def grow(self, rows: DataFrame) -> Grown:
-        """The trees. For each level of a tree one grouped sum over (node, feature, bin), combined before the shuffle.
+        """The trees. For each level of a tree one grouped sum over (node, feature, bin), combined in each task before the shuffle.
 
         Only features that a row has are summed; the lowest bin of a number, and rows without a category, are the node's
-        sum less theirs. The best split of each node is found by a running sum over the bins of each feature where the sums lie,
-        so that the driver receives one row for each node, whatever the number of features.
+        sum less theirs. All sums of a feature meet in one task, which finds its best split of each node by running sums over the bins, so that
+        the driver receives one row for each node and task, whatever the number of features.
         """
         first = rows.select(FEATURES, F.size(NUMBERS).alias("numbers")).first()
         if first is None:
             raise ValueError("no rows to fit on")
         width, numbers = first[FEATURES].size, first["numbers"]
         cuts = self._cuts(rows, numbers)
-        state = self._binned(rows, cuts).withColumn("m", F.lit(0.0)).persist(StorageLevel.MEMORY_AND_DISK)
+        binned = self._binned(rows, cuts).withColumn("m", F.lit(0.0)).coalesce(rows.count() // PART_ROWS + 1)
+        state, last = binned.persist(StorageLevel.MEMORY_AND_DISK), None
         trees: list[Node] = []
         for tree in range(self.rounds):
-            root = self._grow_tree(state, tree, numbers)
-            trees.append(root)
-            if tree + 1 == self.rounds:
-                break
+            root = self._root(state, tree)
+            if last is not None:
+                last.unpersist()  # the root's sums have read the rows made of it
+            trees.append(self._grown(state, tree, root, numbers))
             moved = state.withColumn("m", F.expr(f"m + ({_step(root, numbers, self.rate, self.penalty)})"))
-            moved = (stage(moved, "boosting-rows") if len(trees) % CUT == 0 else moved).persist(StorageLevel.MEMORY_AND_DISK)
-            moved.count()  # held before what it is made of is let go
-            state.unpersist()
-            state = moved
+            moved = stage(moved, "boosting-rows") if len(trees) % CUT == 0 and len(trees) < self.rounds else moved
+            last, state = state, moved.persist(StorageLevel.MEMORY_AND_DISK)
+        last.unpersist()
         state.unpersist()
         return Grown(tuple(trees), cuts, width)
 
@@ -163,39 +169,102 @@ class SecondOrderBoosting:
         entries = F.concat(F.array_compact(F.array(*above).cast("array<bigint>")), has)
         return raw.select("key", "y", "w", F.array(*bins).cast("array<int>").alias("bins"), entries.alias("entries"))
 
-    def _grow_tree(self, state: DataFrame, tree: int, numbers: int) -> Node:
+    def _sums(self, state: DataFrame, tree: int) -> DataFrame:
+        """Gradient and hessian of the rows that the tree draws."""
         drawn = state if self.share >= 1 else state.where(F.expr(f"pmod(xxhash64(key, {self.seed}, {tree}), {_DRAW}) < {self.share * _DRAW!r}D"))
         chance = "1D / (1D + exp(-m))"
-        sums = drawn.selectExpr(f"w * ({chance} - y) as g", f"w * ({chance}) * (1D - {chance}) as h", "bins", "entries")
-        total = sums.agg(F.sum("g"), F.sum("h"), F.count("*")).first()
-        root = Node(total[0] or 0.0, total[1] or 0.0, total[2])
+        return drawn.selectExpr(f"w * ({chance} - y) as g", f"w * ({chance}) * (1D - {chance}) as h", "bins", "entries")
+
+    def _root(self, state: DataFrame, tree: int) -> Node:
+        total = self._sums(state, tree).agg(F.sum("g"), F.sum("h"), F.count("*")).first()
+        return Node(total[0] or 0.0, total[1] or 0.0, total[2])
+
+    def _grown(self, state: DataFrame, tree: int, root: Node, numbers: int) -> Node:
+        sums = self._sums(state, tree)
         for depth in range(self.depth):
             nodes = _at_depth(root, depth)
             if not any(n is not None and n.hessian >= 2 * self.least for n in nodes):
                 break
-            for row in self._best(sums, _place(root, depth, numbers), nodes, tree):
-                node, best = nodes[row["node"]], row["best"]
-                node.code, node.gain = -best["k"], best["gain"]
-                right = Node(best["gr"], best["hr"], best["nr"])
+            for place, (gain, code, g, h, n) in self._best(sums, _place(root, depth, numbers), nodes, tree, numbers).items():
+                node, right = nodes[place], Node(g, h, n)
+                node.code, node.gain = code, gain
                 node.children = [Node(node.gradient - right.gradient, node.hessian - right.hessian, node.rows - right.rows), right]
         return root
 
-    def _best(self, sums: DataFrame, place: str, nodes: Sequence[Node | None], tree: int) -> list:
-        """For each node its best split; of equal gains the lowest feature and bin."""
-        flat = sums.selectExpr(f"{place} as node", "g", "h", "entries").where("node is not null").selectExpr("node", "g", "h", "explode(entries) as code")
-        held = flat.groupBy("node", "code").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n"))
-        held = held.withColumn("feature", F.expr(f"code div {BINS}"))
+    def _best(self, sums: DataFrame, place: str, nodes: Sequence[Node | None], tree: int, numbers: int) -> dict[int, tuple]:
+        """For each node its best split (gain, code, sums and rows of the right side); of equal gains the lowest feature and bin."""
+        flat = sums.selectExpr(f"{place} as node", "g", "h", "entries").where("node is not null")
+        held = flat.mapInArrow(_histograms, "node int, feature long, code long, g double, h double, n long")
         if self.columns < 1:
             held = held.where(F.expr(f"pmod(xxhash64(feature, {self.seed}, {tree}, 'column'), {_DRAW}) < {self.columns * _DRAW!r}D"))
-        upward = W.partitionBy("node", "feature").orderBy(F.desc("code")).rowsBetween(W.unboundedPreceding, 0)
-        right = held.select("node", "code", *[F.sum(c).over(upward).alias(f"{c}r") for c in ("g", "h", "n")])
-        known = lambda name: "array(" + ", ".join("0D" if n is None else f"{getattr(n, name)!r}D" for n in nodes) + ")[node]"
-        part = lambda g, h: f"({g}) * ({g}) / ({h} + {self.penalty!r}D)"
-        split = right.selectExpr("node", "code", "gr", "hr", "nr", f"{known('gradient')} as gn", f"{known('hessian')} as hn")
-        split = split.where(F.expr(f"hr >= {self.least!r}D and hn - hr >= {self.least!r}D"))
-        gain = f"{part('gn - gr', 'hn - hr')} + {part('gr', 'hr')} - {part('gn', 'hn')} as gain"
-        split = split.selectExpr("node", gain, "-code as k", "gr", "hr", "nr").where("gain > 1e-6D")
-        return split.groupBy("node").agg(F.max(F.struct("gain", "k", "gr", "hr", "nr")).alias("best")).collect()
+        known = np.array([(0.0, 0.0) if n is None else (n.gradient, n.hessian) for n in nodes])
+        penalty, least = self.penalty, self.least
+
+        def splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _splits(batches, known, numbers, penalty, least)
+
+        best: dict[int, tuple] = {}
+        # One row for each node and task.
+        for row in held.repartition("node", "feature").mapInArrow(splits, "node int, gain double, code long, g double, h double, n long").collect():
+            if row["node"] not in best or (-row["gain"], row["code"]) < (-best[row["node"]][0], best[row["node"]][1]):
+                best[row["node"]] = tuple(row)[1:]
+        return best
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Keys in order, with the sums of g, h and n of each."""
+    keys, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return keys, *(np.bincount(at, np.concatenate([p[k] for p in parts]), len(keys)) for k in (1, 2, 3))
+
+
+def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the rows (node, g, h, entries) of one task by node and entry."""
+    parts: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node, g, h = (batch.column(i).to_numpy() for i in range(3))
+        times = pc.list_value_length(batch.column(3)).to_numpy()
+        keys = np.repeat(node.astype(np.int64) << _NODE, times) | batch.column(3).flatten().to_numpy()
+        parts.append(_summed([(keys, np.repeat(g, times), np.repeat(h, times), np.ones(len(keys)))]))
+        if sum(len(p[0]) for p in parts) > HELD:
+            parts = [_summed(parts)]
+    if parts:
+        keys, g, h, n = _summed(parts)
+        code = keys & ((1 << _NODE) - 1)
+        for a in range(0, len(keys), 100_000):
+            part = slice(a, a + 100_000)
+            columns = [(keys[part] >> _NODE).astype(np.int32), code[part] // BINS, code[part], g[part], h[part], n[part].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "feature", "code", "g", "h", "n"])
+
+
+def _splits(batches: Iterator[pa.RecordBatch], known: np.ndarray, numbers: int, penalty: float, least: float) -> Iterator[pa.RecordBatch]:
+    """The best split of each node among the features of one task; ``known`` holds the sums of each node."""
+    parts = []
+    for batch in batches:
+        node, code, g, h, n = (batch.column(i).to_numpy() for i in (0, 2, 3, 4, 5))
+        if len(node):
+            parts.append((node.astype(np.int64) << _NODE | code, g, h, n))
+    if not parts:
+        return
+    keys, *sums = _summed(parts)
+    node, code = keys >> _NODE, keys & ((1 << _NODE) - 1)
+    # The right side of a split at a bin: this bin and those above it. A category has one bin.
+    many = np.flatnonzero(code < numbers * BINS)
+    for group in np.split(many, np.flatnonzero(np.diff(keys[many] // BINS)) + 1) if len(many) else []:
+        for x in sums:
+            x[group] = np.cumsum(x[group][::-1])[::-1]
+    g, h, n = sums
+    left_g, left_h = known[node, 0] - g, known[node, 1] - h
+    fine = (h >= least) & (left_h >= least)
+    with np.errstate(all="ignore"):
+        gain = left_g * left_g / (left_h + penalty) + g * g / (h + penalty) - known[node, 0] * known[node, 0] / (known[node, 1] + penalty)
+    order = np.lexsort((code, -gain))
+    order = order[(fine & (gain > 1e-6))[order]]
+    _, first = np.unique(node[order], return_index=True)
+    at = order[first]
+    columns = [node[at].astype(np.int32), gain[at], code[at], g[at], h[at], n[at].astype(np.int64)]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "gain", "code", "g", "h", "n"])
 
 
 def _numbered(node: Node, tree: int, grown: Grown, rate: float, penalty: float, rows: list[tuple]) -> int:
