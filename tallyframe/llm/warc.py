@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Responses at most whose payload is copied for many revisits.
+HOT = 10_000
 #: Query parameters that do not name a page.
 TRACKING = "utm_[a-z]+|ref|fbclid|gclid|sessionid"
 #: Headers that a 304 response may update (RFC 9110 and 9111); all others stay as the full response had them.
@@ -45,7 +47,8 @@ def resolve_revisits(records: DataFrame, rows_in_bucket: int = 100_000, permitte
     The as-of join is split by time: each URL's records are ordered inside time buckets of about ``rows_in_bucket`` rows of the
     whole table, and each bucket takes over the last response before it from one row per URL and bucket, so a URL with a third
     of all rows is spread over many tasks. Payloads are joined at the end by URL, time and record, and take no part in any sort; a
-    payload that more than ``answers`` revisits refer to is copied for each so many of them, so that a hot response is spread too.
+    payload that more than ``answers`` revisits (and a ten-thousandth of all records) refer to is copied for each so many of them, so that
+    a hot response is spread too.
     """
     lowered = F.map_from_entries(F.array_distinct(F.transform(F.map_entries(F.coalesce("headers", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))))
     slim = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), "at", "kind", lowered.alias("headers"))
@@ -64,12 +67,15 @@ def resolve_revisits(records: DataFrame, rows_in_bucket: int = 100_000, permitte
     ).withColumn("refers_to", F.col("hit.record_id"))
     hit = ["url_key", "refers_to", "then"]
     asked = asked.withColumn("then", F.col("hit.at")).drop("hit")
-    parts = asked.where("refers_to is not null").groupBy(*hit).agg(F.ceil(F.count("*") / answers).alias("parts")).where("parts > 1")
+    # Hot responses are fewer than HOT, so that they are broadcast and payloads shuffled once.
+    parts = asked.where("refers_to is not null").groupBy(*hit).agg(F.ceil(F.count("*") / max(answers, count // HOT)).alias("parts"))
+    parts = F.broadcast(parts.where("parts > 1"))
     asked = asked.join(parts, hit, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("record_id", "at"), F.col("parts")), F.lit(0))).drop("parts")
     sources = records.where("kind = 'response'").select(
         canonical_url(F.col("url")).alias("url_key"), F.col("record_id").alias("refers_to"), F.col("at").alias("then"), "payload", lowered.alias("theirs")
-    ).dropDuplicates(hit)
-    sources = sources.join(parts, hit, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    ).join(parts, hit, "left")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))
+    sources = sources.withColumn("part", each).drop("parts").dropDuplicates([*hit, "part"])
     joined = asked.join(sources, [*hit, "part"], "left")
     same = lambda name: (F.col("own")[name] == F.col("theirs")[name])
     outcome = (
