@@ -26,8 +26,9 @@ from tallyframe.operators.encode import FEATURES, KEY, NUMBERS, SLOTS
 from tallyframe.operators.order import quantiles
 from tallyframe.session import checkpoint_dir, stage
 
-#: Trees after which the rows with their margins are written, so that plans stay short and a lost executor costs few trees.
-CUT = 16
+#: Trees after which the margins of the kept rows are brought up to date, and after which these rows are written, so that plans stay short
+#: and a lost executor costs few trees.
+FOLD, CUT = 4, 16
 #: A feature and a bin as one number; a bin is less than this.
 BINS = 256
 #: Rows of a part, and sums that a task holds before it adds them up.
@@ -134,18 +135,22 @@ class SecondOrderBoosting:
         width, numbers = first[FEATURES].size, first["numbers"]
         cuts = self._cuts(rows, numbers)
         binned = self._binned(rows, cuts).withColumn("m", F.lit(0.0)).coalesce(rows.count() // PART_ROWS + 1)
-        state, last = binned.persist(StorageLevel.MEMORY_AND_DISK), None
+        base, last = binned.persist(StorageLevel.MEMORY_AND_DISK), None
         trees: list[Node] = []
+        folded = 0  # trees that the margins of the kept rows hold; later ones are added as the rows are read
         for tree in range(self.rounds):
+            steps = [f"({_step(t, numbers, self.rate, self.penalty)})" for t in trees[folded:]]
+            state = base.withColumn("m", F.expr(" + ".join(["m", *steps])))
+            if len(steps) == FOLD:
+                last, folded = base, tree
+                base = (stage(state, "boosting-rows") if tree % CUT == 0 else state).persist(StorageLevel.MEMORY_AND_DISK)
+                state = base
             root = self._root(state, tree)
             if last is not None:
                 last.unpersist()  # the root's sums have read the rows made of it
+                last = None
             trees.append(self._grown(state, tree, root, numbers))
-            moved = state.withColumn("m", F.expr(f"m + ({_step(root, numbers, self.rate, self.penalty)})"))
-            moved = stage(moved, "boosting-rows") if len(trees) % CUT == 0 and len(trees) < self.rounds else moved
-            last, state = state, moved.persist(StorageLevel.MEMORY_AND_DISK)
-        last.unpersist()
-        state.unpersist()
+        base.unpersist()
         return Grown(tuple(trees), cuts, width)
 
     def _cuts(self, rows: DataFrame, numbers: int) -> tuple[tuple[float, ...], ...]:
