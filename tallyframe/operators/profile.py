@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.numeric import equal_width_bin, ratio
 from tallyframe.operators.assoc import pearson
 from tallyframe.operators.counts import most_frequent, value_totals
+from tallyframe.operators.heavy import possible_leaders
 from tallyframe.operators.order import Span, comparable, quantiles
 from tallyframe.operators.tables import by_magnitude, one_pass
 from tallyframe.session import small_table, stage
@@ -116,11 +117,15 @@ def cat_summary(df: DataFrame, columns: Sequence[str], top: int = 8, normalize:
     )
 
 
-def top_counts_by_target(df: DataFrame, column: str, target: str, k: int = 20) -> DataFrame:
-    """Counts of the ``k`` most frequent values, split by target (one scan; k rows are broadcast)."""
+def top_counts_by_target(df: DataFrame, column: str, target: str, k: int = 20, many_values: bool = False) -> DataFrame:
+    """Counts of the ``k`` most frequent values, split by target (one scan; k rows are broadcast).
+
+    ``many_values`` leaves out values that a sketch proves to be too rare before they are shuffled (``operators/heavy``).
+    """
+    present = df.where(F.col(column).isNotNull())
+    present = possible_leaders(present.select(column, target), F.col(column), k) if many_values else present
     split = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"), F.col(target).alias("target"))
+        present.groupBy(F.col(column).alias("value"), F.col(target).alias("target"))
         .agg(F.count("*").alias("count"))
     )
     leaders = split.groupBy("value").agg(F.sum("count").alias("total")).orderBy(F.desc("total"), "value").limit(k)

@@ -2,7 +2,8 @@
 
 Every report is one grouped aggregation with map-side partial sums: a value that holds a third
 of the table reaches the shuffle as one row per task. NULL is a category unless a function says
-it drops it. Orderings end in the group key, so results are the same on every run.
+it drops it. Orderings end in the group key, so results are the same on every run. Reports on the most frequent values take ``many_values``:
+the same rows for more passes, but values that a sketch proves to be too rare are never shuffled (``operators/heavy``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from tallyframe.functions.dates import parse_date, period_start
 from tallyframe.functions.numeric import edge_bin, ratio
 from tallyframe.functions.text import normalize_label
 from tallyframe.operators.counts import as_label, most_frequent, rate, value_totals
+from tallyframe.operators.heavy import possible_leaders
 from tallyframe.operators.order import comparable, quantiles
 
 
@@ -29,15 +31,20 @@ def _by_value(df: DataFrame, column: str, target: str, dropna: bool = False) ->
     return rows.groupBy(F.col(column).alias("value")).agg(F.avg(target).alias("rate"), F.count("*").alias("count"))
 
 
-def rate_by_category(df: DataFrame, column: str, target: str, min_count: int = 50, top_n: int = 10) -> DataFrame:
+def rate_by_category(
+    df: DataFrame, column: str, target: str, min_count: int = 50, top_n: int = 10, many_values: bool = False
+) -> DataFrame:
     """Rate of the ``top_n`` most frequent values with at least ``min_count`` rows, lowest rate first."""
+    df = possible_leaders(df.select(column, target), F.col(column), top_n, min_count) if many_values else df
     leaders = _by_value(df, column, target).where(F.col("count") >= min_count)
     return leaders.orderBy(F.desc("count"), "value").limit(top_n).orderBy("rate", "value")
 
 
-def rate_by_id(df: DataFrame, column: str, target: str, min_count: int = 100, top_n: int = 15) -> DataFrame:
+def rate_by_id(
+    df: DataFrame, column: str, target: str, min_count: int = 100, top_n: int = 15, many_values: bool = False
+) -> DataFrame:
     """The same for identifier columns, with thresholds that suit many values."""
-    return rate_by_category(df, column, target, min_count=min_count, top_n=top_n)
+    return rate_by_category(df, column, target, min_count=min_count, top_n=top_n, many_values=many_values)
 
 
 def rate_nonnull(df: DataFrame, column: str, target: str) -> DataFrame:
@@ -53,8 +60,10 @@ def top_category_rates(
     top_n: int = 8,
     sort_by: str = "rate",
     ascending: bool = False,
+    many_values: bool = False,
 ) -> DataFrame:
     """Most frequent values, then sorted by ``rate`` or ``count`` either way."""
+    df = possible_leaders(df.select(column, target), F.col(column), top_n, min_count) if many_values else df
     leaders = _by_value(df, column, target).where(F.col("count") >= min_count)
     key = F.col(sort_by)
     return (
@@ -83,10 +92,17 @@ def freq_and_rate(df: DataFrame, column: str, target: str, min_count: int = 20,
 
 
 def cat_rate_table(
-    df: DataFrame, columns: Sequence[str], target: str, min_count: int = 20, top_n: int = 5, normalize: bool = False
+    df: DataFrame,
+    columns: Sequence[str],
+    target: str,
+    min_count: int = 20,
+    top_n: int = 5,
+    normalize: bool = False,
+    many_values: bool = False,
 ) -> DataFrame:
     """One line per column: its most frequent values as ``value: rate%=.., count=..`` cells."""
-    counted = value_totals(df, columns, target, normalize=normalize).where(F.col("n") >= min_count)
+    counted = value_totals(df, columns, target, normalize=normalize, leaders=(top_n, min_count) if many_values else None)
+    counted = counted.where(F.col("n") >= min_count)
     cell = F.format_string(
         "%s: rate%%=%.1f, count=%d", F.coalesce(F.col("value"), F.lit("nan")), F.round(rate() * 100, 1), F.col("n")
     )

@@ -94,6 +94,16 @@ c as (select "column", rk, printf('%s: rate%%=%.1f, count=%d', coalesce(value, '
       from k where rk <= 5)
 select "column", """ + ", ".join(f"max(cell) filter (rk = {i}) as top_{i}" for i in range(1, 6))
     + " from c group by 1")
+add("leading_ids", f"with {LINES} {leaders('lines', 'l_partkey', 5, 15)}")
+add("leading_ids_table", f"with {LINES}, f as (" + " union all ".join(
+    f"select '{c}' as \"column\", cast({c} as varchar) as value, y from lines" for c in ("l_partkey", "l_suppkey", "l_orderkey"))
+    + """), g as (select "column", value, count(*) as n, avg(y) as r from f group by 1, 2 having count(*) >= 2),
+k as (select *, row_number() over (partition by "column" order by n desc, value nulls last) as rk from g),
+c as (select "column", rk, printf('%s: rate%%=%.1f, count=%d', coalesce(value, 'nan'), round(r * 100, 1), n) as cell from k where rk <= 5)
+select "column", """ + ", ".join(f"max(cell) filter (rk = {i}) as top_{i}" for i in range(1, 6)) + " from c group by 1")
+add("leading_ids_by_target", f"""with {LINES}, l as (select l_suppkey as value, count(*) as total from lines
+where l_suppkey is not null group by 1 order by total desc, value limit 20)
+select value, l_returnflag as target, count(*) as count, total from lines join l on l_suppkey = value group by value, l_returnflag, total""")
 add("presence_rate", f"""with {DIRTY_CTE} select company_id is not null as present, count(*) as count,
 round(avg(y), 6) as rate from dirty group by 1""")
 add("presence_describe", f"""with {DIRTY_CTE} select company_id is null as is_missing, count(y) as count,

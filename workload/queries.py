@@ -144,6 +144,21 @@ def presence_rate(spark, sf):
     return rounded(rates.presence_rate(dirty(spark, sf), "company_id", "y"))
 
 
+@register
+def leading_ids(spark, sf):
+    return rounded(rates.rate_by_id(lineitem(spark, sf), "l_partkey", "y", min_count=5, many_values=True))
+
+
+@register
+def leading_ids_table(spark, sf):
+    return rates.cat_rate_table(lineitem(spark, sf), ["l_partkey", "l_suppkey", "l_orderkey"], "y", many_values=True, min_count=2)
+
+
+@register
+def leading_ids_by_target(spark, sf):
+    return profile.top_counts_by_target(lineitem(spark, sf), "l_suppkey", "l_returnflag", many_values=True)
+
+
 @register
 def presence_describe(spark, sf):
     return rounded(rates.presence_describe(staged(spark, sf, "company_id", "y"), "company_id", "y"))
