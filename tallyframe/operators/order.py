@@ -90,8 +90,12 @@ def order_statistics(
     known: Mapping[str, Span] | None = None,
     accuracy: int = ACCURACY,
     finish_rows: int = FINISH_ROWS,
+    bounds: Mapping[str, Sequence[float]] | None = None,
 ) -> dict[tuple[str, int], Ranked]:
-    """Exact values at 0-based ``ranks`` of each key, missing values left out."""
+    """Exact values at 0-based ``ranks`` of each key, missing values left out.
+
+    ``bounds`` holds values known to lie near the ranks (of a stored sketch), which save the first pass of the search.
+    """
     known = known or spans(df, keys)
     keys = comparable(df, keys)
     todo = [
@@ -107,7 +111,8 @@ def order_statistics(
         wide = [p for p in todo if p.rows > finish_rows and not p.stuck]
         if not wide:
             break
-        todo = [p for p in todo if p not in wide] + _narrow(df, keys, wide, accuracy)
+        todo = [p for p in todo if p not in wide] + _narrow(df, keys, wide, accuracy, bounds)
+        bounds = None
     for part in _single_values(df, keys, todo) if todo else []:
         found.update({(part.key, r): Ranked(part.lo, part.below, part.rows) for r in part.ranks})
     return found
@@ -183,8 +188,17 @@ def _next(parts: list[_Interval], rows: list[Row]) -> list[_Interval]:
     return out
 
 
-def _narrow(df: DataFrame, keys: Mapping[str, Column], parts: list[_Interval], accuracy: int) -> list[_Interval]:
-    edges = _edges(df, keys, parts, accuracy)
+def _narrow(
+    df: DataFrame,
+    keys: Mapping[str, Column],
+    parts: list[_Interval],
+    accuracy: int,
+    bounds: Mapping[str, Sequence[float]] | None = None,
+) -> list[_Interval]:
+    if bounds is None:
+        edges = _edges(df, keys, parts, accuracy)
+    else:
+        edges = [sorted({min(max(v, p.lo), p.hi) for v in bounds[p.key]}) for p in parts]
     slots = 2 * max(map(len, edges)) + 1
 
     def code(i: int, part: _Interval, x: Column) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.missing import CSV_NULL_TOKENS, nan_to_null, tokens_to_null
 from tallyframe.operators.split import sample_n
+from tallyframe.session import small_table
 from tallyframe.sources.records import csv_fields
 
 
@@ -92,3 +95,25 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
 def sample_csv(spark: SparkSession, source: str, target: str, id: str, n: int = 1000, seed: int | str = 42) -> None:
     """Write an exact-size reproducible sample of a CSV table as CSV."""
     write_csv(sample_n(read_csv(spark, source), id, n, seed), target)
+
+
+def write_checked(
+    df: DataFrame, path: str, rules: Mapping[str, Column] | None = None, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Write ``df`` as parquet and report on the rows written: (check, item, found), without a scan of their own.
+
+    ``found`` is the number of rows, of columns, of present values of each column (``non_null``) and of rows that break each rule
+    (``violations``; a rule that is NULL for a row is not broken). The counts are observed in the tasks that write, where a task that is run
+    again counts once, and only their sums reach the driver. An empty table reports zeros.
+    """
+    rules = rules or {}
+    counts = [F.count(F.lit(1)).alias("rows")]
+    counts += [F.count(df[f"`{c}`"]).alias(f"non_null {i}") for i, c in enumerate(df.columns)]
+    counts += [F.count_if(F.coalesce(rule, F.lit(False))).alias(f"violations {i}") for i, rule in enumerate(rules.values())]
+    seen = Observation()
+    write_parquet(df.observe(seen, *counts), path, mode, partition_by)
+    found = seen.get
+    report = [("shape", "rows", found["rows"]), ("shape", "columns", len(df.columns))]
+    report += [("non_null", c, found[f"non_null {i}"]) for i, c in enumerate(df.columns)]
+    report += [("violations", name, found[f"violations {i}"]) for i, name in enumerate(rules)]
+    return small_table(df.sparkSession, report, "check string, item string, found bigint")

@@ -8,7 +8,7 @@ from tallyframe.functions.missing import CSV_NULL_TOKENS
 from tallyframe.operators.drift import tag_sources
 from tallyframe.session import rows_up_to, small_table, stage, staging
 from tallyframe.sources.records import csv_fields, csv_records
-from tallyframe.sources.files import read_csv, read_parquet, sample_csv, write_csv, write_parquet
+from tallyframe.sources.files import read_csv, read_parquet, sample_csv, write_checked, write_csv, write_parquet
 
 
 def write_text(path, text):
@@ -128,3 +128,17 @@ def test_quoted_line_breaks_in_files_cut_into_ranges(spark, tmp_path, piece):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", cost)
+
+
+@pytest.mark.parametrize("rows", [400, 0])
+def test_checks_while_writing(spark, tmp_path, rows):
+    df = spark.range(400).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 7).alias("a.b"), F.lit(None).cast("int").alias("none")).where(F.col("id") < rows)
+    rules = {"a over 4": F.col("`a.b`") > 4, "no id": F.col("id").isNull()}
+    for i, by in enumerate(((), ("none",))):
+        report = write_checked(df.repartition(5), str(tmp_path / f"out{i}"), rules, partition_by=by)
+        want = [v for v in range(rows) if v % 4]
+        assert [tuple(r) for r in report.collect()] == [
+            ("shape", "rows", rows), ("shape", "columns", 3), ("non_null", "id", rows), ("non_null", "a.b", len(want)), ("non_null", "none", 0),
+            ("violations", "a over 4", sum(v % 7 > 4 for v in want)), ("violations", "no id", 0),
+        ]
+        assert spark.read.schema(df.schema).parquet(str(tmp_path / f"out{i}")).count() == rows

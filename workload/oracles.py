@@ -504,3 +504,26 @@ cast(bin as integer) as least_bin, round(gain, 6) as gain, round(-n.g / (n.h + 1
 
 
 add("boosting_first_tree", first_tree(3, 16))
+
+_WRITTEN = ("id", "price", "cost", "hours", "segment_raw", "agent_id")
+add("checked_write", f"""with {DIRTY_CTE} select 'shape' as "check", 'rows' as item, count(*) as found from dirty
+union all select 'shape', 'columns', {len(_WRITTEN)}""" + "".join(
+    f" union all select 'non_null', '{c}', count({c}) from dirty" for c in _WRITTEN) + """
+union all select 'violations', 'hours out of range', count(*) filter (hours < 0 or hours > 24) from dirty
+union all select 'violations', 'cost above price', count(*) filter (cost > price) from dirty""")
+
+# ---- stored profiles ------------------------------------------------------------------------
+
+add("profile_from_states", " union all ".join(
+    f"""select '{c}' as "column", count(*) as rows, round((count(*) - count({c})) * 100.0 / count(*), 4) as missing_pct, """
+    + ", ".join(f"{'round(' + e + ', 4)' if c != 'event_type' else 'cast(null as double)'} as {name}" for name, e in {
+        "mean": f"avg(cast({c} as double))", "std": f"stddev_samp(cast({c} as double))", "min": f"cast(min({c}) as double)",
+        "q25": q(c, 0.25), "q50": q(c, 0.5), "q75": q(c, 0.75), "max": f"cast(max({c}) as double)",
+    }.items())
+    + f", case when count(distinct {c}) < 100 then count(distinct {c}) end as distinct from events"
+    for c in ("value", "user_id", "event_type")))
+add("overlap_from_states", f"with {DIRTY_CTE} " + " union all ".join(
+    f"""select *, round(common * 1.0 / nullif(test_distinct, 0), 6) as share, 0.0::double as margin from (
+select '{c}' as "column", count(*) filter (a) as train_distinct, count(*) filter (b) as test_distinct, count(*) filter (a and b) as common
+from (select {c}, bool_or({EARLY}) as a, bool_or({LATE}) as b from dirty where {c} is not null group by 1))"""
+    for c in ("segment_raw", "nation", "agent_id", "hours")))

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from tallyframe.functions.missing import member_of
 from tallyframe.functions.numeric import matches
 from tallyframe.functions.text import id_to_text, normalize_label, recode, trim_lower
-from tallyframe.operators import assoc, cardinality, drift, encode, metrics, outliers, profile, rates, split, tables
+from tallyframe.operators import assoc, cardinality, drift, encode, metrics, outliers, profile, rates, split, states, tables
 from tallyframe.operators.boosting import BINS, SecondOrderBoosting
 from tallyframe.operators.models import BOOSTED, FOREST, LOGISTIC, default_models, older_models, source_models
 from tallyframe.plans import adversarial, benchmark, pipeline, prepare, scoring
 from tallyframe.session import checkpoint_dir, small_table, stage
-from tallyframe.sources.files import read_csv, write_csv
+from tallyframe.sources.files import read_csv, write_checked, write_csv
 from tallyframe.spec import TableSpec
 from workload.views import SPLIT_DAY, base, dirty, table
 
@@ -504,6 +504,39 @@ def csv_round_trip(spark, sf):
     return read_csv(spark, path)
 
 
+@register
+def checked_write(spark, sf):
+    """Shape, present values and contradictions of a table, observed while it is written."""
+    rules = {"hours out of range": (F.col("hours") < 0) | (F.col("hours") > 24), "cost above price": F.col("cost") > F.col("price")}
+    rows = dirty(spark, sf).select("id", "price", "cost", "hours", "segment_raw", "agent_id")
+    return write_checked(rows, f"{checkpoint_dir(spark).rstrip('/')}/checked-{uuid.uuid4().hex}", rules)
+
+
+# ---- stored profiles ------------------------------------------------------------------------
+
+@register
+def profile_from_states(spark, sf):
+    """Two recordings, of which the second scans the last day only; quartiles are made exact."""
+    rows = events(spark, sf).withColumn("day", F.to_date("ts"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/event-states-{uuid.uuid4().hex}"
+    last = rows.agg(F.max("day")).first()[0]
+    for part in (rows.where(F.col("day") < F.lit(last)), rows.where(F.col("day") == F.lit(last))):
+        states.record_states(part, ["value", "user_id", "event_type"], "day", path)
+    merged = states.merge_states(states.read_states(spark, path))
+    report = states.describe_states(merged, {}).withColumn("distinct", F.when(F.col("distinct") < 100, F.col("distinct")))
+    quarts = states.exact_quantiles(rows, merged, (0.25, 0.5, 0.75))
+    exact = small_table(spark, [(c, *q) for c, q in quarts.items()], "column string, q25 double, q50 double, q75 double")
+    return rounded(report.join(exact, "column", "left"), 4)
+
+
+@register
+def overlap_from_states(spark, sf):
+    rows = dirty(spark, sf)
+    columns = ["segment_raw", "nation", "agent_id", "hours"]
+    found = states.value_overlap(*[states.merge_states(states.column_states(side, columns)) for side in (early(rows), late(rows))])
+    return rounded(found)
+
+
 # ---- drift ----------------------------------------------------------------------------------
 
 def tagged_halves(spark, sf) -> DataFrame:
