@@ -159,7 +159,7 @@ def fit_pipeline(train: DataFrame, spec: TableSpec, rules: PrepareRules, choice:
         coded = encoder.scaler.transform(coded)
     n = coded.count()
     with cached(dealt(coded, spec.id, fit_parts(n))) as (coded,):
-        model = choice.classifier(n).fit(coded)
+        model = choice.fit(coded, n)
     return PipelineModel([preparing, EncodeStage(replace(encoder, rows=n)), model])
 
 

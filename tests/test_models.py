@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyframe.operators.models import BOOSTED, FOREST, LOGISTIC, default_models, older_models, source_models
@@ -61,6 +62,28 @@ def test_logistic_solves_the_penalised_problem(labelled):
     assert abs((p - pdf["y"]).sum()) < 0.05
 
 
+def test_models_score_rows_after_something_was_observed_in_the_session(spark, labelled):
+    """A model that carries its training summary carries the session, which cannot be sent to the tasks from then on."""
+    seen = Observation()
+    labelled.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 600}
+    train, valid = stratified_split(labelled, "id", "y")
+    scores, (_, fitted) = benchmark.fit_models(train, valid, "id", "y", default_models(**SMALL))
+    assert set(scores) == {LOGISTIC, FOREST, BOOSTED} and all(s > 0.8 for s in scores.values())
+    assert not fitted[LOGISTIC].hasSummary and not fitted[FOREST].hasSummary
+    assert fitted[LOGISTIC].getMaxIter() == 30 and fitted[FOREST].getNumTrees == 8
+
+
+def test_a_model_without_its_summary_is_the_same_model(labelled):
+    encoder, a, _ = benchmark.encode_pair(labelled, labelled, "id", "y", scale=True)
+    models = default_models(**SMALL)
+    first, second = models[LOGISTIC].classifier(encoder.rows).fit(a), models[LOGISTIC].fit(a, encoder.rows)
+    assert (first.coefficients, first.intercept, first.getRegParam()) == (second.coefficients, second.intercept, second.getRegParam())
+    first, second = models[FOREST].classifier(encoder.rows).fit(a), models[FOREST].fit(a, encoder.rows)
+    assert first.toDebugString.split("\n", 1)[1] == second.toDebugString.split("\n", 1)[1]
+    assert first.featureImportances == second.featureImportances
+
+
 def test_ablation_of_the_useful_column(labelled):
     train, valid = stratified_split(labelled, "id", "y")
     models = {LOGISTIC: default_models(**SMALL)[LOGISTIC]}
