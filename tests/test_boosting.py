@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -127,3 +128,19 @@ def test_the_number_of_tasks_of_a_fit_follows_the_rows(spark, monkeypatch):
     df = table(spark).withColumnRenamed("label", "y")
     _, a, _ = benchmark.encode_pair(df, df.limit(0), "id", "y", scale=False)
     assert a.rdd.getNumPartitions() == 8
+
+
+def test_sums_in_place_are_those_of_sorted_keys(monkeypatch):
+    """Two numbers and three categories, several batches; sums in place need no sorting at all."""
+    rng = np.random.default_rng(3)
+    batches = []
+    for _ in range(3):
+        entries = [sorted({int(rng.integers(1, 256)), 256 + int(rng.integers(1, 256)), (2 + int(rng.integers(3))) * 256 + 1}) for _ in range(500)] + [[]]
+        columns = [pa.array(rng.integers(0, 4, 501), pa.int32()), pa.array(rng.normal(size=501)), pa.array(rng.random(501)), pa.array(entries, pa.list_(pa.int64()))]
+        batches.append(pa.RecordBatch.from_arrays(columns, ["node", "g", "h", "entries"]))
+    read = lambda: pa.Table.from_batches(boosting._histograms(iter(batches), 4, 2, 5)).to_pydict()
+    with monkeypatch.context() as patch:
+        patch.setattr(boosting, "DENSE", 0)
+        plain = read()
+    monkeypatch.setattr(boosting, "_summed", None)
+    assert read() == plain and sum(plain["n"]) == 4500

@@ -167,3 +167,18 @@ def test_preparation_also_runs_on_a_stream(train, spec, spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("prepared_rows").count() == 4
+
+
+def test_few_categories_give_the_vectors_of_the_shuffled_way_without_it(spark, monkeypatch):
+    """Few categories are met where a row is read: the rows are not written, taken apart and shuffled for that."""
+    rows = [(i, None if i % 7 == 0 else f"v{i % 5}", f"w{i % 3}", float(i % 4), -0.0 if i % 2 else 2.5) for i in range(200)]
+    df = spark.createDataFrame(rows, "id bigint, k string, l string, x double, z double")
+    encoder = encode.fit_encoder(df.where("id < 150 and l <> 'w2'"), ["k", "l"], ["x", "z"])
+    staged, written = encode.stage, []
+    monkeypatch.setattr(encode, "stage", lambda rows, label, **more: written.append(label) or staged(rows, label, **more))
+    read = lambda: [tuple(r) for r in encoder.transform(df, keep=["id"], parts=True).orderBy("id").collect()]
+    direct = read()
+    assert written == ["encoded-rows"] and len(direct) == 200
+    monkeypatch.setattr(encode, "JOINED", 0)
+    assert read() == direct
+    assert written == ["encoded-rows", "encode-rows", "encoded-rows"]
