@@ -154,11 +154,9 @@ def fit_pipeline(train: DataFrame, spec: TableSpec, rules: PrepareRules, choice:
     cats, nums = roles(rows, spec.id, spec.target)
     encoder = fit_encoder(rows, cats, nums, hashed=hashed)
     coded = encoder.transform(rows.withColumn(LABEL, F.col(spec.target).cast("double")), keep=[spec.id, LABEL], parts=True)
-    if choice.scale:
-        encoder = encoder.with_scaling(coded)
-        coded = encoder.scaler.transform(coded)
+    encoder = encoder.with_scaling(coded) if choice.scale else encoder
     n = coded.count()
-    with cached(dealt(coded, spec.id, fit_parts(n))) as (coded,):
+    with cached(dealt(coded, spec.id, fit_parts(n)), scaler=encoder.scaler) as (coded,):
         model = choice.fit(coded, n)
     return PipelineModel([preparing, EncodeStage(replace(encoder, rows=n)), model])
 

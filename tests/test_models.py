@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from tallyframe.operators.models import BOOSTED, FOREST, LOGISTIC, default_models, older_models, source_models
+from tallyframe.operators.boosting import SecondOrderBoosting
+from tallyframe.operators.encode import SCALED
+from tallyframe.operators.models import BOOSTED, FOREST, LOGISTIC, ModelChoice, default_models, older_models, source_models
 from tallyframe.operators.split import stratified_split
 from tallyframe.operators.drift import tag_sources
 from tallyframe.plans import adversarial, benchmark, prepare, scoring
@@ -35,6 +37,52 @@ def spec(labelled):
     return TableSpec.infer(labelled, id="id", target="y")
 
 
+def kept(spark, before=()):
+    """(bytes in memory, bytes on disk) of cached blocks by RDD, without those of ``before``."""
+    return {x.id(): (x.memSize(), x.diskSize()) for x in spark.sparkContext._jsc.sc().getRDDStorageInfo() if x.id() not in before}
+
+
+def test_encoded_rows_are_kept_on_disk_and_without_scaled_features(spark, labelled):
+    encoder, a, b = benchmark.encode_pair(labelled, labelled, "id", "y", scale=True)
+    read = lambda df: df.select("id", "label", "features", SCALED).collect()
+    plain, names, before = read(a), a.columns, kept(spark)
+    with benchmark.cached(a, scaler=encoder.scaler) as (rows,):
+        assert read(rows) == plain and set(rows.columns) == set(names)  # in the same order
+        assert rows.rdd.getNumPartitions() == a.rdd.getNumPartitions() == benchmark.LEAST_PARTS
+        blocks = kept(spark, before)
+        assert len(blocks) == 1 and all(m == 0 and d > 0 for m, d in blocks.values()), blocks
+        whole = sum(d for _, d in blocks.values())
+    with benchmark.cached(b) as (rows,):  # without a scaler nothing is left out
+        assert sorted(read(rows)) == sorted(read(b))
+    assert encoder.scaler is not None
+    before = kept(spark)
+    with benchmark.cached(a) as (rows,):
+        rows.count()
+        assert sum(d for _, d in kept(spark, before).values()) > whole
+
+
+def test_nothing_is_kept_in_memory_while_models_are_fitted(spark, labelled, monkeypatch):
+    """Seen as each classifier begins and at each tree of the boosting, of two benchmarks in a row."""
+    before, seen = kept(spark), []
+    root, choose = SecondOrderBoosting._root, ModelChoice.classifier
+
+    def look(call):
+        def wrapped(*args, **options):
+            found = call(*args, **options)
+            seen.append(kept(spark, before))
+            return found
+        return wrapped
+
+    monkeypatch.setattr(SecondOrderBoosting, "_root", look(root))
+    monkeypatch.setattr(ModelChoice, "classifier", look(choose))
+    train, valid = stratified_split(labelled, "id", "y")
+    models = {k: m for k, m in default_models(logistic={"max_iter": 2}, boosted={"rounds": 5, "depth": 1}).items() if k != FOREST}
+    got = benchmark.ablation(train, valid, "id", "y", "x", models).collect()
+    assert {r["model"] for r in got} == {LOGISTIC, BOOSTED}
+    assert len(seen) == 2 * (2 + 5) and any(d > 0 for s in seen for _, d in s.values())
+    assert all(m == 0 for s in seen for m, _ in s.values()), seen
+
+
 def test_separable_rows_reach_a_high_auc(labelled, spec):
     scores = benchmark.run_benchmark(labelled, spec, RULES, models=default_models(**SMALL)).collect()
     assert {r["model"] for r in scores} == {LOGISTIC, FOREST, BOOSTED}
