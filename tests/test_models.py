@@ -63,6 +63,7 @@ def test_encoded_rows_are_kept_on_disk_and_without_scaled_features(spark, labell
 
 def test_nothing_is_kept_in_memory_while_models_are_fitted(spark, labelled, monkeypatch):
     """Seen as each classifier begins and at each tree of the boosting, of two benchmarks in a row."""
+    labelled.count()  # it is cached itself
     before, seen = kept(spark), []
     root, choose = SecondOrderBoosting._root, ModelChoice.classifier
 
@@ -73,6 +74,7 @@ def test_nothing_is_kept_in_memory_while_models_are_fitted(spark, labelled, monk
             return found
         return wrapped
 
+    monkeypatch.setattr(benchmark, "fit_parts", lambda rows: 4)
     monkeypatch.setattr(SecondOrderBoosting, "_root", look(root))
     monkeypatch.setattr(ModelChoice, "classifier", look(choose))
     train, valid = stratified_split(labelled, "id", "y")
